@@ -50,3 +50,17 @@ def text_or_empty(col: str = "text") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; the default of the operators' path parameters."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def tokenizer_pattern() -> str:
+    """The pattern that splits text before the merges of the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN

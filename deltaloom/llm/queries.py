@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+from .bpe import bpe_digests
+from .common import documents, tokenizer_pattern, tokenizer_path
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
 
@@ -19,8 +20,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup}
+    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip}
 
 
 def oracle_sql() -> dict[str, str]:
