@@ -64,3 +64,16 @@ def tokenizer_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
+
+
+#: Rows of narrow columns that a side may have to be broadcast, about 32 MB as a hash table.
+BROADCAST_ROWS = 400_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: Column | str | list[str], how: str = "inner") -> DataFrame:
+    """Join with a stored frame of narrow columns: broadcast if its counted rows fit, else by shuffle.
+
+    The result is the same either way; only the physical join differs.
+    """
+    few = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return big.join(F.broadcast(small) if few else small, on, how)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_digests
 from .common import documents, tokenizer_pattern, tokenizer_path
 from .exact_dedup import exact_dedup
+from .fingerprints import fingerprint_edits
 from .mixing import mix_sources
 
 
@@ -24,8 +25,12 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
 
 
+def op8_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip}
+    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op8_fingerprint_edits": op8_fingerprint_edits}
 
 
 def oracle_sql() -> dict[str, str]:
