@@ -10,6 +10,7 @@ from .bpe import bpe_digests
 from .common import documents, tokenizer_pattern, tokenizer_path
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
+from .line_dedup import line_dedup_report
 from .mixing import mix_sources
 
 
@@ -29,8 +30,12 @@ def op8_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_report(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op8_fingerprint_edits": op8_fingerprint_edits}
+    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op8_fingerprint_edits": op8_fingerprint_edits, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
