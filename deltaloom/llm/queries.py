@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
 from .line_dedup import line_dedup_report
 from .mixing import mix_sources
+from .near_dedup import near_duplicates
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,8 +35,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(documents(spark, sf_dir))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "copies", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op8_fingerprint_edits": op8_fingerprint_edits, "op10_line_dedup": op10_line_dedup}
+    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op8_fingerprint_edits": op8_fingerprint_edits, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
