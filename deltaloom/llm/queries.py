@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import documents, tokenizer_pattern, tokenizer_path
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
+from .language import fold_of, identify_languages
 from .line_dedup import line_dedup_report
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
@@ -39,8 +41,13 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "copies", "kept")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(documents(spark, sf_dir), held_fold=0)
+    return found.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op8_fingerprint_edits": op8_fingerprint_edits, "op10_line_dedup": op10_line_dedup}
+    return {"op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op8_fingerprint_edits": op8_fingerprint_edits, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
