@@ -70,10 +70,10 @@ def tokenizer_pattern() -> str:
 BROADCAST_ROWS = 400_000
 
 
-def join_checked(big: DataFrame, small: DataFrame, on: Column | str | list[str], how: str = "inner") -> DataFrame:
+def join_checked(big: DataFrame, small: DataFrame, on: Column | str | list[str], how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a stored frame of narrow columns: broadcast if its counted rows fit, else by shuffle.
 
     The result is the same either way; only the physical join differs.
     """
-    few = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = small.limit(rows + 1).count() <= rows
     return big.join(F.broadcast(small) if few else small, on, how)
