@@ -16,6 +16,7 @@ from .line_dedup import line_dedup_report
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .substring_dedup import substring_digests
+from .token_files import token_file_digests
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,8 +52,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digests(documents(spark, sf_dir))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup}
+    return {"op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
