@@ -13,12 +13,17 @@ from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
 from .language import fold_of, identify_languages
 from .line_dedup import line_dedup_report
+from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .substring_dedup import substring_digests
 from .token_files import token_file_digests
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -57,7 +62,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
