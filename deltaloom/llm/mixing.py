@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pick, stored, text_or_empty
+from .common import WORD, join_checked, pick, stored, text_or_empty
 
 #: Slices of each size class of a source, so that a hot source is ranked by many tasks.
 SALTS = 32
@@ -35,7 +35,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     left = F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum("source_size").over(before), F.lit(0)) * F.lit(float(cap))
     leveled = ranked.withColumn("level", left / F.sum("weight").over(after))
-    level = F.min(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(everything)
+    # From the first source that its cap doesn't bind on, levels fall: the first is the greatest.
+    level = F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(everything)
     most = F.col("source_size") * F.lit(float(cap))
     return leveled.select("source", "source_size", F.coalesce(F.least(most, level * F.col("weight")), most).alias("target"))
 
@@ -69,3 +70,26 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     i, offset = F.col("start") + F.col("place"), _unit(F.col("source"), seed)
     copies = (F.floor((i + 1) * each + offset) - F.floor(i * each + offset)).cast("long")
     return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
+    """The mix itself: each document's row as often as it is taken, with all its columns.
+
+    Rows that repeat an id are told apart by their text; of equal rows each is drawn by itself
+    and the copies are the sum.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text, doc_id = F.col(f"c{names.index(text_col)}"), F.col(f"c{names.index(id_col)}")
+    plain = plain.withColumn("_id", doc_id).withColumn("_row", F.xxhash64(F.coalesce(text, F.lit(""))))
+    keyed = plain.select(F.struct("_id", "_row").alias("key"), text.alias("text"), F.col(f"c{names.index(source_col)}").alias("source"))
+    mixed = mix_sources(keyed, "key", "text", "source", weights, share, cap, seed)
+    # One number of copies for each key; equal rows share their sum evenly, the first ones take the rest.
+    copies = stored(mixed.groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0").select(F.col("doc_id._id").alias("_doc"), F.col("doc_id._row").alias("_own"), "copies", "rows"), "copies")
+    joined = join_checked(plain, copies, F.expr("_id <=> _doc AND _row = _own"))
+    single = joined.where("rows = 1").withColumn("_times", F.col("copies"))
+    several = joined.where("rows > 1").withColumn("_place", F.row_number().over(Window.partitionBy("_doc", "_own").orderBy("_row")) - 1)
+    several = several.withColumn("_times", F.floor((F.col("_place") + 1) * F.col("copies") / F.col("rows")) - F.floor(F.col("_place") * F.col("copies") / F.col("rows"))).drop("_place")
+    taken = single.unionByName(several).where("_times > 0")
+    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    return taken.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

@@ -84,7 +84,7 @@ WITH d AS (
   SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(source_size) OVER (ORDER BY ratio, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE * 2.0::DOUBLE)
     / sum(weight) OVER (ORDER BY ratio, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r
 ), t AS (
-  SELECT source, source_size, coalesce(least(source_size * 2.0::DOUBLE, (SELECT min(level) FROM l WHERE ratio >= level) * weight), source_size * 2.0::DOUBLE) AS target FROM l
+  SELECT source, source_size, coalesce(least(source_size * 2.0::DOUBLE, (SELECT max(level) FROM l WHERE ratio >= level) * weight), source_size * 2.0::DOUBLE) AS target FROM l
 ), n AS (
   SELECT k.*, row_number() OVER (PARTITION BY source ORDER BY klass, slice, size, doc_id IS NULL, doc_id) - 1 AS i FROM k
 ), c AS (
