@@ -1,0 +1,251 @@
+"""Messages, requests and reports as documents."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def message_doc(df: DataFrame, payload: str = "value", key: str = "key") -> DataFrame:
+    """Broker rows as documents: payload entries, key entries over them, ``_meta``.
+
+    ``payload`` and ``key`` are JSON text. A null payload is a delete with the key alone.
+    """
+    kind = "map<string,variant>"
+    entries = lambda c: F.coalesce(F.try_parse_json(F.col(c)).cast(kind), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>")))
+    body, own = entries(payload), entries(key)
+    merged = F.map_concat(F.map_filter(body, lambda k, v: ~F.map_contains_key(own, k)), own)
+    op = F.when(F.col(payload).isNull(), "d").otherwise("c")
+    meta = F.struct("topic", "partition", "offset", op.alias("op"), "timestamp")
+    return df.select(F.transform_values(merged, lambda k, v: F.to_json(v)).alias("document"), meta.alias("_meta"))
+
+
+def registry_header(c: Column) -> Column:
+    """Schema id of magic-byte messages, null for others."""
+    return F.when((F.octet_length(c) >= 5) & (F.hex(F.substring(c, 1, 1)) == "00"), F.conv(F.hex(F.substring(c, 2, 4)), 16, 10).cast("int"))
+
+
+def decode_json_wire(c: Column, key: bool = False) -> Column:
+    """The JSON arm of registry messages: header cut, JSON as text; opaque keys as base64 under ``_key``."""
+    body = F.when(registry_header(c).isNotNull(), F.substring(c, 6, 2**31 - 6)).otherwise(c)
+    text = F.try_validate_utf8(body.cast("string"))
+    parsed = F.try_parse_json(text)
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    if not key:
+        return F.when(parsed.isNotNull(), text)
+    wrapped = F.when(parsed.isNotNull(), F.concat(F.lit('{"_key":'), text, F.lit("}"))).otherwise(F.concat(F.lit('{"_key":"'), F.base64(body), F.lit('"}')))
+    return F.when(is_object, text).otherwise(wrapped)
+
+
+def avro_values(df: DataFrame) -> DataFrame:
+    """Typed values as JSON-ready ones: decimals and NaN as text, bytes base64, times RFC 3339."""
+    return df.select(*[_json_ready(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
+def _json_ready(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DecimalType):
+        return c.cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.base64(c)
+    if isinstance(kind, T.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(c), F.lit("NaN")).when(c == float("inf"), "Infinity").when(c == float("-inf"), "-Infinity").otherwise(c.cast("string"))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_json_ready(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _json_ready(x, kind.elementType))
+    return c
+
+
+def spread_body(df: DataFrame, body: str, meta: list[str]) -> DataFrame:
+    """JSON-object bodies spread at the root, anything else under ``body``; ``_meta`` wins.
+
+    Gives a ``document`` JSON text; wide integers keep their digits.
+    """
+    parsed = F.try_parse_json(F.col(body))
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    entries = F.map_filter(parsed.cast("map<string,variant>"), lambda k, v: k != "_meta")
+    inner = F.regexp_extract(F.to_json(F.transform_values(entries, lambda k, v: v)), r"(?s)^\{(.*)\}$", 1)
+    plain = F.regexp_extract(F.to_json(F.struct(F.col(body).alias("body"))), r"(?s)^\{(.*)\}$", 1)
+    own = F.regexp_extract(F.to_json(F.struct(F.struct(*meta).alias("_meta"))), r"(?s)^\{(.*)\}$", 1)
+    content = F.when(is_object, F.nullif(inner, F.lit(""))).otherwise(F.nullif(plain, F.lit("")))
+    return df.select(F.concat(F.lit("{"), F.concat_ws(",", content, own), F.lit("}")).alias("document"))
+
+
+def stream_record_doc(df: DataFrame, payload: str, shard: list[str]) -> DataFrame:
+    """Shard fields join an existing ``_meta`` of the payload, which keeps what doesn't clash."""
+    doc = F.try_parse_json(F.col(payload)).cast("map<string,variant>")
+    old = F.coalesce(doc["_meta"].cast("map<string,string>"), F.create_map().cast("map<string,string>"))
+    new = F.create_map(*[x for c in shard for x in (F.lit(c), F.col(c).cast("string"))])
+    meta = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
+    return df.select(F.to_json(F.map_filter(doc, lambda k, v: k != "_meta")).alias("document"), meta.alias("_meta"))
+
+
+def webhook_docs(df: DataFrame, body: str, id_col: str, headers: str, secret: list[str]) -> DataFrame:
+    """One document per object body or array element; elements get ``id/i``; secret headers are left out."""
+    parsed = F.try_parse_json(F.col(body))
+    is_array = F.schema_of_variant(parsed).startswith("ARRAY")
+    items = F.when(is_array, parsed.cast("array<variant>")).otherwise(F.array(parsed))
+    rows = df.select("*", is_array.alias("_many"), F.posexplode(items).alias("_i", "_doc"))
+    new_id = F.when(F.col("_many"), F.concat(F.col(id_col), F.lit("/"), F.col("_i").cast("string"))).otherwise(F.col(id_col))
+    kept = F.map_filter(F.col(headers), lambda k, v: ~F.lower(k).isin([s.lower() for s in secret]))
+    return rows.withColumn(id_col, new_id).withColumn(headers, kept).withColumn(body, F.to_json("_doc")).drop("_many", "_i", "_doc")
+
+
+def url_rank(pattern: str) -> tuple:
+    """More literal segments first, ``*`` last."""
+    if pattern == "*":
+        return (2, 0, pattern)
+    return (1, -sum(not s.startswith("{") for s in pattern.strip("/").split("/")), pattern)
+
+
+def url_regex(pattern: str) -> str:
+    parts = ["[^/]+" if s.startswith("{") else re.escape(s) for s in pattern.strip("/").split("/")]
+    return ".*" if pattern == "*" else "^/" + "/".join(parts) + "/?$"
+
+
+def check_routes(patterns: list[str]) -> None:
+    """Two URL patterns of equal rank that both match some path are an error."""
+    for i, a in enumerate(patterns):
+        for b in patterns[i + 1 :]:
+            x, y = a.strip("/").split("/"), b.strip("/").split("/")
+            if url_rank(a)[:2] == url_rank(b)[:2] and len(x) == len(y) and all(s == t or s.startswith("{") or t.startswith("{") for s, t in zip(x, y, strict=True)):
+                raise ValueError(f"ambiguous routes: {a} and {b}")
+
+
+def route_requests(path: Column, rules: list[tuple[str, str]], header: tuple[Column, dict[str, str]] | None = None) -> Column:
+    """Target of each request: header values first, then URL patterns by rank (E8). Rules are few."""
+    check_routes([p for p, _ in rules])
+    out = None
+    pairs = [(header[0] == value, target) for value, target in header[1].items()] if header else []
+    pairs += [(path.rlike(url_regex(p)), target) for p, target in sorted(rules, key=lambda r: url_rank(r[0]))]
+    for test, target in pairs:
+        out = F.when(test, target) if out is None else out.when(test, target)
+    return F.lit(None).cast("string") if out is None else out
+
+
+def path_params(path: Column, template: str) -> Column:
+    """Named values of ``/a/{id}`` (E9); null where the path doesn't match."""
+    names = re.findall(r"\{(\w+)\}", template)
+    pattern = "^/" + "/".join("([^/]+)" if s.startswith("{") else re.escape(s) for s in template.strip("/").split("/")) + "/?$"
+    return F.when(path.rlike(pattern), F.struct(*[F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]))
+
+
+def record_ids(headers: Column, name: str | None) -> Column:
+    """Id from a header, an error without it; a random UUID where no header is named."""
+    return F.uuid() if name is None else F.coalesce(headers[name], F.raise_error(F.lit(f"missing header {name}")))
+
+
+def event_rows_with_envelope(df: DataFrame, events: str, carry: list[str]) -> DataFrame:
+    """One row per event of an activity array, the member fields in ``_meta``."""
+    return df.select(F.struct(*carry).alias("_meta"), F.explode(events).alias("_e")).select("_e.*", "_meta")
+
+
+def properties_to_pairs(c: Column) -> Column:
+    """A map as an array of name and value, sorted by name."""
+    return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value"))))
+
+
+def report_rows(df: DataFrame, headers: str, values: str, names: list[str]) -> list[Column]:
+    """Columns of parallel header and value arrays (E13); a missing header gives null."""
+    return [F.map_from_arrays(F.col(headers), F.col(values))[n].alias(n) for n in names]
+
+
+def epoch_millis(c: Column) -> Column:
+    return F.timestamp_millis(c)
+
+
+def ymd_date(c: Column) -> Column:
+    """A year, month, day struct as a date."""
+    return F.make_date(c["year"], c["month"], c["day"])
+
+
+def unique_names(names: list[str]) -> dict[str, str]:
+    """Names without a leading ``$``; those equal in lower case get ``_`` prefixes in sorted order."""
+    taken: dict[str, int] = {}
+    out = {}
+    for name in sorted(names):
+        plain = name.removeprefix("$")
+        n = taken.get(plain.lower(), 0)
+        taken[plain.lower()] = n + 1
+        out[name] = "_" * n + plain
+    return out
+
+
+def unique_name_rows(df: DataFrame, name: str, group: list[str]) -> DataFrame:
+    """The same for names that are data: one row a name."""
+    plain = F.regexp_replace(F.col(name), r"^\$", "")
+    n = F.row_number().over(Window.partitionBy(*group, F.lower(plain)).orderBy(name))
+    return df.withColumn("unique_name", F.concat(F.repeat(F.lit("_"), n - 1), plain))
+
+
+def coerce_text(c: Column, kind: str) -> Column:
+    """Text of a row as its type: empty is null, integers may be written as floats."""
+    c = F.nullif(c, F.lit(""))
+    if kind == "boolean":
+        return F.when(F.lower(c).isin("true", "1"), True).when(F.lower(c).isin("false", "0"), False)
+    if kind == "integer":
+        return F.coalesce(c.try_cast("bigint"), c.try_cast("double").cast("bigint"))
+    return c.try_cast("double") if kind == "number" else c
+
+
+def hourly_aggregates(df: DataFrame, ts: str, keys: list[str], value: str, now: Column, margin: str = "15 minutes") -> DataFrame:
+    """Complete hours only, with a clock margin; ordered by hour and keys when read."""
+    hour = F.date_trunc("hour", F.col(ts))
+    rows = df.where(F.col(ts) < F.date_trunc("hour", now - F.expr(f"INTERVAL {margin}")))
+    return rows.groupBy(hour.alias("hour"), *keys).agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("last_update"), F.round(F.sum(F.col(value).cast("decimal(18,4)")), 4).alias("total"))
+
+
+def index_by_path(c: Column, path: str) -> Column:
+    return F.get_json_object(c, path)
+
+
+def key_pointer(c: Column) -> Column:
+    """A column name as a JSON pointer."""
+    return F.concat(F.lit("/"), F.replace(F.replace(c, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")))
+
+
+def pointer_name(c: Column) -> Column:
+    return F.replace(F.replace(F.substring(c, 2, 2**31 - 2), F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~"))
+
+
+def catalog_name(schema: Column, table: Column) -> Column:
+    """Lower case, other characters as ``_``, ``.`` and ``..`` guarded."""
+    def part(c: Column) -> Column:
+        clean = F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}\-_.]", "_")
+        return F.when(clean.isin(".", ".."), F.concat(F.lit("_"), clean)).otherwise(clean)
+
+    return F.concat_ws("/", part(schema), part(table))
+
+
+def export_rows(df: DataFrame, booleans: list[str], deleted: str = "IsDelete") -> DataFrame:
+    """Text booleans typed (empty is null, absent columns stay absent); the delete flag as ``_meta.op``."""
+    for name in [b for b in booleans if b in df.columns]:
+        df = df.withColumn(name, F.when(F.lower(name) == "true", True).when(F.lower(name) == "false", False))
+    op = F.when(F.lower(F.coalesce(F.col(deleted).cast("string"), F.lit("false"))) == "true", "d").otherwise("u")
+    return df.withColumn("_meta", F.struct(op.alias("op"))).drop(deleted)
+
+
+def sheet_value(c: Column, form: str) -> Column:
+    """A sheet's serial number as a date, a date and time, or itself (E22): days from 1899-12-30."""
+    start = F.lit("1899-12-30")
+    if form == "date":
+        return F.date_add(start.cast("date"), F.floor(c).cast("int"))
+    if form == "datetime":
+        return F.timestamp_micros((F.unix_micros(start.cast("timestamp")) + F.round(c * 86400000) * 1000).cast("long"))
+    return c
+
+
+def two_format_time(c: Column, first: str, second: str, zone: str) -> Column:
+    """Text in one of two formats in an account's time zone, as an instant."""
+    return F.to_utc_timestamp(F.coalesce(F.try_to_timestamp(c, F.lit(first)), F.try_to_timestamp(c, F.lit(second))), zone)
+
+
+def title_case_columns(df: DataFrame) -> DataFrame:
+    return df.toDF(*[c.replace("_", " ").title() for c in df.columns])
