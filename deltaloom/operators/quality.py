@@ -85,8 +85,8 @@ def change_workload(spark, docs_per_tx: list[int], size: int, updates: float, de
     """
     out, known = None, 0
     for tx, n in enumerate(docs_per_tx):
-        old = min(int(n * (updates + deletes)), known) if tx else 0
-        gone = int(old * deletes / (updates + deletes)) if old else 0
+        old = min(round(n * (updates + deletes)), known) if tx else 0
+        gone = round(old * deletes / (updates + deletes)) if old else 0
         step = max(1, known // old) if old else 1
         base = spark.range(n).withColumnRenamed("id", "i")
         # One id of each of ``old`` equal stretches of the known range.
