@@ -66,7 +66,8 @@ class CrossParser:
                     counts[c] = counts.get(c, 0) + 1
         letters = sorted(counts, key=lambda c: (-counts[c], c))[:MAX_LETTERS]
         symbols = _alphabet(letters)
-        tables, roots, size = [], [], 0
+        # Without any language the table is one state that nothing leads from.
+        tables, roots, size = [np.full((1, len(letters) + 2), -1)] if not languages else [], [], 0
         for lang in languages:
             table = suffix_automaton(_encode(share[lang], symbols), len(letters) + 2)
             roots.append(size)
