@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_checked, stored
+from .common import stored
 
 #: Buckets up to this size compare all their pairs at once; larger ones work through leaders.
 SMALL_BUCKET = 16
@@ -17,8 +17,11 @@ LEADERS = 16
 ROUND_PAIRS = 4_000_000
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every id has one parent and no parent has one itself."""
+    roles = edges.select(F.col("b").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("a").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    sums = roles.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -32,11 +35,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     if edges.isEmpty():
         return edges.select(F.col("a").alias("id"), F.col("b").alias("label"))
-    mark = None
-    while mark != (mark := _mark(edges)):
+    while not _is_forest_of_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b")
         large = stored(large, "large-star")
         least = large.groupBy("b").agg(F.min("a").alias("m")).withColumnRenamed("b", "u")
         small = large.join(least, F.col("b") == F.col("u")).select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
@@ -49,13 +51,12 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose sets have a Jaccard similarity of at least ``threshold``."""
+def _compared(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the Jaccard similarity of their sets."""
     left, right = (grams.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "ab")
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("a_grams", "b_grams"))
-    total = F.size("a_grams") + F.size("b_grams") - common
-    return both.select("a", "b", (common >= threshold * total - 1e-9).alias("linked")).where("linked").select("a", "b")
+    return both.select("a", "b", (common / (F.size("a_grams") + F.size("b_grams") - common)).alias("j"))
 
 
 def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
@@ -64,26 +65,34 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     ``entries`` is a stored frame (id, keys): ids that share a key are candidates. ``grams_of``
     gives (id, grams), arrays of distinct hashes, for a frame of ids. Returns (id, label)
     for ids with a link. Not every pair of a bucket is compared, yet no link that would join two
-    components is missed: small buckets compare all pairs; in a large one the least id
-    is compared with all, then, round by round, the members outside the bucket's main
-    component are each compared with every mate of another component. At the end
-    one of any two mates in different components has been compared with the other.
+    components is missed: small buckets compare all pairs; a member of large ones is
+    compared with its guide, the least id of all its large buckets; then, round by round, the
+    members outside a bucket's main component are each compared with every mate of another
+    component, but for those that the triangle inequality rules out by their distances to a
+    common guide. At the end one of any two mates in different components has been compared
+    with the other, or they can't be near.
     """
     exploded = entries.select("id", F.explode("keys").alias("key"))
     buckets = stored(exploded.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("size")).where("least < most"), "buckets")
     # Buckets of the same two ids say the same once.
     twins = buckets.where("size = 2").select(F.col("least").alias("a"), F.col("most").alias("b")).distinct()
-    members = stored(join_checked(exploded, buckets.where("size > 2"), "key").select("key", "id", "least", "size").distinct(), "members")
+    members = stored(exploded.join(buckets.where("size > 2"), "key").select("key", "id", "least", "size").distinct(), "members")
     ids = stored(twins.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct(), "candidates")
     grams = stored(grams_of(ids), "grams")
 
+    # First round: small buckets compare all pairs, a member of large ones meets the least of their ids.
     few = members.where(F.col("size") <= SMALL_BUCKET).select("key", "id")
-    pairs = few.join(few.withColumnRenamed("id", "b"), "key").where("id < b").select(F.col("id").alias("a"), "b")
+    close = few.join(few.withColumnRenamed("id", "b"), "key").where("id < b").select(F.col("id").alias("a"), "b")
     large = members.where(F.col("size") > SMALL_BUCKET)
-    pairs = twins.unionByName(pairs).unionByName(large.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b"))).distinct()
-    links = stored(_verified(pairs, grams, threshold), "links")
+    guides = large.groupBy("id").agg(F.min("least").alias("guide"))
+    pairs = twins.unionByName(close).unionByName(guides.where("guide < id").select(F.col("guide").alias("a"), F.col("id").alias("b"))).distinct()
+    compared = stored(_compared(pairs, grams), "compared")
+    near = F.col("j") >= threshold - 1e-9
+    links = compared.where(near).select("a", "b")
     labels = connected_components(links)
-    large = stored(large.select("key", "id", (F.col("id") == F.col("least")).alias("led")), "large")
+    near_guide = guides.join(compared.withColumnRenamed("a", "guide").withColumnRenamed("b", "id"), ["guide", "id"], "left")
+    near_guide = near_guide.select("id", "guide", F.when(F.col("guide") == F.col("id"), F.lit(1.0)).otherwise(F.col("j")).alias("j"))
+    large = stored(large.select("key", "id").join(near_guide, "id").withColumn("led", F.lit(False)), "large")
     while not large.isEmpty():
         now = stored(_labelled(large, labels), "labelled")
         counts = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -94,12 +103,16 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
             break
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         turn = waiting if total <= ROUND_PAIRS else waiting.withColumn("_place", place).where(F.col("_place") <= LEADERS)
-        turn = stored(turn.select("key", F.col("id").alias("leader"), F.col("label").alias("leader_label")), "leaders")
-        # Finished buckets, whose members are all in one component or led, drop out.
-        open_keys = turn.select("key").distinct()
-        pairs = now.join(turn, "key").where("label <> leader_label").select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
-        links = stored(links.unionByName(_verified(pairs, grams, threshold)).distinct(), "links")
-        labels = connected_components(links)
+        turn = stored(turn.select("key", F.col("id").alias("leader"), F.col("label").alias("leader_label"), F.col("guide").alias("leader_guide"), F.col("j").alias("leader_j")), "leaders")
+        # Jaccard distance is a metric: two ids whose distances to one guide differ by more than the limit can't be near.
+        possible = (F.col("label") != F.col("leader_label")) & ((F.col("guide") != F.col("leader_guide")) | (F.abs(F.col("j") - F.col("leader_j")) <= 1 - threshold + 1e-9))
+        mates = now.withColumnRenamed("key", "_key")
+        pairs = turn.join(mates, (F.col("key") == F.col("_key")) & possible).select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
+        found = stored(_compared(pairs, grams).where(near).select("a", "b"), "links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = connected_components(links)
         led = turn.select("key", F.col("leader").alias("id"), F.lit(True).alias("now_led"))
-        large = stored(large.join(open_keys, "key", "left_semi").join(led, ["key", "id"], "left").select("key", "id", (F.col("led") | F.coalesce("now_led", F.lit(False))).alias("led")), "large")
+        large = large.join(turn.select("key").distinct(), "key", "left_semi").join(led, ["key", "id"], "left")
+        large = stored(large.withColumn("led", F.col("led") | F.coalesce("now_led", F.lit(False))).drop("now_led"), "large")
     return labels
