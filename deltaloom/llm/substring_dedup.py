@@ -116,7 +116,8 @@ def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
     near = join_checked(texts, found, F.expr("doc_id <=> _doc AND row = _row"), rows=100_000).select("id", "twin", "text", "places")
     windows = stored(near.mapInArrow(look_up, "id long, twin boolean, window long, start int"), "windows")
     repeated = stored(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window"), "repeated-windows")
-    starts = join_checked(windows.where("NOT twin").drop("twin"), repeated, "window", rows=LONG_ROWS).groupBy("id").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    # Both sides grow with the corpus: a shuffle at every size.
+    starts = windows.where("NOT twin").drop("twin").join(repeated, "window").groupBy("id").agg(F.sort_array(F.collect_set("start")).alias("starts"))
     # Factors: unions of windows that touch, as (from, to).
     begins = F.filter("starts", lambda x, i: (i == 0) | (x - F.get("starts", i - 1) > window))
     ends = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.get("starts", i + 1) - x > window))
