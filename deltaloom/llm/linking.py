@@ -11,7 +11,7 @@ from .common import stored
 
 #: Buckets up to this size compare all their pairs at once; larger ones work through leaders.
 SMALL_BUCKET = 16
-#: Leaders that a large bucket adds in a round.
+#: Leaders that a large bucket adds in a round at least.
 LEADERS = 16
 #: Pairs that a round may compare; the leaders of a round are fewer where this is passed.
 ROUND_PAIRS = 4_000_000
@@ -66,7 +66,7 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     gives (id, grams), arrays of distinct hashes, for a frame of ids. Returns (id, label)
     for ids with a link. Not every pair of a bucket is compared, yet no link that would join two
     components is missed: small buckets compare all pairs; a member of large ones is
-    compared with its guide, the least id of all its large buckets; then, round by round, the
+    compared with its guide, the best connected id of all its large buckets; then, round by round, the
     members outside a bucket's main component are each compared with every mate of another
     component, but for those that the triangle inequality rules out by their distances to a
     common guide. At the end one of any two mates in different components has been compared
@@ -80,17 +80,21 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     ids = stored(twins.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct(), "candidates")
     grams = stored(grams_of(ids), "grams")
 
-    # First round: small buckets compare all pairs, a member of large ones meets the least of their ids.
+    # First round: small buckets compare all pairs, a member of large ones meets its guide.
     few = members.where(F.col("size") <= SMALL_BUCKET).select("key", "id")
     close = few.join(few.withColumnRenamed("id", "b"), "key").where("id < b").select(F.col("id").alias("a"), "b")
     large = members.where(F.col("size") > SMALL_BUCKET)
-    guides = large.groupBy("id").agg(F.min("least").alias("guide"))
-    pairs = twins.unionByName(close).unionByName(guides.where("guide < id").select(F.col("guide").alias("a"), F.col("id").alias("b"))).distinct()
+    # The guide of a bucket is the id whose buckets are fullest: what near copies were made from, if that is there.
+    weighed = large.join(large.groupBy("id").agg(F.sum("size").alias("mass")), "id")
+    fullest = weighed.groupBy("key").agg(F.max(F.struct("mass", (-F.col("id")).alias("minus"))).alias("top"))
+    guides = weighed.join(fullest, "key").groupBy("id").agg((-F.max("top")["minus"]).alias("guide"))
+    guides = stored(guides.select("id", "guide", F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b")), "guides")
+    pairs = twins.unionByName(close).unionByName(guides.where("guide <> id").select("a", "b")).distinct()
     compared = stored(_compared(pairs, grams), "compared")
     near = F.col("j") >= threshold - 1e-9
     links = compared.where(near).select("a", "b")
     labels = connected_components(links)
-    near_guide = guides.join(compared.withColumnRenamed("a", "guide").withColumnRenamed("b", "id"), ["guide", "id"], "left")
+    near_guide = guides.join(compared, ["a", "b"], "left")
     near_guide = near_guide.select("id", "guide", F.when(F.col("guide") == F.col("id"), F.lit(1.0)).otherwise(F.col("j")).alias("j"))
     large = stored(large.select("key", "id").join(near_guide, "id").withColumn("led", F.lit(False)), "large")
     while not large.isEmpty():
@@ -98,11 +102,11 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
         counts = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
         main = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("size"))
         waiting = now.where("NOT led").join(main, "key").where("label <> main")
-        total = waiting.agg(F.sum("size")).first()[0] or 0
+        mates_left, total = waiting.groupBy("key").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.col("size") * F.col("n")), F.lit(0))).first()
         if not total:
             break
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        turn = waiting if total <= ROUND_PAIRS else waiting.withColumn("_place", place).where(F.col("_place") <= LEADERS)
+        turn = waiting if total <= ROUND_PAIRS else waiting.withColumn("_place", place).where(F.col("_place") <= max(LEADERS, ROUND_PAIRS // mates_left))
         turn = stored(turn.select("key", F.col("id").alias("leader"), F.col("label").alias("leader_label"), F.col("guide").alias("leader_guide"), F.col("j").alias("leader_j")), "leaders")
         # Jaccard distance is a metric: two ids whose distances to one guide differ by more than the limit can't be near.
         possible = (F.col("label") != F.col("leader_label")) & ((F.col("guide") != F.col("leader_guide")) | (F.abs(F.col("j") - F.col("leader_j")) <= 1 - threshold + 1e-9))

@@ -17,7 +17,7 @@ from .common import join_checked, pick, shared_folder, stored, text_or_empty
 from .huffman import canonical_codes, code_lengths, decoding_table, pack, unpack
 
 #: Documents of a range, ranges at most, ids after which a block ends, chunks that a worker remembers.
-RANGE_ROWS, MAX_RANGES, BLOCK_IDS, MEMORY = 4096, 4096, 1 << 18, 300_000
+RANGE_ROWS, MAX_RANGES, BLOCK_IDS, MEMORY = 4096, 4096, 1 << 18, 500_000
 
 
 class LibraryEncoder:
@@ -34,6 +34,25 @@ class LibraryEncoder:
         self.library.encode_special_tokens = True
         self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        #: Bytes of each token: the byte-level alphabet has one character a byte.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of many spaced chunks from a few calls: chunks are cuts, so one long text of them has the same ids."""
+        out: list[bytes] = []
+        for at in range(0, len(chunks), 4096):
+            part = chunks[at : at + 4096]
+            text = " " + " ".join(part)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum([len(chunk.encode()) + 1 for chunk in part])
+            stops = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            packed, width = ids.astype(self.width).tobytes(), np.dtype(self.width).itemsize
+            stops = (stops * width).tolist()
+            out += [packed[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+        return out
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -42,15 +61,21 @@ class LibraryEncoder:
         parts = [spaced_chunks(text) for text in texts]
         if len(self.known) > MEMORY:
             self.known = dict(islice(self.known.items(), MEMORY // 2, None))
-        new: set[str] = set()
+        get, found, gaps, new = self.known.get, [], [], set()
         for part in parts:
-            if part:
-                new.update(islice(part, 1, None))
-        fresh = [chunk for chunk in new if chunk not in self.known]
-        self.known.update(zip(fresh, self._batch([" " + chunk for chunk in fresh]), strict=True))
+            ids = list(map(get, part)) if part else []
+            gap = [i for i, x in enumerate(ids) if x is None and i]
+            new.update([part[i] for i in gap])
+            found.append(ids)
+            gaps.append(gap)
+        fresh = list(new)
+        self.known.update(zip(fresh, self._chunks(fresh), strict=True))
+        for part, ids, gap in zip(parts, found, gaps, strict=True):
+            for i in gap:
+                ids[i] = self.known[part[i]]
+        # The first chunk of a text has no space before it.
         heads = self._batch([text if part is None else part[0] for text, part in zip(texts, parts, strict=True)])
-        get = self.known.__getitem__
-        return [head + b"".join(map(get, islice(part or [], 1, None))) for head, part in zip(heads, parts, strict=True)]
+        return [head + b"".join(ids[1:]) for head, ids in zip(heads, found, strict=True)]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
