@@ -119,4 +119,4 @@ def stream_lag(df: DataFrame, stream: list[str], ts: str, now: Column) -> DataFr
 
 def describe_projection(schema: T.StructType, titles: dict[str, str]) -> list[tuple[str, str]]:
     """Comment text of each column from its title and types (Q8)."""
-    return [(f.name, "\n".join(x for x in (titles.get(f.name), f"auto projection of JSON at: /{f.name} with inferred types: [{f.dataType.simpleString()}]") if x)) for f in schema.fields]
+    return [(f.name, "\n".join(x for x in (titles.get(f.name), f"location /{f.name}, type {f.dataType.simpleString()}") if x)) for f in schema.fields]
