@@ -44,7 +44,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
     """How often each document is taken so that sources meet their target sizes in words.
 
-    Returns one row per input row: doc_id, source, size, source_size, target, copies, taken
+    Returns one row per input row: doc_id, row (hash of the text), source, size, source_size, target, copies, taken
     (copies x size). Every document of a source has the same expected copies, target /
     source_size; documents stand in a fixed order (size class, hash slice, size, id), the
     prefix sum of expected copies gets one offset per source, and a document is emitted
@@ -55,21 +55,21 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Ranks come from counts per (source, size class, slice), so no task holds a whole source.
     """
     words = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
-    sized = stored(pick(docs, doc_id=id_col, text=text_col, source=source_col).select("doc_id", "source", words.alias("size")), "sizes")
+    sized = stored(pick(docs, doc_id=id_col, text=text_col, source=source_col).select("doc_id", "source", F.xxhash64(text_or_empty()).alias("row"), words.alias("size")), "sizes")
     sized = sized.withColumn("klass", F.floor(F.sqrt("size"))).withColumn("slice", F.floor(_unit(F.col("doc_id"), seed) * SALTS))
     counts = sized.groupBy("source", "klass", "slice").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("words"))
     targets = source_targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
     before = Window.partitionBy("source").orderBy("klass", "slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("source", "klass", "slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
 
-    place = Window.partitionBy("source", "klass", "slice").orderBy("size", F.col("doc_id").isNull(), "doc_id")
+    place = Window.partitionBy("source", "klass", "slice").orderBy("size", F.col("doc_id").isNull(), "doc_id", "row")
     ranked = sized.withColumn("place", F.row_number().over(place) - 1).alias("d")
     joined = ranked.join(starts.alias("s"), F.expr("d.source <=> s.source AND d.klass = s.klass AND d.slice = s.slice")).drop(F.col("s.source"), F.col("s.klass"), F.col("s.slice"))
     joined = joined.alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source")).drop(F.col("t.source"))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     i, offset = F.col("start") + F.col("place"), _unit(F.col("source"), seed)
     copies = (F.floor((i + 1) * each + offset) - F.floor(i * each + offset)).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    return joined.select("doc_id", "row", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
@@ -82,10 +82,10 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text, doc_id = F.col(f"c{names.index(text_col)}"), F.col(f"c{names.index(id_col)}")
     plain = plain.withColumn("_id", doc_id).withColumn("_row", F.xxhash64(F.coalesce(text, F.lit(""))))
-    keyed = plain.select(F.struct("_id", "_row").alias("key"), text.alias("text"), F.col(f"c{names.index(source_col)}").alias("source"))
-    mixed = mix_sources(keyed, "key", "text", "source", weights, share, cap, seed)
-    # One number of copies for each key; equal rows share their sum evenly, the first ones take the rest.
-    copies = stored(mixed.groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0").select(F.col("doc_id._id").alias("_doc"), F.col("doc_id._row").alias("_own"), "copies", "rows"), "copies")
+    mixed = mix_sources(docs, id_col, text_col, source_col, weights, share, cap, seed)
+    # One number of copies for each (id, text); equal rows share their sum evenly.
+    copies = mixed.groupBy("doc_id", "row").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    copies = stored(copies.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_own"), "copies", "rows"), "copies")
     joined = join_checked(plain, copies, F.expr("_id <=> _doc AND _row = _own"))
     single = joined.where("rows = 1").withColumn("_times", F.col("copies"))
     several = joined.where("rows > 1").withColumn("_place", F.row_number().over(Window.partitionBy("_doc", "_own").orderBy("_row")) - 1)

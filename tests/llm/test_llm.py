@@ -163,7 +163,7 @@ def test_huffman_lengths(counts, limit):
     lengths = huffman.code_lengths(np.array(counts, np.int64), limit)
     used = [n for n, c in zip(lengths, counts, strict=True) if c]
     assert all((n > 0) == (c > 0) for n, c in zip(lengths, counts, strict=True)) and max(used, default=0) <= limit
-    assert sum(2.0**-n for n in used) <= 1
+    assert sum(2.0 ** -int(n) for n in used) <= 1
 
 
 @given(st.lists(st.lists(st.integers(0, 40), max_size=700), min_size=1, max_size=6))
