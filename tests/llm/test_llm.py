@@ -312,6 +312,23 @@ def test_base_scores_and_windows(docs, texts):
         assert abs(r.base_score - sum(np.log10((x + 0.5) / (n + 0.5 * (v + 1))) for x in c)) < 1e-6 and r.score < 0
 
 
+def test_scores_do_not_depend_on_the_broadcast_pairs(docs):
+    few = docs.where("doc_id % 5 = 0")
+    scores = [{(r.doc_id): r.score for r in lm_scoring.lm_scores(few, RANKS, PATTERN, train_windows=32, head_pairs=n).collect()} for n in (lm_scoring.MAX_PAIRS, 50)]
+    assert scores[0].keys() == scores[1].keys() and all(abs(scores[0][i] - scores[1][i]) < 1e-4 * max(1, abs(scores[0][i])) for i in scores[0])
+
+
+def test_training_windows_grow_with_the_ids(docs, monkeypatch):
+    """Windows beyond the first task's take part: with few ids a window the weights differ, and repeat exactly."""
+    few = docs.where("doc_id % 5 = 0")
+    run = lambda: {r.doc_id: r.score for r in lm_scoring.lm_scores(few, RANKS, PATTERN, train_windows=8).collect()}
+    monkeypatch.setattr(lm_scoring, "WINDOW_IDS", 10**9)
+    first = run()
+    monkeypatch.setattr(lm_scoring, "WINDOW_IDS", 256)
+    grown = run()
+    assert grown == run() and sum(grown.values()) > sum(first.values())
+
+
 @given(st.lists(st.integers(0, 130), min_size=1, max_size=5))
 @settings(max_examples=50, deadline=None)
 def test_windows_score_each_id_once(sizes):
