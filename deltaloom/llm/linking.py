@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -51,19 +51,24 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _compared(pairs: DataFrame, grams: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the Jaccard similarity of their sets."""
-    left, right = (grams.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "ab")
+def _compared(pairs: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] | None = None, least: float = 0.0) -> DataFrame:
+    """Pairs (a, b) with the Jaccard similarity of their sets; those that their sizes keep below ``least`` go."""
+    left, right = (grams.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams"), F.col("n").alias(f"{x}_n")) for x in "ab")
     both = pairs.join(right, "b").join(left, "a")
-    common = F.size(F.array_intersect("a_grams", "b_grams"))
-    return both.select("a", "b", (common / (F.size("a_grams") + F.size("b_grams") - common)).alias("j"))
+    if least:
+        both = both.where(F.least("a_n", "b_n") >= (least - 1e-8) * F.greatest("a_n", "b_n"))
+    one, other = (sets(F.col(x)) if sets else F.col(x) for x in ("a_grams", "b_grams"))
+    both = both.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), F.size(F.array_intersect(one, other)).alias("common"))
+    return both.select("a", "b", (F.col("common") / (F.col("n") - F.col("common"))).alias("j"))
 
 
-def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame], threshold: float, sets: Callable[[Column], Column] | None = None) -> DataFrame:
     """Components of the graph that links bucket mates of similarity ``threshold`` or more.
 
     ``entries`` is a stored frame (id, keys): ids that share a key are candidates. ``grams_of``
-    gives (id, grams), arrays of distinct hashes, for a frame of ids. Returns (id, label)
+    gives (id, grams), arrays of distinct hashes, for a frame of ids; with ``sets`` it gives
+    (id, grams, n) where ``sets`` of a pair's grams, taken when the pair is compared, are the
+    arrays and n their size, so what is shuffled can be the shorter text. Returns (id, label)
     for ids with a link. Not every pair of a bucket is compared, yet no link that would join two
     components is missed: small buckets compare all pairs; a member of large ones is
     compared with its guide, the best connected id of all its large buckets; then, round by round, the
@@ -78,7 +83,8 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     twins = buckets.where("size = 2").select(F.col("least").alias("a"), F.col("most").alias("b")).distinct()
     members = stored(exploded.join(buckets.where("size > 2"), "key").select("key", "id", "least", "size").distinct(), "members")
     ids = stored(twins.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct(), "candidates")
-    grams = stored(grams_of(ids), "grams")
+    grams = grams_of(ids)
+    grams = stored(grams if sets else grams.withColumn("n", F.size("grams")), "grams")
 
     # First round: small buckets compare all pairs, a member of large ones meets its guide.
     few = members.where(F.col("size") <= SMALL_BUCKET).select("key", "id")
@@ -89,10 +95,11 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     fullest = weighed.groupBy("key").agg(F.max(F.struct("mass", (-F.col("id")).alias("minus"))).alias("top"))
     guides = weighed.join(fullest, "key").groupBy("id").agg((-F.max("top")["minus"]).alias("guide"))
     guides = stored(guides.select("id", "guide", F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b")), "guides")
-    pairs = twins.unionByName(close).unionByName(guides.where("guide <> id").select("a", "b")).distinct()
-    compared = stored(_compared(pairs, grams), "compared")
     near = F.col("j") >= threshold - 1e-9
-    links = compared.where(near).select("a", "b")
+    compared = stored(_compared(guides.where("guide <> id").select("a", "b").distinct(), grams, sets), "compared")
+    others = twins.unionByName(close).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    others = stored(_compared(others, grams, sets, threshold).where(near).select("a", "b"), "links")
+    links = compared.where(near).select("a", "b").unionByName(others)
     labels = connected_components(links)
     near_guide = guides.join(compared, ["a", "b"], "left")
     near_guide = near_guide.select("id", "guide", F.when(F.col("guide") == F.col("id"), F.lit(1.0)).otherwise(F.col("j")).alias("j"))
@@ -112,7 +119,7 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
         possible = (F.col("label") != F.col("leader_label")) & ((F.col("guide") != F.col("leader_guide")) | (F.abs(F.col("j") - F.col("leader_j")) <= 1 - threshold + 1e-9))
         mates = now.withColumnRenamed("key", "_key")
         pairs = turn.join(mates, (F.col("key") == F.col("_key")) & possible).select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
-        found = stored(_compared(pairs, grams).where(near).select("a", "b"), "links")
+        found = stored(_compared(pairs, grams, sets, threshold).where(near).select("a", "b"), "links")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = connected_components(links)

@@ -295,6 +295,34 @@ def test_line_dedup_equals_brute_force(docs, texts):
     assert {i: v for i, v in got.items() if v} == dict(want)
 
 
+def every_shingle(line):
+    return frozenset(line[i : i + 8] for i in range(max(len(line) - 7, 1)))
+
+
+def test_char_shingles_start_at_every_character(spark):
+    lines = ["a", "seven77", "eight888", "nine 9999", "x" * 31, "日本語😀のテキスト" * 9, " ".join(f"w{i}" for i in range(60))] + ["".join(chr(97 + i * i % 23) for i in range(n)) for n in (38, 39, 40, 41, 64, 71, 72, 103)]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select(F.size(line_dedup.char_shingles(F.col("line"))).alias("n")).collect()
+    assert [r.n for r in got] == [len(every_shingle(x)) for x in lines] and all(set(re.findall(line_dedup.SHINGLE, x)) == every_shingle(x) for x in lines)
+
+
+def test_line_links_by_shingles_at_every_character(spark):
+    """Pairs with one letter changed: near ones (by brute force at every character) lose their later line, others do not."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    texts, want = [], []
+    for k in range(80):
+        line = " ".join(word() for _ in range(rng.randint(8, 16)))
+        at = rng.choice([i for i, c in enumerate(line) if c != " "])
+        other = line[:at] + "#" + line[at + 1 :]
+        a, b = every_shingle(line), every_shingle(other)
+        texts += [(2 * k, line), (2 * k + 1, other)]
+        want.append(len(a & b) / len(a | b) >= 0.8)
+    got = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup_report(frame(spark, texts)).collect()}
+    assert 20 < sum(want) < 75
+    lost = [k for k in range(80) if want[k] and not got[2 * k + 1]]
+    assert not any(got[2 * k + 1] for k in range(80) if not want[k]) and len(lost) <= 1 and not any(got[2 * k] for k in range(80))
+
+
 def test_binned_minima_ignore_order(spark):
     df = spark.createDataFrame([([5, 9, -3, 77],), ([77, 5, -3, 9, 9],), ([],)], "g array<long>")
     a, b, c = [r.m for r in binning.binned_minima(df, "g", "m", 16).collect()]
