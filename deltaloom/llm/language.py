@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,10 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import join_checked, pick, stored
 
-#: Bounds of the labelled sample that the automata are built from.
-SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 64, 24_000, 32
-#: Symbols of the automata: 0 is anything that is not a letter, the last is a letter never seen.
-MAX_LETTERS = 94
+#: Bounds of the labelled sample of a language that its automaton is built from.
+SAMPLE_ROWS, SAMPLE_CHARS = 64, 24_000
 #: Characters that are parsed as one lane.
 LANE = 512
 
@@ -24,21 +23,20 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_fold: int | None, rows: int, languages: int) -> dict[str, str]:
-    """Texts of up to ``rows`` labelled rows of each of the ``languages`` most frequent languages.
+def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_fold: int | None, rows: int) -> dict[str, str]:
+    """Texts of up to ``rows`` labelled rows of every language.
 
     Rows are the least by a hash of the id, so the sample does not depend on partitions. The
-    sample is bounded by rows x languages x SAMPLE_CHARS characters.
+    sample is bounded by rows x SAMPLE_CHARS characters for each language.
     """
     d = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).where("lang IS NOT NULL AND text IS NOT NULL")
     if held_fold is not None:
         d = d.where(fold_of(F.col("doc_id")) != held_fold)
     kept = d.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id").alias("rank"))
-    top = kept.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
     # The limit of ranks is applied in each partition before the shuffle.
     place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
     ranks = kept.select("lang", "rank").withColumn("place", place).where(F.col("place") <= rows)
-    ranks = ranks.join(F.broadcast(top.select("lang")), "lang", "left_semi").select("lang", "rank").distinct()
+    ranks = ranks.select("lang", "rank").distinct()
     found = kept.join(F.broadcast(ranks), ["lang", "rank"]).orderBy("lang", "rank", "text").collect()
     texts: dict[str, str] = {}
     for row in found:
@@ -46,34 +44,63 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     return texts
 
 
+@dataclass
+class Transitions:
+    """A sparse table (states x symbols) of next states, -1 where there is none.
+
+    Rows are shifted into one array so that no two used cells meet; a cell names the state it
+    belongs to. A look-up is two reads however many symbols there are.
+    """
+
+    shift: np.ndarray  # first cell of each state
+    cells: np.ndarray  # state << 32 | next state; -1 is unused
+
+    @classmethod
+    def of(cls, moves: list[dict[int, int]], symbols: int) -> Transitions:
+        used: dict[int, int] = {}
+        size = 2 * sum(map(len, moves)) + 64
+        shift, rng = np.zeros(len(moves), np.int64), random.Random(7)
+        # The states with most moves first, while the array is empty; what finds no place goes to a longer end.
+        for state in sorted(range(len(moves)), key=lambda s: (-len(moves[s]), s)):
+            out = moves[state]
+            places = (int(rng.random() * size) for _ in range(64))
+            at = next((p for p in places if all(p + c not in used for c in out)), None)
+            if at is None:
+                at = size + symbols
+                size = at + 1
+            shift[state] = at
+            used.update((at + c, state << 32 | to) for c, to in out.items())
+        cells = np.full(size + symbols, -1, np.int64)
+        cells[np.fromiter(used.keys(), np.int64, len(used))] = np.fromiter(used.values(), np.int64, len(used))
+        return cls(shift, cells)
+
+    def __len__(self) -> int:
+        return len(self.shift)
+
+    def __getitem__(self, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        state, symbol = at
+        cell = self.cells[self.shift[state] + symbol]
+        return np.where(cell >> 32 == state, cell & 0xFFFFFFFF, -1)
+
+
 @dataclass
 class CrossParser:
-    """Automata of several languages in one transition table, and the alphabet they share."""
+    """An automaton for each language, and the alphabet they share: all letters of the sample.
+
+    Symbol 0 is anything that is not a letter, the last is a letter that no sample has.
+    """
 
     languages: list[str]
-    symbols: np.ndarray  # symbol of each code point below its length
-    table: np.ndarray  # (states, symbols): next state or -1
-    roots: np.ndarray  # start state of each language
+    symbols: np.ndarray  # symbol of each code point
+    tables: list[Transitions]
 
     @classmethod
     def fit(cls, texts: dict[str, str], chars: int = SAMPLE_CHARS) -> CrossParser:
         languages = sorted(texts)
         share = {lang: _balanced(texts[lang], chars) for lang in languages}
-        counts: dict[str, int] = {}
-        for lang in languages:
-            for c in share[lang].lower():
-                if c.isalpha():
-                    counts[c] = counts.get(c, 0) + 1
-        letters = sorted(counts, key=lambda c: (-counts[c], c))[:MAX_LETTERS]
+        letters = sorted({c for lang in languages for c in share[lang].lower() if c.isalpha()})
         symbols = _alphabet(letters)
-        # Without any language the table is one state that nothing leads from.
-        tables, roots, size = [np.full((1, len(letters) + 2), -1)] if not languages else [], [], 0
-        for lang in languages:
-            table = suffix_automaton(_encode(share[lang], symbols), len(letters) + 2)
-            roots.append(size)
-            tables.append(np.where(table >= 0, table + size, -1))
-            size += len(table)
-        return cls(languages, symbols, np.concatenate(tables).astype(np.int32), np.array(roots, np.int32))
+        return cls(languages, symbols, [suffix_automaton(_encode(share[lang], symbols), len(letters) + 2) for lang in languages])
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text in each language (n x languages), and letters of each text.
@@ -86,29 +113,29 @@ class CrossParser:
         letters = np.array([np.count_nonzero(c) for c in codes], np.int64)
         lanes = -(-lengths // LANE)
         owner = np.repeat(np.arange(len(texts)), lanes)
-        grid = np.full((len(owner), LANE), -1, np.int16)
+        grid = np.full((len(owner), LANE), -1, np.int32)
         for text, (code, first) in enumerate(zip(codes, np.cumsum(lanes) - lanes, strict=True)):
             grid.reshape(-1)[first * LANE : first * LANE + lengths[text]] = code
         counts = np.zeros((len(self.languages), len(owner)), np.int32)
         width = np.minimum(lengths[owner] - (np.arange(len(owner)) - (np.cumsum(lanes) - lanes)[owner]) * LANE, LANE)
         order = np.argsort(-width, kind="stable")
         grid, sorted_width = np.ascontiguousarray(grid[order].T), width[order]
-        flat, n_symbols = self.table.reshape(-1), self.table.shape[1]
         live = np.searchsorted(-sorted_width, -np.arange(LANE), "left")
-        for k, root in enumerate(self.roots):
-            base = int(root) * n_symbols
-            state = np.full(len(owner), root, np.int32)
+        symbols = int(self.symbols.max()) + 1
+        for k, table in enumerate(self.tables):
+            first = table[np.zeros(symbols, np.int64), np.arange(symbols)]
+            # A letter that the language lacks is a phrase of its own.
+            first = np.maximum(first, 0)
+            state = np.zeros(len(owner), np.int64)
             ended = np.zeros(len(owner), np.int32)
             for step in range(LANE):
                 n = int(live[step])
                 if not n:
                     break
-                c = grid[step, :n].astype(np.int32)
-                moved = flat[state[:n] * n_symbols + c]
+                c = grid[step, :n]
+                moved = table[state[:n], c]
                 stuck = moved < 0
-                again = flat[base + c]
-                # A letter that the language lacks is a phrase of its own.
-                state[:n] = np.where(stuck, np.where(again < 0, root, again), moved)
+                state[:n] = np.where(stuck, first[c], moved)
                 ended[:n] += stuck
             counts[k, order] = ended + 1
         out = np.zeros((len(texts), len(self.languages)), np.int64)
@@ -135,7 +162,7 @@ def _balanced(text: str, chars: int) -> str:
 
 def _alphabet(letters: list[str]) -> np.ndarray:
     """Symbols by code point: letters in order from 1, other letters last, the rest 0."""
-    out = np.zeros(0x110000, np.int16)
+    out = np.zeros(0x110000, np.int32)
     known = {c: i + 1 for i, c in enumerate(letters)}
     for point in range(0x110000):
         c = chr(point)
@@ -155,8 +182,8 @@ def _encode(text: str, symbols: np.ndarray) -> np.ndarray:
     return code[keep]
 
 
-def suffix_automaton(code: np.ndarray, symbols: int) -> np.ndarray:
-    """Transitions (states x symbols, -1 for none) of the automaton of all substrings of ``code``."""
+def suffix_automaton(code: np.ndarray, symbols: int) -> Transitions:
+    """Transitions of the automaton of all substrings of ``code``."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in code.tolist():
@@ -182,24 +209,20 @@ def suffix_automaton(code: np.ndarray, symbols: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[new] = copy
         last = new
-    table = np.full((len(moves), symbols), -1, np.int32)
-    for state, out in enumerate(moves):
-        for c, to in out.items():
-            table[state, c] = to
-    return table
+    return Transitions.of(moves, symbols)
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_fold: int | None = 0, rows: int = SAMPLE_ROWS, languages: int = MAX_LANGUAGES) -> DataFrame:
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_fold: int | None = 0, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The language of every whole text: doc_id, row (hash of the text), lang_pred, score.
 
     Learns from a bounded sample of labelled rows (see ``labelled_sample``; ids whose CRC fold is
     ``held_fold`` are left out) and predicts from the text alone. The score is the
     winner's share of the odds, 0 to 1. Null texts and texts without letters are ``und`` with
     score 0, as is everything when no labelled row exists. One narrow pass; the
-    broadcast model is bounded by the sample.
+    broadcast model grows with the number of languages and the bounded sample of each.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(CrossParser.fit(labelled_sample(docs, id_col, text_col, lang_col, held_fold, rows, languages)))
+    model = spark.sparkContext.broadcast(CrossParser.fit(labelled_sample(docs, id_col, text_col, lang_col, held_fold, rows)))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -120,6 +120,28 @@ def test_language_held_out(docs):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97 and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_of_many_scripts_and_labels(spark):
+    """40 languages of 30 letters each, none of them among the most frequent letters of all."""
+    rng = random.Random(3)
+    texts, langs = [], []
+    for k in range(40):
+        letters = [chr(0x4E00 + 30 * k + i) for i in range(30)]
+        for _ in range(4 + k % 2):
+            texts.append("".join(rng.choice(letters) for _ in range(120)))
+            langs.append(f"l{k:02}")
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify_languages(docs, held_fold=None).collect()}
+    assert [got[i] for i in range(len(texts))] == langs
+
+
+def test_transitions_of_wide_rows():
+    rng = random.Random(8)
+    moves = [{c: rng.randrange(400) for c in rng.sample(range(900), rng.choice([0, 1, 2, 60, 700]))} for _ in range(400)]
+    table = language.Transitions.of(moves, 900)
+    at = np.divmod(np.arange(400 * 900), 900)
+    assert table[at].tolist() == [moves[s].get(c, -1) for s in range(400) for c in range(900)]
+
+
 @given(st.text("ab c", max_size=40), st.text("ab c", max_size=12))
 @settings(max_examples=80, deadline=None)
 def test_suffix_automaton_knows_all_substrings(text, part):
