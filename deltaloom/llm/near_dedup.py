@@ -49,14 +49,13 @@ def prob_minhash(grams: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: i
 
 
 def _weighted(grams: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (owner, gram) with weight 1 + ln(count)."""
+    """Distinct (owner, gram), each with weight 1: links are by sets, and so registers agree with their Jaccard similarity."""
     order = np.lexsort((grams, owner))
     g, o = grams[order], owner[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
     at = np.flatnonzero(new)
-    counts = np.diff(np.append(at, len(g)))
-    return g[at], 1.0 + np.log(counts), o[at]
+    return g[at], np.ones(len(at)), o[at]
 
 
 def _sequences(column: pa.StringArray, words: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
@@ -96,8 +95,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Classes of documents that are connected by near-duplicate links.
 
     Two documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is
-    at least ``threshold``; candidates come from ProbMinHash signatures of the shingles weighted by
-    1 + ln(count), every candidate link is verified on the exact sets. Returns one row per
+    at least ``threshold``; candidates come from ProbMinHash signatures of the distinct shingles,
+    each of weight 1, every candidate link is verified on the exact sets. Returns one row per
     input row: doc_id, row (hash of the text), class_id (least id of the class), copies (rows
     with the same word sequence), kept (the row's id is the class id). Texts of fewer
     words are one shingle; null and blank texts have the same empty word sequence and form one

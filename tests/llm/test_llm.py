@@ -253,6 +253,18 @@ def test_near_duplicates_equal_brute_force(docs, texts):
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()} == want
 
 
+def test_repeated_shingles_do_not_hide_near_copies(spark):
+    """100 common shingles and a line repeated 1,000 times in one copy: near by sets, far apart by counts."""
+    pairs = []
+    for k in range(12):
+        own = " ".join(f"a{k}x{i}" for i in range(104))
+        pairs += [(2 * k, own), (2 * k + 1, own + (" " + " ".join(f"b{k}x{i}" for i in range(8))) * 1000)]
+    sets = [shingles(t) for _, t in pairs[:2]]
+    assert 0.8 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.95
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame(spark, pairs)).collect()}
+    assert got == {i: i - i % 2 for i in range(24)}
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     grams = rng.integers(0, 2**63, 60).astype(np.uint64)
