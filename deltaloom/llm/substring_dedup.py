@@ -1,4 +1,8 @@
-"""Substring deduplication by relative Lempel-Ziv factors over an index of reference blocks."""
+"""Substring deduplication by counting windows of words that seeds bring together.
+
+This replaces a relative Lempel-Ziv parse: no text is factored against a reference block and no
+longest match is computed, since that is quadratic in the corpus.
+"""
 
 from __future__ import annotations
 
@@ -65,7 +69,8 @@ def copied_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Factors of repeated windows in texts of which no copy exists: (_doc, _row, factors).
 
-    A text is factored greedily: a factor is the longest run of words whose windows all occur
+    No greedy parse is done: windows are counted by 64-bit hash, and a factor, formed afterwards, is the
+    union of repeated windows that touch, the longest run of words whose windows all occur
     elsewhere, and ends at a boundary where the next window is unique; factors are (from,
     to) in words.
 
