@@ -27,7 +27,8 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     """Texts of up to ``rows`` labelled rows of every language.
 
     Rows are the least by a hash of the id, so the sample does not depend on partitions. The
-    sample is bounded by rows x SAMPLE_CHARS characters for each language.
+    collected sample is bounded by rows x SAMPLE_CHARS characters for each language; of these
+    SAMPLE_CHARS are kept, an equal share of each row (see ``_shared``).
     """
     d = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).where("lang IS NOT NULL AND text IS NOT NULL")
     if held_fold is not None:
@@ -38,10 +39,19 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     ranks = kept.select("lang", "rank").withColumn("place", place).where(F.col("place") <= rows)
     ranks = ranks.select("lang", "rank").distinct()
     found = kept.join(F.broadcast(ranks), ["lang", "rank"]).orderBy("lang", "rank", "text").collect()
-    texts: dict[str, str] = {}
+    texts: dict[str, list[str]] = {}
     for row in found:
-        texts[row.lang] = texts.get(row.lang, "") + "\n" + row.text
-    return texts
+        texts.setdefault(row.lang, []).append(row.text)
+    return {lang: _shared(parts, SAMPLE_CHARS) for lang, parts in texts.items()}
+
+
+def _shared(parts: list[str], chars: int) -> str:
+    """The first characters of each text, as many of each as ``chars`` allow; what short ones leave goes to the longer."""
+    left, share = chars, {}
+    for k, i in enumerate(sorted(range(len(parts)), key=lambda i: len(parts[i]))):
+        share[i] = min(len(parts[i]) + 1, left // (len(parts) - k))
+        left -= share[i]
+    return "".join("\n" + part[: share[i] - 1] for i, part in enumerate(parts) if share[i] > 0)
 
 
 @dataclass
@@ -93,6 +103,7 @@ class CrossParser:
     languages: list[str]
     symbols: np.ndarray  # symbol of each code point
     tables: list[Transitions]
+    cost: np.ndarray  # of a phrase of each language, 1 for the longest sample
 
     @classmethod
     def fit(cls, texts: dict[str, str], chars: int = SAMPLE_CHARS) -> CrossParser:
@@ -100,7 +111,10 @@ class CrossParser:
         share = {lang: _balanced(texts[lang], chars) for lang in languages}
         letters = sorted({c for lang in languages for c in share[lang].lower() if c.isalpha()})
         symbols = _alphabet(letters)
-        return cls(languages, symbols, [suffix_automaton(_encode(share[lang], symbols), len(letters) + 2) for lang in languages])
+        codes = [_encode(share[lang], symbols) for lang in languages]
+        # A phrase names its place in the sample and the symbol that ends it.
+        cost = np.array([np.log((len(code) + 1) * (len(letters) + 2)) for code in codes])
+        return cls(languages, symbols, [suffix_automaton(code, len(letters) + 2) for code in codes], cost / cost.max(initial=1.0))
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text in each language (n x languages), and letters of each text.
@@ -147,7 +161,8 @@ class CrossParser:
         found, letters = self.phrases(texts)
         if not self.languages:
             return ["und"] * len(texts), np.zeros(len(texts))
-        # Fewest phrases for the number of symbols; automata of equal length make them comparable.
+        # Least cost of the phrases: a place in a short sample is cheaper to name.
+        found = found * self.cost
         best = found.argmin(axis=1)
         least = found[np.arange(len(texts)), best]
         odds = np.exp(-np.minimum(0.5 * (found - least[:, None]), 700.0))

@@ -134,6 +134,14 @@ def test_language_of_many_scripts_and_labels(spark):
     assert [got[i] for i in range(len(texts))] == langs
 
 
+def test_sample_takes_an_equal_share_of_each_row():
+    parts = ["a" * 50_000, "b" * 300, "c" * 20_000]
+    got = collections.Counter(language._shared(parts, 24_000))
+    assert got["b"] == 300 and abs(got["a"] - got["c"]) <= 1 and 23_990 < sum(got.values()) <= 24_000
+    model = language.CrossParser.fit({"long": "abcd" * 500, "short": "dcba" * 5})
+    assert model.cost[0] == 1 and model.cost[1] < 1 and model.predict(["abcdabcd", "dcbadcba"])[0] == ["long", "short"]
+
+
 def test_transitions_of_wide_rows():
     rng = random.Random(8)
     moves = [{c: rng.randrange(400) for c in rng.sample(range(900), rng.choice([0, 1, 2, 60, 700]))} for _ in range(400)]
