@@ -31,7 +31,16 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame to the shared folder and read it again: cuts lineage and survives lost executors."""
     path = shared_folder(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame from ``stored`` that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pick(df: DataFrame, **names: str | None) -> DataFrame:

@@ -7,14 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
-#: Buckets up to this size compare all their pairs at once; larger ones work through leaders.
+#: Buckets up to this size compare all their pairs; members of larger ones meet a guide first.
 SMALL_BUCKET = 16
-#: Leaders that a large bucket adds in a round at least.
-LEADERS = 16
-#: Pairs that a round may compare; the leaders of a round are fewer where this is passed.
-ROUND_PAIRS = 4_000_000
+#: Slack of comparisons with fractions.
+TINY = 1e-9
 
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
@@ -28,9 +26,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """Union-find over edges (a, b) by alternating large-star and small-star steps.
 
     Returns (id, label), the least id of its component, for every id that has an edge. Each
-    step hooks neighbours to the least one among them and is written to the shared folder;
-    rounds grow with the logarithm of the longest path. No step gathers a node's
-    neighbours: the least is a partial aggregate, and hooking is a join.
+    step hooks neighbours to the least one among them and is written to the shared folder, where
+    it replaces the step before; rounds grow with the logarithm of the longest path. No step
+    gathers a node's neighbours: the least is a partial aggregate, and hooking is a join.
     """
     edges = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     if edges.isEmpty():
@@ -40,26 +38,73 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b")
         large = stored(large, "large-star")
+        discard(edges)
         least = large.groupBy("b").agg(F.min("a").alias("m")).withColumnRenamed("b", "u")
         small = large.join(least, F.col("b") == F.col("u")).select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
         edges = stored(small, "small-star")
+        discard(large)
     ids = edges.select(F.col("b").alias("id"), F.col("a").alias("label"))
-    return stored(ids.unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("label"))).distinct(), "labels")
-
-
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    labels = stored(ids.unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("label"))).distinct(), "labels")
+    discard(edges)
+    return labels
 
 
-def _compared(pairs: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] | None = None, least: float = 0.0) -> DataFrame:
-    """Pairs (a, b) with the Jaccard similarity of their sets; those that their sizes keep below ``least`` go."""
-    left, right = (grams.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams"), F.col("n").alias(f"{x}_n")) for x in "ab")
+def _with_sets(pairs: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] | None, least: float = 0.0) -> DataFrame:
+    """Pairs (a, b) with their sets (a_set, b_set) and sizes (a_n, b_n); those that their sizes keep below ``least`` go."""
+    left, right = (grams.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_set"), F.col("n").alias(f"{x}_n")) for x in "ab")
     both = pairs.join(right, "b").join(left, "a")
     if least:
-        both = both.where(F.least("a_n", "b_n") >= (least - 1e-8) * F.greatest("a_n", "b_n"))
-    one, other = (sets(F.col(x)) if sets else F.col(x) for x in ("a_grams", "b_grams"))
-    both = both.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), F.size(F.array_intersect(one, other)).alias("common"))
-    return both.select("a", "b", (F.col("common") / (F.col("n") - F.col("common"))).alias("j"))
+        both = both.where(F.least("a_n", "b_n") >= (least - TINY) * F.greatest("a_n", "b_n"))
+    return both.withColumns({x: sets(F.col(x)) for x in ("a_set", "b_set")}) if sets else both
+
+
+def _near(pairs: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] | None, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose sets have a Jaccard similarity of ``threshold`` or more."""
+    both = _with_sets(pairs, grams, sets, threshold)
+    both = both.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
+    return both.where(F.col("common") >= (threshold - TINY) * (F.col("n") - F.col("common"))).select("a", "b")
+
+
+def _guided(large: DataFrame) -> DataFrame:
+    """(guide, id): each member of a large bucket beside the bucket's guide, the id whose buckets are fullest.
+
+    That is what near copies were made from, if it is there.
+    """
+    weighed = large.join(large.groupBy("id").agg(F.sum("size").alias("mass")), "id")
+    fullest = weighed.groupBy("key").agg((-F.max(F.struct("mass", (-F.col("id")).alias("minus")))["minus"]).alias("guide"))
+    return large.join(fullest, "key").where("guide <> id").select("guide", "id").distinct()
+
+
+def _differing_mates(guided: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ids of one guide that may be near and of which one at least isn't near the guide.
+
+    ``guided`` has (guide, id, tokens, d, i, g, w): ``tokens`` are the elements in which the id
+    and its guide differ (d of the guide's that the id lacks, i of its own). With c = threshold /
+    (1 + threshold), w = (1 - c) d + c i and g = (1 - 2 c) * (size of the guide), an id is near
+    the guide if w <= g, and two ids are near only if they share w + w' - g tokens. Where one is
+    not near the guide that is more than none, so prefix filtering is exact: with tokens
+    ordered from the rarest, two such ids share one among the first few of each, and
+    enough tokens follow it in both.
+    """
+    far = F.col("w") > F.col("g") + TINY
+    bounds = guided.groupBy("guide").agg(F.min(F.when(far, F.col("w"))).alias("far_w"), F.min("w").alias("least_w")).where("far_w IS NOT NULL")
+    some = guided.join(bounds, "guide").withColumn("far", far)
+    shared = F.col("w") - F.col("g") + F.when(F.col("far"), F.col("least_w")).otherwise(F.col("far_w"))
+    some = some.withColumn("head", (F.col("d") + F.col("i") - F.ceil(shared - TINY) + 1).cast("int")).where("head > 0")
+    tokens = some.select("guide", "id", "far", "head", "d", "i", "g", "w", F.explode("tokens").alias("token"))
+    tokens = stored(tokens, "differing")
+    rarity = tokens.groupBy("guide", "token").agg(F.count(F.lit(1)).alias("rarity")).where("rarity > 1")
+    # A token that no other id has can't be shared; it still takes its place among the first.
+    ordered = tokens.join(rarity, ["guide", "token"], "left").withColumn("at", F.row_number().over(Window.partitionBy("guide", "id").orderBy(F.col("rarity").asc_nulls_first(), "token")))
+    first = ordered.where("rarity IS NOT NULL AND at <= head").join(labels, "id", "left")
+    first = stored(first.select("guide", "token", "id", "far", F.coalesce("label", "id").alias("label"), "d", "i", "g", "w", (F.col("d") + F.col("i") - F.col("at") + 1).alias("rest")), "rare-tokens")
+    discard(tokens)
+    other = first.select(*[F.col(x).alias(f"{x}_") for x in ("guide", "token", "id", "far", "label", "d", "i", "w", "rest")])
+    due = F.col("w") + F.col("w_") - F.col("g") - TINY
+    enough = (F.least("rest", "rest_") >= due) & (F.least("d", "d_") + F.least("i", "i_") >= due)
+    once = (F.col("id") < F.col("id_")) | ~F.col("far_")
+    pairs = first.where("far").join(other, (F.col("guide") == F.col("guide_")) & (F.col("token") == F.col("token_")) & (F.col("label") != F.col("label_")) & once & enough)
+    return pairs.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
 
 
 def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame], threshold: float, sets: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -70,60 +115,31 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     (id, grams, n) where ``sets`` of a pair's grams, taken when the pair is compared, are the
     arrays and n their size, so what is shuffled can be the shorter text. Returns (id, label)
     for ids with a link. Not every pair of a bucket is compared, yet no link that would join two
-    components is missed: small buckets compare all pairs; a member of large ones is
-    compared with its guide, the best connected id of all its large buckets; then, round by round, the
-    members outside a bucket's main component are each compared with every mate of another
-    component, but for those that the triangle inequality rules out by their distances to a
-    common guide. At the end one of any two mates in different components has been compared
-    with the other, or they can't be near.
+    components is missed: small buckets compare all pairs; a member of a large one is compared
+    with the bucket's guide; two members near the guide are in one component already, and of
+    all other pairs those that can be near are found by what they share beside the
+    guide (``_differing_mates``).
     """
     exploded = entries.select("id", F.explode("keys").alias("key"))
     buckets = stored(exploded.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("size")).where("least < most"), "buckets")
     # Buckets of the same two ids say the same once.
     twins = buckets.where("size = 2").select(F.col("least").alias("a"), F.col("most").alias("b")).distinct()
-    members = stored(exploded.join(buckets.where("size > 2"), "key").select("key", "id", "least", "size").distinct(), "members")
+    members = stored(exploded.join(buckets.where("size > 2"), "key").select("key", "id", "size").distinct(), "members")
     ids = stored(twins.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct(), "candidates")
     grams = grams_of(ids)
     grams = stored(grams if sets else grams.withColumn("n", F.size("grams")), "grams")
 
-    # First round: small buckets compare all pairs, a member of large ones meets its guide.
     few = members.where(F.col("size") <= SMALL_BUCKET).select("key", "id")
     close = few.join(few.withColumnRenamed("id", "b"), "key").where("id < b").select(F.col("id").alias("a"), "b")
-    large = members.where(F.col("size") > SMALL_BUCKET)
-    # The guide of a bucket is the id whose buckets are fullest: what near copies were made from, if that is there.
-    weighed = large.join(large.groupBy("id").agg(F.sum("size").alias("mass")), "id")
-    fullest = weighed.groupBy("key").agg(F.max(F.struct("mass", (-F.col("id")).alias("minus"))).alias("top"))
-    guides = weighed.join(fullest, "key").groupBy("id").agg((-F.max("top")["minus"]).alias("guide"))
-    guides = stored(guides.select("id", "guide", F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b")), "guides")
-    near = F.col("j") >= threshold - 1e-9
-    compared = stored(_compared(guides.where("guide <> id").select("a", "b").distinct(), grams, sets), "compared")
-    others = twins.unionByName(close).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    others = stored(_compared(others, grams, sets, threshold).where(near).select("a", "b"), "links")
-    links = compared.where(near).select("a", "b").unionByName(others)
+    c = threshold / (1 + threshold)
+    guided = _with_sets(_guided(members.where(F.col("size") > SMALL_BUCKET)).select(F.col("guide").alias("a"), F.col("id").alias("b")), grams, sets)
+    guided = guided.select(F.col("a").alias("guide"), F.col("b").alias("id"), "a_n", F.array_except("a_set", "b_set").alias("lacking"), F.array_except("b_set", "a_set").alias("own"))
+    guided = guided.select("guide", "id", F.concat("lacking", "own").alias("tokens"), F.size("lacking").alias("d"), F.size("own").alias("i"), (F.col("a_n") * (1 - 2 * c)).alias("g"))
+    guided = stored(guided.withColumn("w", F.col("d") * (1 - c) + F.col("i") * c), "guided")
+    links = guided.where(F.col("w") <= F.col("g") + TINY).select(F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b"))
+    others = twins.unionByName(close).distinct().join(guided.select(F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b")), ["a", "b"], "left_anti")
+    links = stored(links.unionByName(_near(others, grams, sets, threshold)), "links")
     labels = connected_components(links)
-    near_guide = guides.join(compared, ["a", "b"], "left")
-    near_guide = near_guide.select("id", "guide", F.when(F.col("guide") == F.col("id"), F.lit(1.0)).otherwise(F.col("j")).alias("j"))
-    large = stored(large.select("key", "id").join(near_guide, "id").withColumn("led", F.lit(False)), "large")
-    while not large.isEmpty():
-        now = stored(_labelled(large, labels), "labelled")
-        counts = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        main = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("size"))
-        waiting = now.where("NOT led").join(main, "key").where("label <> main")
-        mates_left, total = waiting.groupBy("key").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum(F.col("size") * F.col("n")), F.lit(0))).first()
-        if not total:
-            break
-        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        turn = waiting if total <= ROUND_PAIRS else waiting.withColumn("_place", place).where(F.col("_place") <= max(LEADERS, ROUND_PAIRS // mates_left))
-        turn = stored(turn.select("key", F.col("id").alias("leader"), F.col("label").alias("leader_label"), F.col("guide").alias("leader_guide"), F.col("j").alias("leader_j")), "leaders")
-        # Jaccard distance is a metric: two ids whose distances to one guide differ by more than the limit can't be near.
-        possible = (F.col("label") != F.col("leader_label")) & ((F.col("guide") != F.col("leader_guide")) | (F.abs(F.col("j") - F.col("leader_j")) <= 1 - threshold + 1e-9))
-        mates = now.withColumnRenamed("key", "_key")
-        pairs = turn.join(mates, (F.col("key") == F.col("_key")) & possible).select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
-        found = stored(_compared(pairs, grams, sets, threshold).where(near).select("a", "b"), "links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = connected_components(links)
-        led = turn.select("key", F.col("leader").alias("id"), F.lit(True).alias("now_led"))
-        large = large.join(turn.select("key").distinct(), "key", "left_semi").join(led, ["key", "id"], "left")
-        large = stored(large.withColumn("led", F.col("led") | F.coalesce("now_led", F.lit(False))).drop("now_led"), "large")
-    return labels
+    found = stored(_near(_differing_mates(guided, labels, threshold), grams, sets, threshold), "links")
+    discard(guided)
+    return labels if found.isEmpty() else connected_components(links.unionByName(found))
