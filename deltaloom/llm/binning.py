@@ -38,24 +38,6 @@ def binned_minima(df: DataFrame, grams: str, out: str, bins: int, used: int | No
     return df.withColumn(out, minima).drop("_sorted", "_firsts", "_filled")
 
 
-def run_keys(df: DataFrame, grams: str, out: str, buckets: int, run: int) -> DataFrame:
-    """Add column ``out``: for each bucket with a shingle hash a 64-bit key of a run of minima.
-
-    The hashes are sorted; the top bits are the bucket (a power of two of them). A bucket's key is
-    the hash of its least value and the ``run`` - 1 values that follow, across the bucket's
-    end and around the array's: the least ``run`` of a one-permutation MinHash. Two sets of
-    similarity J share a bucket's key with a probability of about J ** run, as with a band of
-    that many registers, yet short sets never fill a band with one value.
-    """
-    shift = 64 - int(buckets).bit_length() + 1
-    bucket = lambda x: F.shiftrightunsigned(x, shift)
-    df = df.withColumn("_sorted", F.sort_array(F.array_distinct(F.col(grams)))).withColumn("_n", F.size("_sorted"))
-    places = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
-    firsts = F.filter(places, lambda i: (i == 0) | (bucket(F.get("_sorted", i)) != bucket(F.get("_sorted", i - 1))))
-    key = lambda i: F.xxhash64(bucket(F.get("_sorted", i)), *[F.get("_sorted", (i + j) % F.col("_n")) for j in range(run)])
-    return df.withColumn(out, F.transform(firsts, key)).drop("_sorted", "_n")
-
-
 def packed(minima: str, bits: int) -> Column:
     """The low ``bits`` (4 or 8) bits of each minimum as lower-case hex digits."""
     digits = F.array(*[F.lit(format(i, f"0{bits // 4}x")) for i in range(2**bits)])
