@@ -7,10 +7,11 @@ import hashlib
 import heapq
 import sys
 from array import array
-from collections.abc import Callable, Hashable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,28 +20,45 @@ from .common import pick, text_or_empty
 
 #: All characters that some engine counts as white space (fixed values).
 UNICODE_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
-#: Entries of each generation of a worker's memory of encoded chunks.
-MEMORY = 200_000
+#: Bytes, about, of each generation of a worker's memory, and the longest key that is remembered.
+MEMORY, LONGEST = 48 << 20, 64
+#: What an entry takes besides its key and value.
+ENTRY = 200
+#: Characters of texts that are encoded before their rows are handed on.
+SLICE = 1 << 20
 
 
 class Memory(dict):
-    """Computed values by key, in two generations of at most ``limit`` entries each."""
+    """Computed values by key, in two generations of about ``limit`` bytes each; long keys are computed anew."""
 
     def __init__(self, compute: Callable, limit: int = MEMORY):
         super().__init__()
-        self.compute, self.limit, self.older = compute, limit, {}
+        self.compute, self.limit, self.older, self.held = compute, limit, {}, 0
 
-    def __missing__(self, key: Hashable):
+    def __missing__(self, key: bytes | str):
+        if len(key) > LONGEST:
+            return self.compute(key)
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.limit:
-            self.older = dict(self)
+        if self.held >= self.limit:
+            self.older, self.held = dict(self), 0
             self.clear()
         self[key] = value
+        self.held += ENTRY + len(key) + len(value)
         return value
 
 
+def text_slices(column: pa.StringArray) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of a batch's column, so that only so many characters are Python strings at once."""
+    sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE, "right")))
+        yield at, column.slice(at, end - at).to_pylist()
+        at = end
+
+
 def spaced_chunks(text: str) -> list[str] | None:
     """The text cut before spaces, where each chunk but the first stands for ' ' + chunk.
 
@@ -191,15 +209,16 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
 
     ``vocabulary`` is a rank file that every worker can open. Null text counts as empty and
     gives no ids; ids may be null or repeat; other columns are ignored; one narrow pass
-    without any shuffle. Memory of a task: one Arrow batch and two bounded tables of
-    chunks seen before.
+    without any shuffle. Memory of a task: one Arrow batch, and tables of chunks seen before
+    that are bounded in bytes.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary, pattern)
         for batch in batches:
-            ids = [encoder.encode(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for at, texts in text_slices(batch.column(1)):
+                ids = [encoder.encode(text) for text in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     source = pick(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
     return source.mapInArrow(encode, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids binary")
@@ -224,12 +243,13 @@ def bpe_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary, pattern)
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                packed = encoder.encode(text)
-                rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(encoder.decode(packed)).hexdigest()))
-            n, ids, data = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for at, texts in text_slices(batch.column(1)):
+                rows = []
+                for text in texts:
+                    packed = encoder.encode(text)
+                    rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(encoder.decode(packed)).hexdigest()))
+                n, ids, data = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id"), text_or_empty().alias("text"))
     return source.mapInArrow(digest, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
