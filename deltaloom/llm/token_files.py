@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +16,12 @@ from .bpe import spaced_chunks
 from .common import join_checked, pick, shared_folder, stored, text_or_empty
 from .huffman import canonical_codes, code_lengths, decoding_table, pack, unpack
 
-#: Documents of a range, ranges at most, ids after which a block ends, chunks that a worker remembers.
-RANGE_ROWS, MAX_RANGES, BLOCK_IDS, MEMORY = 4096, 4096, 1 << 18, 500_000
+#: Documents of a range, ranges at most, ids after which a block ends, chunks in each of a worker's two tables.
+RANGE_ROWS, MAX_RANGES, BLOCK_IDS, MEMORY = 4096, 4096, 1 << 18, 400_000
+#: Marks that the byte-level pattern parts from a letter or digit before them, and the longest chunk that is remembered.
+MARKS, LONGEST = ".,;:!?", 48
+#: Letters from here on go to the library with its own pattern.
+LETTERS_END = "\u0370"
 
 
 class LibraryEncoder:
@@ -34,6 +38,12 @@ class LibraryEncoder:
         self.library.encode_special_tokens = True
         self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        self.code = "H" if self.width == "<u2" else "I"
+        # The byte-level alphabet writes a byte that is no printable character as one above it (fixed rule).
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = dict(zip([b for b in range(256) if b not in plain], range(256, 512), strict=False))
         vocabulary = self.library.get_vocab()
         #: Bytes of each token: the byte-level alphabet has one character a byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -57,22 +67,51 @@ class LibraryEncoder:
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, core: str) -> bytes:
+        """Ids of a space and Latin letters, one match of the pattern, so the library's merges alone decide."""
+        spelled = "\u0120" + core if core.isascii() else "\u0120" + core.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [token.id for token in self.library.model.tokenize(spelled)]).tobytes()
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not in the table at hand: from the older one, or of a word and the marks after it, or encoded."""
+        found, other, older, known = {}, [], self.older.get, self.known
+        if len(self.tails) > 10_000:
+            self.tails = {"": b""}
+        for chunk in new:
+            if (ids := older(chunk)) is None:
+                core = chunk.rstrip(MARKS)
+                if not core.isalpha() or not (core.isascii() or max(core) < LETTERS_END):
+                    other.append(chunk)
+                    continue
+                if (ids := known.get(core)) is None and (ids := older(core)) is None:
+                    ids = self._word(core)
+                    if len(core) <= LONGEST:
+                        known[core] = ids
+                if len(core) < len(chunk):
+                    tail = chunk[len(core) :]
+                    if tail not in self.tails:
+                        self.tails[tail] = self._batch([tail])[0]
+                    ids += self.tails[tail]
+            found[chunk] = ids
+        found.update(zip(other, self._chunks(other), strict=True))
+        known.update((k, v) for k, v in found.items() if len(k) <= LONGEST)
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [spaced_chunks(text) for text in texts]
         if len(self.known) > MEMORY:
-            self.known = dict(islice(self.known.items(), MEMORY // 2, None))
+            self.known, self.older = {}, self.known
         get, found, gaps, new = self.known.get, [], [], set()
         for part in parts:
             ids = list(map(get, part)) if part else []
-            gap = [i for i, x in enumerate(ids) if x is None and i]
+            gap = [i for i, x in enumerate(ids) if x is None and i] if None in ids else []
             new.update([part[i] for i in gap])
             found.append(ids)
             gaps.append(gap)
-        fresh = list(new)
-        self.known.update(zip(fresh, self._chunks(fresh), strict=True))
+        learnt = self._learn(new) if new else {}
         for part, ids, gap in zip(parts, found, gaps, strict=True):
             for i in gap:
-                ids[i] = self.known[part[i]]
+                ids[i] = learnt[part[i]]
         # The first chunk of a text has no space before it.
         heads = self._batch([text if part is None else part[0] for text, part in zip(texts, parts, strict=True)])
         return [head + b"".join(ids[1:]) for head, ids in zip(heads, found, strict=True)]
