@@ -292,6 +292,28 @@ def test_large_buckets_lose_no_link(spark):
     assert labels == {i: 0 for i in range(60)}
 
 
+@pytest.mark.parametrize("edits, base_there", [(14, True), (16, False), (12, True)])
+def test_large_buckets_of_near_copies_equal_brute_force(spark, edits, base_there):
+    """600 edited copies of one set near the threshold: as many link to the base as not, and some of these to each other only."""
+    rng = random.Random(edits)
+    base = list(range(80))
+    sets = {0: frozenset(base)} if base_there else {}
+    for i in range(1, 600):
+        if i % 9 == 0 and i - 1 in sets:  # a near copy of a copy
+            some = set(sets[i - 1])
+            some -= set(rng.sample(sorted(some), rng.randint(2, 9)))
+        else:
+            gone = {(at + k) % 80 for at in rng.sample(range(80), rng.randint(1, 6)) for k in range(rng.randint(2, edits // 3))}
+            some = set(base) - gone | {1000 * i + g for g in rng.sample(sorted(gone), len(gone) * 2 // 3)} | ({10**6 + i % 5} if i % 2 else set())
+        sets[i] = frozenset(some)
+    want = components(sets, 0.8)
+    linked = collections.Counter(want.values())
+    df = spark.createDataFrame([(i, [7, 8 + i % 3], sorted(x)) for i, x in sets.items()], "id long, keys array<long>, grams array<long>")
+    entries, grams = common.stored(df.select("id", "keys"), "t"), df.select("id", "grams")
+    labels = {r.id: r.label for r in linking.link_buckets(entries, lambda ids: grams.join(ids, "id"), 0.8).collect()}
+    assert labels == {i: c for i, c in want.items() if linked[c] > 1} and 50 < len(labels) and len(set(want.values())) > 10
+
+
 def test_components_of_a_path(spark):
     edges = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.label for r in linking.connected_components(edges).collect()} == {1}
@@ -317,7 +339,6 @@ def test_substring_repeats_in_one_document(spark):
 
 
 def test_line_dedup_equals_brute_force(docs, texts):
-    pattern = re.compile(line_dedup.SHINGLE)
     first, places = {}, []
     for i in sorted(texts):
         for k, line in enumerate(texts[i].split("\n")):
@@ -325,7 +346,7 @@ def test_line_dedup_equals_brute_force(docs, texts):
                 places.append((i, k, line))
                 first.setdefault(line, (i, k))
     order = {line: n for n, line in enumerate(first)}
-    label = components({n: frozenset(pattern.findall(line)) for line, n in order.items()}, 0.8)
+    label = components({n: every_shingle(line) for line, n in order.items()}, 0.8)
     keep = {}
     for line, n in order.items():
         keep[label[n]] = min(keep.get(label[n], first[line]), first[line])
@@ -344,7 +365,23 @@ def every_shingle(line):
 def test_char_shingles_start_at_every_character(spark):
     lines = ["a", "seven77", "eight888", "nine 9999", "x" * 31, "日本語😀のテキスト" * 9, " ".join(f"w{i}" for i in range(60))] + ["".join(chr(97 + i * i % 23) for i in range(n)) for n in (38, 39, 40, 41, 64, 71, 72, 103)]
     got = spark.createDataFrame([(x,) for x in lines], "line string").select(F.size(line_dedup.char_shingles(F.col("line"))).alias("n")).collect()
-    assert [r.n for r in got] == [len(every_shingle(x)) for x in lines] and all(set(re.findall(line_dedup.SHINGLE, x)) == every_shingle(x) for x in lines)
+    assert [r.n for r in got] == [len(every_shingle(x)) for x in lines]
+
+
+def test_line_registers_agree_like_the_sets(spark):
+    """With one register a band, as many bands of 300 pairs agree as their similarities say."""
+    rng = random.Random(4)
+    rows, likeness = [], []
+    for k in range(300):
+        a = "".join(rng.choice("abcdefghij ") for _ in range(rng.randint(5, 300)))
+        at = rng.randrange(len(a))
+        b = a[:at] + "#" * rng.randint(1, 20) + a[at + rng.randint(0, 20) :]
+        x, y = every_shingle(a), every_shingle(b)
+        rows += [(f"{k}a".encode(), a), (f"{k}b".encode(), b)]
+        likeness.append(len(x & y) / len(x | y))
+    keys = {r.digest: r["keys"] for r in line_dedup.line_keys(spark.createDataFrame(rows, "digest binary, line string"), 8, 1).collect()}
+    same = [p == q for k in range(300) for p, q in zip(keys[f"{k}a".encode()], keys[f"{k}b".encode()], strict=True)]
+    assert len(keys) == 600 and abs(np.mean(same) - np.mean(likeness)) < 0.03
 
 
 def test_line_links_by_shingles_at_every_character(spark):
@@ -411,6 +448,26 @@ def test_windows_score_each_id_once(sizes):
     assert targets[counted].tolist() == want
 
 
+def test_scores_equal_a_plain_rescore():
+    """Position by position: each id by the probabilities of the one window that counts it."""
+    rng = np.random.default_rng(3)
+    size, end = 60, 59
+    sizes = np.array([0, 1, 23, 24, 31, 32, 33, 55, 56, 57, 200, 0, 311])
+    ids = rng.integers(0, 59, sizes.sum())
+    pairs = np.unique(rng.integers(0, size * size, 700))
+    counts = attention.CorpusCounts.of(size, pairs // size, pairs % size, rng.integers(1, 9, len(pairs)), np.full(size, 60), rng.integers(0, 50, size), np.full(size, 12))
+    model = attention.AttentionModel(size, counts)
+    inputs, targets, counted, owner = attention.windows(ids, sizes, end)
+    p = np.log10(model.probabilities(inputs, targets).astype(np.float64))
+    want = [p[owner == k][counted[owner == k]].sum() for k in range(len(sizes))]
+    np.testing.assert_allclose(model.score(ids, sizes, end, batch=7), want, rtol=1e-4)
+    assert [int(counted[owner == k].sum()) for k in range(len(sizes))] == (sizes + 1).tolist()
+    known, text, keys, plain, weight = model.score_parts(ids, sizes, end)
+    again = known + np.bincount(text, np.log10(plain.astype(np.float64)), minlength=len(sizes))
+    np.testing.assert_allclose(again, want, rtol=1e-4)
+    assert not np.isin(keys, counts.pairs).any() and (weight > 0).all()
+
+
 def test_attention_is_causal_and_normalised():
     size = 40
     rng = np.random.default_rng(0)
