@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +52,16 @@ def clamp_year_zero(c: Column) -> Column:
 
 
 def clamp_range(c: Column, low: str, high: str) -> Column:
-    """A date or time as text to the edges of a target's range by its year (F8); edges are given as text."""
+    """A date or time as text to the edges of a target's range by its year in UTC (F8); edges are given as text.
+
+    An offset can move the last or first hours of a year into the next or the one before.
+    """
+    form = r"^([+-]?\d+)-(\d{2})-(\d{2})(?:[Tt ](\d{2}):(\d{2})\S*?(?:([+-])(\d{2}):(\d{2}))?)?[Zz]?$"
+    part = lambda i: F.coalesce(F.regexp_extract(c, form, i).try_cast("int"), F.lit(0))
+    ahead = F.when(F.regexp_extract(c, form, 6) == "-", -1).otherwise(1) * (part(7) * 60 + part(8))
+    minutes, day = part(4) * 60 + part(5) - ahead, part(2) * 100 + part(3)
     year = F.regexp_extract(c, r"^([+-]?\d+)-\d{2}-\d{2}", 1).try_cast("int")
+    year = year + F.when((day == 1231) & (minutes >= 1440), 1).when((day == 101) & (minutes < 0), -1).otherwise(0)
     return F.when(year < int(low.split("-")[0]), F.lit(low)).when(year > int(high.split("-")[0]), F.lit(high)).otherwise(c)
 
 
@@ -118,7 +127,18 @@ def tiny_boolean(c: Column) -> Column:
 _WKB = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "MULTIPOINT", 5: "MULTILINESTRING", 6: "MULTIPOLYGON", 7: "GEOMETRYCOLLECTION"}
 
 
-def _wkt(data: bytes, at: int) -> tuple[str, str, int]:
+#: The reference system whose texts name the latitude first (fixed value).
+LATITUDE_FIRST = 4326
+
+
+def _coordinate(v: float) -> str:
+    """The shortest digits that give the value again, with an exponent only for very large and very small ones."""
+    if v and not 1e-14 <= abs(v) < 1e15:
+        return np.format_float_scientific(v, trim="-", exp_digits=2).replace("e+", "e")
+    return np.format_float_positional(v, trim="-")
+
+
+def _wkt(data: bytes, at: int, swap: bool) -> tuple[str, str, int]:
     end = "<" if data[at] == 1 else ">"
     kind = struct.unpack_from(end + "I", data, at + 1)[0]
     at += 5
@@ -132,7 +152,8 @@ def _wkt(data: bytes, at: int) -> tuple[str, str, int]:
         nonlocal at
         xy = struct.unpack_from(f"{end}{2 * n}d", data, at)
         at += 16 * n
-        return ",".join(f"{x:.17g} {y:.17g}" for x, y in zip(xy[::2], xy[1::2], strict=True))
+        pairs = zip(xy[1::2], xy[::2], strict=True) if swap else zip(xy[::2], xy[1::2], strict=True)
+        return ",".join(f"{_coordinate(x)} {_coordinate(y)}" for x, y in pairs)
 
     if kind == 1:
         body = f"({points(1)})"
@@ -143,7 +164,7 @@ def _wkt(data: bytes, at: int) -> tuple[str, str, int]:
     else:
         parts = []
         for _ in range(count()):
-            name, inner, at = _wkt(data, at)
+            name, inner, at = _wkt(data, at, swap)
             parts.append(name + inner if kind == 7 else inner)
         body = "(" + ",".join(parts) + ")" if parts else " EMPTY"
     return _WKB[kind], body, at
@@ -152,7 +173,8 @@ def _wkt(data: bytes, at: int) -> tuple[str, str, int]:
 @F.pandas_udf(T.StringType())
 def wkb_to_wkt(c: pd.Series) -> pd.Series:
     """Geometry bytes after a 4-byte SRID as WKT, seven types (F16); null stays null."""
-    return pd.Series([None if v is None else "".join(_wkt(bytes(v), 4)[:2]) for v in c], dtype=object)
+    swap = lambda v: int.from_bytes(bytes(v)[:4], "little") == LATITUDE_FIRST
+    return pd.Series([None if v is None else "".join(_wkt(bytes(v), 4, swap(v))[:2]) for v in c], dtype=object)
 
 
 def bson_scalar(c: Column) -> Column:

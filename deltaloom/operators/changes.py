@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Scan positions that are broadcast.
+MARKS = 10_000
+
+
 def change_event(df: DataFrame, op: str, before: str, after: str, source: list[str]) -> DataFrame:
     """Root columns of the after image (of the before image for deletes) and a ``_meta`` struct."""
     body = F.when(F.col(op) == "d", F.col(before)).otherwise(F.col(after))
@@ -21,10 +25,19 @@ def precise_backfill(chunks: DataFrame, events: DataFrame, key: str, position: s
     """Events that a running backfill lets pass.
 
     ``chunks``: (position, upper), the key up to which the scan stood from that position on, null
-    upper when the scan is done. An event passes if its key was scanned already. As-of join
-    by position: union and last non-null chunk; per ``partition`` (table) the scan state is its own.
+    upper when the scan is done. An event passes if its key was scanned already; per ``partition``
+    (table) the scan state is its own. Each chunk holds from its position to the next one's: up
+    to MARKS such intervals are broadcast, counted first, and the events stay where they are;
+    beyond, the as-of join is a union and the last chunk before each event.
     """
     side = [F.col(partition)] if partition else []
+    over = Window.partitionBy(*(side or [F.lit(0)])).orderBy(position)
+    spans = chunks.select(*side, F.col(position).alias("_from"), F.lead(position).over(over).alias("_to"), F.col("upper").alias("_upper"))
+    if spans.limit(MARKS + 1).count() <= MARKS:
+        spans = spans.withColumnRenamed(partition, "_side") if partition else spans
+        inside = (F.col(position) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(position) < F.col("_to"))) & (F.col("_upper").isNull() | (F.col(key) <= F.col("_upper")))
+        return events.join(F.broadcast(spans), inside & (F.col(partition) == F.col("_side")) if partition else inside, "left_semi")
+    side = [F.col(partition)] if partition else []
     marks = chunks.select(*side, F.col(position).alias("_pos"), F.lit(0).alias("_kind"), F.struct(F.col("upper")).alias("_chunk"), F.lit(None).cast(_struct(events)).alias("_event"))
     rows = events.select(*side, F.col(position).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast("struct<upper:" + chunks.schema["upper"].dataType.simpleString() + ">").alias("_chunk"), F.struct(*events.columns).alias("_event"))
     over = Window.partitionBy(*(side or [F.lit(0)])).orderBy("_pos", "_kind")

@@ -13,8 +13,14 @@ BOUNDED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType, T.D
 
 
 def load_existing(target: DataFrame, keys: DataFrame, on: list[str], bounds: dict[str, tuple] | None = None) -> DataFrame:
-    """Target rows whose key is in the batch (J1); ``bounds`` from merge_bounds prune the scan first."""
-    return within_bounds(target, bounds or {}).join(keys.select(*on).distinct(), on, "left_semi")
+    """Target rows whose key is in the batch, null keys too (J1); ``bounds`` from merge_bounds prune the scan first."""
+    wanted = keys.select(*[F.col(k).alias(f"_k_{k}") for k in on])
+    return within_bounds(target, bounds or {}).join(wanted, same_keys(on), "left_semi")
+
+
+def same_keys(keys: list[str]) -> Column:
+    """Equality of ``key`` and ``_k_key`` where null is a key like any other."""
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_k_{k}`")) for k in keys])
 
 
 def uncast(name: str, kind: T.DataType) -> Column:
@@ -36,12 +42,12 @@ def load_reconstruct(target: DataFrame, keys: DataFrame, on: list[str]) -> DataF
 
 
 def merge_bounds(batch: DataFrame, keys: list[str]) -> dict[str, tuple]:
-    """Least and greatest value of each key column of a batch (J3); one row comes to the driver."""
+    """Least and greatest value of each key column of a batch without null keys (J3); one row comes to the driver."""
     useful = [f.name for f in batch.schema.fields if f.name in keys and isinstance(f.dataType, BOUNDED)]
     if not useful:
         return {}
-    row = batch.agg(*[F.min(c).alias(f"lo_{c}") for c in useful], *[F.max(c).alias(f"hi_{c}") for c in useful]).first()
-    return {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in useful if row[f"lo_{c}"] is not None}
+    row = batch.agg(*[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in useful], *[F.min(c).alias(f"lo_{c}") for c in useful], *[F.max(c).alias(f"hi_{c}") for c in useful]).first()
+    return {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in useful if row[f"lo_{c}"] is not None and not row[f"nulls_{c}"]}
 
 
 def within_bounds(target: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
@@ -59,19 +65,20 @@ def merge_into(target: DataFrame, batch: DataFrame, keys: list[str], deleted: Co
     """The target after a batch of one row a key.
 
     Matched and deleted: gone (kept as an update with ``soft``, J9); matched: replaced; not
-    matched and not deleted: inserted. Delete rows of absent keys are dropped (J8).
+    matched and not deleted: inserted. Delete rows of absent keys are dropped (J8). Null is a key
+    like any other, as in the reduction.
     """
     flag = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     columns = target.columns
-    new = batch.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_new"), flag.alias("_deleted"))
-    old = target.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_old"))
-    both = old.join(new, keys, "full_outer")
+    new = batch.select(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys], F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_new"), flag.alias("_deleted"))
+    old = target.select(*keys, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_old"))
+    both = old.join(new, same_keys(keys), "full_outer")
     if soft:
         kept = both.where(~(F.col("_old").isNull() & F.coalesce("_deleted", F.lit(False))))
     else:
         kept = both.where(~F.coalesce("_deleted", F.lit(False)))
     row = F.when(F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
-    return kept.select(*keys, row.alias("_row")).select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in columns])
+    return kept.select(row.alias("_row")).select("_row.*")
 
 
 def is_insert_only(target: DataFrame, batch: DataFrame, keys: list[str]) -> bool:
@@ -81,12 +88,12 @@ def is_insert_only(target: DataFrame, batch: DataFrame, keys: list[str]) -> bool
 
 def delete_by_key(target: DataFrame, deletes: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not deleted."""
-    return target.join(deletes.select(*keys), keys, "left_anti")
+    return target.join(deletes.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), same_keys(keys), "left_anti")
 
 
 def skip_absent_deletes(batch: DataFrame, target: DataFrame, keys: list[str], deleted: Column) -> DataFrame:
     """The batch without deletes of rows that the target does not hold."""
-    known = batch.where(deleted).join(target.select(*keys), keys, "left_semi")
+    known = batch.where(deleted).join(target.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), same_keys(keys), "left_semi")
     return batch.where(~deleted).unionByName(known)
 
 
@@ -115,11 +122,13 @@ def move_partitions(stage: DataFrame, path: str, partition: str, append: bool =
 
 
 def join_split_fields(parts: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Column subsets put together on the key; where two have a column the later part wins."""
+    """Column subsets put together on the key, null keys too; where two have a column the later part wins."""
     def both(left: DataFrame, right: DataFrame) -> DataFrame:
         shared = [c for c in right.columns if c in left.columns and c not in keys]
-        renamed = right.withColumnsRenamed({c: f"_new_{c}" for c in shared}).withColumn("_has", F.lit(True))
-        joined = left.join(renamed, keys, "full_outer")
+        renamed = right.withColumnsRenamed({c: f"_new_{c}" for c in shared} | {k: f"_k_{k}" for k in keys}).withColumn("_has", F.lit(True))
+        joined = left.join(renamed, same_keys(keys), "full_outer")
+        for k in keys:
+            joined = joined.withColumn(k, F.coalesce(k, f"_k_{k}")).drop(f"_k_{k}")
         for c in shared:
             joined = joined.withColumn(c, F.when(F.col("_has"), F.col(f"_new_{c}")).otherwise(F.col(c)))
         return joined.drop("_has", *[f"_new_{c}" for c in shared])

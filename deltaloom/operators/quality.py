@@ -39,21 +39,44 @@ def check_transitions(events: DataFrame, keys: list[str], order: list[str], even
     return events.withColumn("_from", before).withColumn("_to", F.col(event)).join(F.broadcast(table), ["_from", "_to"], "left_anti").withColumnRenamed("_from", "before").drop("_to")
 
 
+#: Seconds from 1970 in which a masked instant lies, and the first and the number of the
+#: ideographs that stand for any character without a case (fixed values).
+INSTANTS, IDEOGRAPH, IDEOGRAPHS = 2_082_758_400, 0x4E00, 0x9FA5 - 0x4E00 + 1
+#: Text that is a date, or a date and time.
+DATE_TEXT = r"^\d{4}-\d{2}-\d{2}([Tt ]\d{2}:\d{2}(:\d{2})?(\.\d+)?([Zz]|[+-]\d{2}:?\d{2})?)?$"
+
+
+def _draw(salt: str, *of: Column) -> Column:
+    """A number from 0 to 2**31 - 1 from a keyed digest: the salt can't be told from the masks."""
+    return F.conv(F.substring(F.sha2(F.concat_ws("\x00", F.lit(salt), *[x.cast("string") for x in of]), 256), 1, 8), 16, 10).cast("long").bitwiseAND(F.lit(2**31 - 1))
+
+
 def mask_text(c: Column, salt: str) -> Column:
-    """Text with every letter and digit replaced by one of its class, by place and salt (Q3).
+    """Text with every character replaced by one of its class, drawn by salt, text and place (Q3).
 
-    Length, case, punctuation and spaces stay. The same text gives the same mask: a keyed hash
-    of the whole text chooses a rotation, so equal values stay equal.
+    Digits stay digits, cased letters become a-z or A-Z, all else an ideograph; the number of
+    characters stays. A date or a date and time becomes another valid one. The same text gives
+    the same mask, so equal values stay equal.
     """
-    turn = F.conv(F.substring(F.sha2(F.concat(F.lit(salt), c), 256), 1, 6), 16, 10).cast("int")
-    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    rotate = lambda s, n: F.concat(F.substr(F.lit(s), turn % n + 1, F.lit(n)), F.substr(F.lit(s), F.lit(1), turn % n))
-    to = F.concat(rotate(lower, 26), rotate(upper, 26), rotate(digits, 10))
-    return F.call_function("translate", c, F.lit(lower + upper + digits), to)
+    seed = F.sha2(F.concat_ws("\x00", F.lit(salt), c), 256)
+
+    def one(x: Column, i: Column) -> Column:
+        draw = F.pmod(F.xxhash64(seed, i), F.lit(2**31))
+        new = F.when(x.rlike(r"^\p{Nd}$"), draw % 10 + ord("0")).when(x.rlike(r"^\p{Ll}$"), draw % 26 + ord("a")).when(x.rlike(r"^\p{Lu}$"), draw % 26 + ord("A")).otherwise(draw % IDEOGRAPHS + IDEOGRAPH)
+        return F.decode(F.unhex(F.lpad(F.hex(new), 4, "0")), "UTF-16BE")
+
+    at = F.timestamp_seconds(_draw(salt, c) % INSTANTS)
+    moved = F.when(c.contains(":"), F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.date_format(at, "yyyy-MM-dd"))
+    return F.when(c.rlike(DATE_TEXT), moved).otherwise(F.array_join(F.transform(F.split(c, ""), one), ""))
 
 
 def obfuscate(df: DataFrame, salt: str, keep: list[str]) -> DataFrame:
-    """Every text leaf masked but those under the paths in ``keep``; numbers shifted, times moved by whole days (Q3)."""
+    """Every leaf masked but those under the paths in ``keep`` (Q3).
+
+    Text as in ``mask_text``; whole numbers keep sign and digits, fractions their sign and rough
+    size; booleans are drawn; times move by whole days; binaries become as many other bytes. Keys
+    of maps are data and are masked too, told apart by a digest.
+    """
     return df.select(*[_masked(F.col(f"`{f.name}`"), f.dataType, f"/{f.name}", salt, keep).alias(f.name) for f in df.schema.fields])
 
 
@@ -64,17 +87,35 @@ def _masked(c: Column, kind: T.DataType, path: str, salt: str, keep: list[str])
         return F.when(c.isNotNull(), F.struct(*[_masked(c[f.name], f.dataType, f"{path}/{f.name}", salt, keep).alias(f.name) for f in kind.fields]))
     if isinstance(kind, T.ArrayType):
         return F.transform(c, lambda x: _masked(x, kind.elementType, path, salt, keep))
+    if isinstance(kind, T.MapType):
+        name = lambda k: F.concat(mask_text(k, salt), F.lit("-"), F.substring(F.sha2(F.concat_ws("\x00", F.lit(salt), k), 256), 1, 12)) if isinstance(kind.keyType, T.StringType) else k
+        values = F.transform_values(c, lambda k, v: _masked(v, kind.valueType, path, salt, keep))
+        return F.transform_keys(values, lambda k, v: name(k))
     if isinstance(kind, T.StringType):
         return mask_text(c, salt)
-    draw = F.pmod(F.xxhash64(F.lit(salt), c.cast("string")), F.lit(1000))
-    if isinstance(kind, (T.TimestampType, T.DateType)):
-        return F.date_sub(c, draw.cast("int")) if isinstance(kind, T.DateType) else c - F.make_dt_interval(draw.cast("int"))
-    if isinstance(kind, (T.LongType, T.IntegerType)):
-        # As many digits as before.
-        size = F.length(F.abs(c).cast("string"))
-        low = F.pow(F.lit(10), size - 1).cast("long")
-        return (F.sign(c) * (low + F.pmod(F.xxhash64(F.lit(salt), c.cast("string")), low * 9))).cast(kind)
-    return c
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(F.substring(F.repeat(F.sha2(F.concat_ws("\x00", F.lit(salt), F.hex(c)), 256), (F.octet_length(c) / 32 + 1).cast("int")), F.lit(1), 2 * F.octet_length(c)))
+    if isinstance(kind, T.BooleanType):
+        return F.when(c.isNotNull(), _draw(salt, c, F.lit(path)) % 2 == 0)
+    if isinstance(kind, T.DateType):
+        return F.date_sub(c, (_draw(salt, c) % 1000).cast("int"))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return c - F.make_dt_interval((_draw(salt, c) % 1000).cast("int"))
+    if isinstance(kind, T.IntegralType):
+        size = F.length(F.abs(c.cast("decimal(20,0)")).cast("string"))
+        low = F.when(size > 1, F.pow(F.lit(10), size - 1).cast("decimal(20,0)")).otherwise(F.lit(0).cast("decimal(20,0)"))
+        # The type's greatest value has fewer numbers of its length below it.
+        span = F.least(F.pow(F.lit(10), size).cast("decimal(20,0)") - 1, F.lit(_GREATEST[kind.typeName()]).cast("decimal(20,0)")) - low + 1
+        return (F.when(c < 0, -1).otherwise(1) * (low + _draw(salt, c) % span)).cast(kind)
+    if isinstance(kind, T.FractionalType):
+        share = F.lit(0.5) + _draw(salt, c) / float(2**31)
+        if isinstance(kind, T.DecimalType):
+            return (c.cast("double") * share).try_cast(kind)
+        return F.round(c * share, 6).cast(kind)
+    return F.lit(None).cast(kind)
+
+
+_GREATEST = {"byte": 2**7 - 1, "short": 2**15 - 1, "integer": 2**31 - 1, "long": 2**63 - 1}
 
 
 def change_workload(spark, docs_per_tx: list[int], size: int, updates: float, deletes: float, seed: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,17 +13,28 @@ from pyspark.sql import types as T
 def message_doc(df: DataFrame, payload: str = "value", key: str = "key") -> DataFrame:
     """Broker rows as documents: payload entries, key entries over them, ``_meta``.
 
-    ``payload`` and ``key`` are JSON text. A null payload is a delete with the key alone.
+    ``payload`` and ``key`` are JSON text. A null payload is a delete with the key alone. What is
+    no object stays under ``_value`` or ``_key``, text that is no JSON as a string. A column
+    ``headers``, array of (key, value binary), goes into ``_meta``: UTF-8 as text, else base64.
     """
-    kind = "map<string,variant>"
-    entries = lambda c: F.coalesce(F.try_parse_json(F.col(c)).cast(kind), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>")))
-    body, own = entries(payload), entries(key)
+    body, own = object_entries(F.col(payload), "_value"), object_entries(F.col(key), "_key")
     merged = F.map_concat(F.map_filter(body, lambda k, v: ~F.map_contains_key(own, k)), own)
     op = F.when(F.col(payload).isNull(), "d").otherwise("c")
-    meta = F.struct("topic", "partition", "offset", op.alias("op"), "timestamp")
+    text = lambda h: F.coalesce(F.try_validate_utf8(h["value"].cast("string")), F.base64(h["value"]))
+    headers = [F.transform("headers", lambda h: F.struct(h["key"].alias("key"), text(h).alias("value"))).alias("headers")] if "headers" in df.columns else []
+    meta = F.struct("topic", "partition", "offset", op.alias("op"), *headers, "timestamp")
     return df.select(F.transform_values(merged, lambda k, v: F.to_json(v)).alias("document"), meta.alias("_meta"))
 
 
+def object_entries(c: Column, other: str) -> Column:
+    """Entries of JSON text as map<string,variant>: of an object its own, of null none, of all else one named ``other``."""
+    kind = "map<string,variant>"
+    parsed = F.coalesce(F.try_parse_json(c), F.try_parse_json(F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    return F.when(c.isNull(), none).when(is_object, F.try_variant_get(parsed, "$", kind)).otherwise(F.map_from_arrays(F.array(F.lit(other)), F.array(parsed)))
+
+
 def registry_header(c: Column) -> Column:
     """Schema id of magic-byte messages, null for others."""
     return F.when((F.octet_length(c) >= 5) & (F.hex(F.substring(c, 1, 1)) == "00"), F.conv(F.hex(F.substring(c, 2, 4)), 16, 10).cast("int"))
@@ -79,9 +91,12 @@ def spread_body(df: DataFrame, body: str, meta: list[str]) -> DataFrame:
 
 
 def stream_record_doc(df: DataFrame, payload: str, shard: list[str]) -> DataFrame:
-    """Shard fields join an existing ``_meta`` of the payload, which keeps what doesn't clash."""
-    doc = F.try_parse_json(F.col(payload)).cast("map<string,variant>")
-    old = F.coalesce(doc["_meta"].cast("map<string,string>"), F.create_map().cast("map<string,string>"))
+    """Shard fields join an existing ``_meta`` of the payload, which keeps what doesn't clash.
+
+    A ``_meta`` that is no object is replaced; a payload that is none stays under ``_value``.
+    """
+    doc = object_entries(F.col(payload), "_value")
+    old = F.coalesce(F.try_variant_get(F.try_element_at(doc, F.lit("_meta")), "$", "map<string,string>"), F.create_map().cast("map<string,string>"))
     new = F.create_map(*[x for c in shard for x in (F.lit(c), F.col(c).cast("string"))])
     meta = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
     return df.select(F.to_json(F.map_filter(doc, lambda k, v: k != "_meta")).alias("document"), meta.alias("_meta"))
@@ -111,12 +126,15 @@ def url_regex(pattern: str) -> str:
 
 
 def check_routes(patterns: list[str]) -> None:
-    """Two URL patterns of equal rank that both match some path are an error."""
-    for i, a in enumerate(patterns):
-        for b in patterns[i + 1 :]:
-            x, y = a.strip("/").split("/"), b.strip("/").split("/")
-            if url_rank(a)[:2] == url_rank(b)[:2] and len(x) == len(y) and all(s == t or s.startswith("{") or t.startswith("{") for s, t in zip(x, y, strict=True)):
-                raise ValueError(f"ambiguous routes: {a} and {b}")
+    """Two URL patterns that both match some path are an error, unless exactly one is more literal in some segment."""
+    variable = lambda s: s.startswith("{") and s.endswith("}")
+    for a, b in combinations(patterns, 2):
+        x, y = a.strip("/").split("/"), b.strip("/").split("/")
+        if a != b and ("*" in (a, b) or len(x) != len(y) or any(s != t and not variable(s) and not variable(t) for s, t in zip(x, y, strict=True))):
+            continue
+        sides = {variable(s) for s, t in zip(x, y, strict=True) if variable(s) != variable(t)}
+        if len(sides) != 1:
+            raise ValueError(f"ambiguous routes: {a} and {b}")
 
 
 def route_requests(path: Column, rules: list[tuple[str, str]], header: tuple[Column, dict[str, str]] | None = None) -> Column:
@@ -248,4 +266,5 @@ def two_format_time(c: Column, first: str, second: str, zone: str) -> Column:
 
 
 def title_case_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.replace("_", " ").title() for c in df.columns])
+    """Each word of a name begins in upper case; ``_`` stays."""
+    return df.toDF(*[c.title() for c in df.columns])

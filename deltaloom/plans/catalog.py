@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def greatest(df: DataFrame, name: str) -> int:
+    """Greatest value of a whole-number column, as a poll or a scan plan starts with it."""
+    return df.agg(F.max(name)).first()[0] or 0
+
+
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = F.when(F.col("event_id") % 10 == 9, "d").when(F.col("event_id") % 10 < 3, "c").otherwise("u")
     return table(spark, sf_dir, "events").withColumn("op", op)
@@ -137,13 +142,14 @@ def c6_pair_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("c7_changes_join_current", """
-WITH l AS (SELECT user_id, max(event_id) AS version, arg_max(CASE WHEN event_id % 10 = 9 THEN 'D' WHEN event_id % 10 < 3 THEN 'I' ELSE 'U' END, event_id) AS o FROM events WHERE event_id > 100 AND event_id <= 5000 GROUP BY user_id)
+WITH l AS (SELECT user_id, max(event_id) AS version, arg_max(CASE WHEN event_id % 10 = 9 THEN 'D' WHEN event_id % 10 < 3 THEN 'I' ELSE 'U' END, event_id) AS o FROM events WHERE event_id > (SELECT max(event_id) // 10 FROM events) AND event_id <= (SELECT max(event_id) * 9 // 10 FROM events) GROUP BY user_id)
 SELECT user_id AS c_custkey, CASE o WHEN 'I' THEN 'c' WHEN 'U' THEN 'u' ELSE 'd' END AS op, version, CASE WHEN o <> 'D' THEN c_name END AS c_name FROM l LEFT JOIN customer ON user_id = c_custkey""")
 def c7_changes_join_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 10 == 9, "D").when(F.col("event_id") % 10 < 3, "I").otherwise("U")
     df = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"), F.col("event_id").alias("version"), kind.alias("o"))
     base = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return changes.changes_join_current(df, base, ["c_custkey"], "version", "o", 100, 5000)
+    last = greatest(df, "version")
+    return changes.changes_join_current(df, base, ["c_custkey"], "version", "o", last // 10, last * 9 // 10)
 
 
 @query("c8_fill_unchanged", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN user_id::VARCHAR ELSE event_type END AS a FROM events")
@@ -245,10 +251,12 @@ def j2_load_reconstruct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merging.load_reconstruct(df, df.where("c_custkey % 2 = 0"), ["c_custkey"])
 
 
-@query("j4_combine_bounds", "SELECT 'k' AS \"column\", min(lo) AS lo, max(hi) AS hi FROM (SELECT event_type, min(event_id) AS lo, max(event_id) AS hi FROM events GROUP BY 1)")
+@query("j4_combine_bounds", "SELECT 'k' AS \"column\", min(event_id) AS lo, max(event_id) AS hi FROM events UNION ALL SELECT 'm', NULL, NULL")
 def j4_combine_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = table(spark, sf_dir, "events").groupBy("event_type").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
-    return merging.combine_bounds(per.withColumn("column", F.lit("k")))
+    # One batch a type; column m has no lower bound in the batches of one type.
+    per = table(spark, sf_dir, "events").groupBy("event_type").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"), F.max(F.when(F.col("event_id") % 3 == 1, F.col("event_id"))).alias("m_hi"))
+    first, second = per.select(F.lit("k").alias("column"), "lo", "hi"), per.select(F.lit("m").alias("column"), F.when(F.col("event_type") != "error", F.col("lo")).alias("lo"), F.col("m_hi").alias("hi"))
+    return merging.combine_bounds(first.unionByName(second))
 
 
 @query("j5_merge_into", f"""
@@ -419,9 +427,11 @@ def s6_keyset_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.scan_keyset_chunk(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber", "l_partkey"], [100, 2, 0], 500)
 
 
-@query("s7_scan_ranges", "SELECT o_orderkey, CASE WHEN o_orderkey <= 100 THEN 0 ELSE 1 END AS range_no FROM orders WHERE o_orderkey > 10 AND o_orderkey <= 1000")
+@query("s7_scan_ranges", "WITH m AS (SELECT max(o_orderkey) AS m FROM orders) SELECT o_orderkey, CASE WHEN o_orderkey <= m // 4 THEN 0 ELSE 1 END AS range_no FROM orders, m WHERE o_orderkey > m // 10 AND o_orderkey <= m")
 def s7_scan_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scans.scan_ranges(table(spark, sf_dir, "orders"), "o_orderkey", [(10, 100), (100, 1000)]).select("o_orderkey", "range_no")
+    orders = table(spark, sf_dir, "orders")
+    last = greatest(orders, "o_orderkey")
+    return scans.scan_ranges(orders, "o_orderkey", [(last // 10, last // 4), (last // 4, last)]).select("o_orderkey", "range_no")
 
 
 @query("s8_scan_segments", "SELECT count(*) AS n, count(DISTINCT c_custkey) AS keys FROM customer")
@@ -434,14 +444,16 @@ def s9_poll_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.poll_cursor(table(spark, sf_dir, "events"), ["user_id", "event_id"], [20, 50]).select("event_id")
 
 
-@query("s10_xid_window", "SELECT event_id FROM events WHERE event_id >= 50 AND event_id <= 800")
+@query("s10_xid_window", "WITH m AS (SELECT max(event_id) AS m FROM events) SELECT event_id FROM events, m WHERE event_id >= m // 10 AND event_id <= m * 9 // 10")
 def s10_xid_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Ids near the wrap: 2**32 - 500 + event_id, wrapped to 32 bits; frozen ids don't occur among those asked for.
-    wrapped = table(spark, sf_dir, "events").withColumn("xid", F.pmod(F.col("event_id") + 2**32 + 10, F.lit(2**32)))
-    return scans.poll_xid_window(wrapped, "xid", 60, 810).select("event_id")
+    # Transaction ids that begin at 10 and wrap at 32 bits; frozen ids don't occur among those asked for.
+    events = table(spark, sf_dir, "events")
+    last = greatest(events, "event_id")
+    wrapped = events.withColumn("xid", F.pmod(F.col("event_id") + 2**32 + 10, F.lit(2**32)))
+    return scans.poll_xid_window(wrapped, "xid", last // 10 + 10, last * 9 // 10 + 10).select("event_id")
 
 
-@query("s12_restated_tables", "SELECT d, CASE WHEN r > 3 THEN 'final' ELSE 'arrival' END AS action FROM (SELECT d, row_number() OVER (ORDER BY d DESC) AS r FROM (SELECT DISTINCT ts::DATE AS d FROM events))")
+@query("s12_restated_tables", "WITH t AS (SELECT DISTINCT ts::DATE AS d FROM events), o AS (SELECT d AS oldest FROM t ORDER BY d DESC LIMIT 1 OFFSET 2) SELECT d, CASE WHEN d <= (SELECT oldest FROM o) THEN 'final' ELSE 'arrival' END AS action FROM t")
 def s12_restated_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct().withColumn("state", F.lit(None).cast("string"))
     return scans.plan_restated_tables(days, "d", "state", 3, False).select("d", "action")
@@ -454,8 +466,10 @@ def s14_select_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("s15_plan_windows", """
-WITH c AS (SELECT date_trunc('hour', ts) AS start, count(*) AS n FROM events GROUP BY 1), w AS (SELECT *, (sum(n) OVER (ORDER BY start) - 1) // 100 AS window_no FROM c)
-SELECT window_no::BIGINT AS window_no, min(start) AS start, max(start) AS last, sum(n)::BIGINT AS n FROM w GROUP BY 1""")
+WITH RECURSIVE c AS MATERIALIZED (SELECT row_number() OVER (ORDER BY start) AS i, * FROM (SELECT date_trunc('hour', ts) AS start, count(*) AS n FROM events GROUP BY 1)),
+w AS (SELECT i, start, n, 0::BIGINT AS window_no, n AS held FROM c WHERE i = 1
+  UNION ALL SELECT c.i, c.start, c.n, window_no + (held + c.n > 100)::BIGINT, CASE WHEN held + c.n > 100 THEN c.n ELSE held + c.n END FROM w JOIN c ON c.i = w.i + 1)
+SELECT window_no, min(start) AS start, max(start) AS last, sum(n)::BIGINT AS n FROM w GROUP BY 1""")
 def s15_plan_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.plan_windows(table(spark, sf_dir, "events"), "ts", 100)
 
@@ -490,10 +504,20 @@ def q2_check_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_transitions(events, ["user_id"], ["event_id"], "event_type", allowed).select("event_id")
 
 
-@query("q3_obfuscate", "SELECT count(*) AS n, count(DISTINCT c_mktsegment) AS segments, max(strlen(c_name)) AS width FROM customer")
+@query("q3_obfuscate", r"""
+SELECT c_custkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(c_name, '[^A-Za-z0-9]', '~', 'g'), '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g'), '[0-9]', '9', 'g') AS shape,
+  true AS hidden, length(abs(c_nationkey)::VARCHAR) AS digits, sign(c_acctbal)::INT AS sign, c_custkey AS first_of_segment FROM (SELECT *, min(c_custkey) OVER (PARTITION BY c_mktsegment) AS f FROM customer) WHERE c_custkey = f
+UNION ALL SELECT c_custkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(c_name, '[^A-Za-z0-9]', '~', 'g'), '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g'), '[0-9]', '9', 'g'),
+  true, length(abs(c_nationkey)::VARCHAR), sign(c_acctbal)::INT, f FROM (SELECT *, min(c_custkey) OVER (PARTITION BY c_mktsegment) AS f FROM customer) WHERE c_custkey <> f""")
 def q3_obfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = quality.obfuscate(table(spark, sf_dir, "customer"), "salt", ["/c_acctbal"])
-    return masked.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_mktsegment").alias("segments"), F.max(F.octet_length("c_name")).cast("long").alias("width"))
+    """The class of each masked character, whether the name changed, and the first key of each masked segment."""
+    customer = table(spark, sf_dir, "customer")
+    masked = quality.obfuscate(customer, "salt", ["/c_custkey"]).join(customer.select("c_custkey", F.col("c_name").alias("old")), "c_custkey")
+    shape = F.col("c_name")
+    for pattern, letter in (("[^A-Za-z0-9]", "~"), ("[A-Z]", "A"), ("[a-z]", "a"), ("[0-9]", "9")):
+        shape = F.regexp_replace(shape, pattern, letter)
+    firsts = masked.groupBy("c_mktsegment").agg(F.min("c_custkey").alias("first_of_segment"))
+    return masked.join(firsts, "c_mktsegment").select("c_custkey", shape.alias("shape"), (F.col("c_name") != F.col("old")).alias("hidden"), F.length(F.abs("c_nationkey").cast("string")).cast("long").alias("digits"), F.signum("c_acctbal").cast("int").alias("sign"), "first_of_segment")
 
 
 @query("q7_stream_lag", "SELECT event_type, count(*) AS n, (epoch_us(TIMESTAMP '2024-03-01') - max(epoch_us(ts))) / 1000000 AS lag_s FROM events GROUP BY 1")
@@ -506,8 +530,11 @@ FLAGSHIP: Query = r1_reduce_collection
 
 
 def queries() -> dict[str, Query]:
+    from deltaloom.plans import catalog_values  # noqa: F401  registers its queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

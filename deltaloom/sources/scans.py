@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -136,10 +137,13 @@ def resume_type_bracketed(df: DataFrame, rank: str, number: str, text: str, last
 
 
 def plan_restated_tables(tables: DataFrame, day: str, state: str, window_days: int, intermediate: bool) -> DataFrame:
-    """Reads of dated tables, newest first (S12): once on arrival, inside the window on each poll if wanted, finally when they leave it."""
+    """Reads of dated tables, newest first (S12): once on arrival, inside the window on each poll if wanted, finally at its oldest day.
+
+    With fewer tables than ``window_days`` none is final.
+    """
     rank = F.row_number().over(Window.orderBy(F.desc(day)))
     ranked = tables.withColumn("_rank", rank)
-    action = F.when(F.col(state) == "final", None).when(F.col("_rank") > window_days, "final").when(F.col(state).isNull(), "arrival").when(F.lit(intermediate), "intermediate")
+    action = F.when(F.col(state) == "final", None).when(F.col("_rank") >= window_days, "final").when(F.col(state).isNull(), "arrival").when(F.lit(intermediate), "intermediate")
     return ranked.withColumn("action", action).where("action IS NOT NULL").orderBy(F.desc(day)).drop("_rank")
 
 
@@ -169,15 +173,23 @@ def select_tables(names: DataFrame, globs: list[str], schema: str = "schema", ta
 
 
 def plan_windows(events: DataFrame, ts: str, max_rows: int, bucket: str = "hour") -> DataFrame:
-    """Windows of at most ``max_rows`` rows, cut where the running count passes a multiple of it.
+    """Windows of at most ``max_rows`` rows: each takes buckets in order as long as they fit.
 
-    A bucket with more rows than the limit is a window of its own. The running count is over
-    buckets, not rows.
+    A bucket with more rows than the limit is a window of its own. What meets in one task is a
+    row for each bucket of time, whatever the number of events.
     """
     counts = events.groupBy(F.date_trunc(bucket, ts).alias("start")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    end = before + F.col("n") - 1
-    numbered = counts.withColumn("window_no", F.floor(end / max_rows))
+
+    def cut(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, held, number, numbers = rows.sort_values("start", na_position="first"), 0, 0, []
+        for n in rows["n"]:
+            if held and held + n > max_rows:
+                held, number = 0, number + 1
+            held += n
+            numbers.append(number)
+        return rows[["start", "n"]].assign(window_no=numbers)
+
+    numbered = counts.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(cut, f"start {counts.schema['start'].dataType.simpleString()}, n long, window_no long")
     return numbered.groupBy("window_no").agg(F.min("start").alias("start"), F.max("start").alias("last"), F.sum("n").alias("n"))
 
 

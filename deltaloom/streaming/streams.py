@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from deltaloom.operators.merging import delete_by_key, load_existing
 from deltaloom.operators.reduction import reduce_collection
-from deltaloom.sources.sinks import VersionedTable, batch_writer
+from deltaloom.sources.sinks import VersionedTable
 
 
 def hourly_stream(events: DataFrame, ts: str, keys: list[str], value: str, late: str = "15 minutes") -> DataFrame:
@@ -50,9 +51,25 @@ def dedup_emitted(feed: DataFrame, key: str, ts: str, order: str = "fast", keep:
 
 
 def materialize_stream(events: DataFrame, table: VersionedTable, name: str, keys: list[str], order: list[str], strategies: dict[str, str], checkpoint: str, op: str | None = None):
-    """A change stream kept as a reduced table: each micro-batch is reduced, merged and committed once."""
-    def reduce(df: DataFrame) -> DataFrame:
-        return reduce_collection(df, keys, order, strategies)
+    """A change stream kept as a reduced table: each micro-batch is reduced with the loaded rows of its keys, merged and committed once."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        rows = reduced_with_loaded(table.read(), df, keys, order, strategies, op)
+        table.merge(rows, f"{name}-{batch_id}", keys, F.col("_gone"))
 
-    deleted = F.col(op) == "d" if op else None
-    return events.writeStream.foreachBatch(batch_writer(table, name, keys, reduce, deleted)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def reduced_with_loaded(target: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str], strategies: dict[str, str], op: str | None = None) -> DataFrame:
+    """One row for each key of a batch: the target's row, as the oldest, and the batch reduced together.
+
+    Columns are the keys, those of ``strategies`` and ``_gone``, true for a key whose last event
+    is a delete. So batches one after the other give what one batch of all their rows gives.
+    """
+    flag = F.col(op) == "d" if op else F.lit(False)
+    rows = batch.withColumns({"_turn": F.lit(1), "_delete": F.coalesce(flag, F.lit(False))})
+    if target is not None:
+        loaded = load_existing(target, batch, keys).withColumns({"_turn": F.lit(0), "_delete": F.lit(False)})
+        rows = loaded.unionByName(rows, allowMissingColumns=True)
+    kept = reduce_collection(rows, keys, ["_turn", *order], strategies, F.col("_delete")).withColumn("_gone", F.lit(False))
+    gone = delete_by_key(batch.select(*keys).distinct(), kept, keys).withColumn("_gone", F.lit(True))
+    return kept.unionByName(gone, allowMissingColumns=True)
