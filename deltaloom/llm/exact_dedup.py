@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, pick, shared_folder, stored, text_or_empty
+from .common import SPACES, join_checked, pick, shared_folder, stored, text_or_empty
 
 #: Rows of one group that one task verifies against the group's keeper.
 VERIFY_ROWS = 4096
@@ -16,20 +16,22 @@ VERIFY_ROWS = 4096
 class MergeIndex:
     """Sorted runs of (digest, best, rows) on shared storage.
 
-    A memtable is the hash aggregate of one slice of a batch; ``flush`` writes each as a run
-    sorted by digest, with a Parquet Bloom filter on the digest. ``compact`` merges all
-    runs into one of the next level and keeps, for each digest, the smallest ``best`` and the
-    summed row count. ``lookup`` joins digests with the newest level; the filters and the
-    sort order let a selective lookup skip row groups.
+    A memtable is the hash aggregate of one slice of a batch; ``flush`` writes each sorted by
+    digest, with a Parquet Bloom filter on the digest, as one run of level 0. ``compact`` merges
+    all runs into one of the next level and keeps, for each digest, the smallest ``best`` and
+    the summed row count; batches may be flushed and compacted in any order. ``lookup`` joins
+    digests with all runs; ``entry`` seeks one digest, for which the scan's equality filter
+    consults the Bloom filters and skips row groups.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, memtables: int = 4):
         self.spark, self.path, self.memtables = spark, path or shared_folder(spark, "merge-index"), memtables
         self.runs: list[str] = []
-        self.level = 0
+        self.level, self.written = 0, 0
 
-    def _write(self, merged: DataFrame, run: str) -> None:
-        path = f"{self.path}/{run}"
+    def _write(self, merged: DataFrame, level: int) -> None:
+        path = f"{self.path}/level={level}-run={self.written}"
+        self.written += 1
         writer = merged.write.option("parquet.bloom.filter.enabled#digest", "true")
         writer.option("parquet.bloom.filter.expected.ndv#digest", "1000000").option("parquet.bloom.filter.max.bytes", "1048576").parquet(path)
         self.runs.append(path)
@@ -38,14 +40,14 @@ class MergeIndex:
         """Add rows (digest, best); each memtable of the batch becomes sorted runs of its own."""
         memtable = F.pmod(F.xxhash64("best"), F.lit(self.memtables)).alias("memtable")
         sums = batch.groupBy(memtable, "digest").agg(F.min("best").alias("best"), F.count(F.lit(1)).alias("rows"))
-        self._write(sums.sortWithinPartitions("memtable", "digest"), f"level=0-run={len(self.runs)}")
+        self._write(sums.sortWithinPartitions("memtable", "digest"), 0)
 
     def compact(self) -> None:
         """Merge every run into one of the next level; smallest identifiers win."""
         merged = self.entries().sortWithinPartitions("digest")
-        self.runs, old = [], self.runs
+        self.runs = []
         self.level += 1
-        self._write(merged, f"level={self.level}-of={len(old)}")
+        self._write(merged, self.level)
 
     def entries(self) -> DataFrame:
         """One row a digest over all runs: (digest, best, rows)."""
@@ -54,8 +56,16 @@ class MergeIndex:
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """The index entry of each row's digest. After ``compact`` each digest has one entry."""
-        found = self.spark.read.parquet(*self.runs) if len(self.runs) == 1 and self.level else self.entries()
-        return keys.join(found.select("digest", "best", "rows"), "digest")
+        return keys.join(self.compacted().select("digest", "best", "rows"), "digest")
+
+    def compacted(self) -> DataFrame:
+        """The entries; right after ``compact`` they are read as they stand."""
+        return self.spark.read.parquet(*self.runs) if len(self.runs) == 1 and self.level else self.entries()
+
+    def entry(self, digest: bytes) -> DataFrame:
+        """The entry of one digest, by a pushed-down equality."""
+        found = self.spark.read.parquet(*self.runs).where(F.col("digest") == F.lit(digest))
+        return found.groupBy("digest").agg(F.min("best").alias("best"), F.sum("rows").alias("rows"))
 
 
 def _best(n_chars: Column, doc_id: Column) -> Column:
@@ -86,9 +96,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     index.flush(keyed.select("digest", F.col("own").alias("best")))
     index.compact()
 
-    # Hits: digests of more than one row. Only their texts move.
-    shared = spark.read.parquet(*index.runs).where("rows > 1")
-    hits = texts.select("doc_id", "n_chars", "norm", digest(F.col("norm")).alias("digest")).join(shared, "digest").withColumn("own", _best(F.col("n_chars"), F.col("doc_id")))
+    # Hits: digests of more than one row. Where these are few enough to be broadcast only their texts move.
+    shared = stored(index.compacted().where("rows > 1"), "shared-digests")
+    hits = join_checked(texts.select("doc_id", "n_chars", "norm", digest(F.col("norm")).alias("digest")), shared, "digest").withColumn("own", _best(F.col("n_chars"), F.col("doc_id")))
     salts = F.ceil(F.col("rows") / VERIFY_ROWS)
     keepers = hits.where("own = best").select("digest", "rows", "norm").dropDuplicates(["digest", "norm"])
     keepers = keepers.select("digest", F.col("norm").alias("kept_norm"), F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))).alias("salt"))
