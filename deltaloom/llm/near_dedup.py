@@ -134,10 +134,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """One document of each class of near duplicates, with all its columns."""
-    gone = stored(near_duplicates(docs, id_col, text_col, threshold).where("NOT kept").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_gone")).distinct(), "dropped-documents")
+    """One document of each class of near duplicates, with all its columns.
+
+    Of rows that repeat both the id and the text of one that stays, one stays.
+    """
+    found = stored(near_duplicates(docs, id_col, text_col, threshold).select("doc_id", "row", "kept"), "decisions")
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_gone")).distinct(), "dropped-documents")
+    twice = stored(found.where("kept").groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_gone")).count().where("count > 1").drop("count"), "repeated-rows")
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     plain = plain.withColumn("_id", F.col(f"c{names.index(id_col)}")).withColumn("_row", F.xxhash64(F.coalesce(F.col(f"c{names.index(text_col)}"), F.lit(""))))
-    kept = join_checked(plain, gone, F.expr("_id <=> _doc AND _row = _gone"), "left_anti")
+    same = F.expr("_id <=> _doc AND _row = _gone")
+    kept = join_checked(plain, gone, same, "left_anti")
+    if not twice.isEmpty():
+        kept = join_checked(kept, twice, same, "left_anti").unionByName(join_checked(kept, twice, same, "left_semi").dropDuplicates(["_id", "_row"]))
     return kept.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

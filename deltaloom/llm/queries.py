@@ -50,7 +50,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify_languages(documents(spark, sf_dir), held_fold=0)
-    return found.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
