@@ -18,11 +18,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    The folder is read from ``spark.checkpoint.dir``; only where that is unset (local
-    tests) does a temporary one take its place.
+    The folder is read from ``spark.checkpoint.dir``; where that is unset a temporary one takes
+    its place on a local master, and a cluster gets an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "deltaloom-checkpoints")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -75,6 +75,31 @@ def test_exact_dedup_survives_digest_collisions(odd):
     assert key(weak.collect()) == key(exact_dedup.exact_dedup(odd).collect())
 
 
+def test_merge_index_takes_further_batches(spark):
+    """Flushes and merges in turn keep the smallest identifier and the count of each digest."""
+    rng, index, want = random.Random(2), exact_dedup.MergeIndex(spark), {}
+    for step in range(6):
+        rows = [(bytes([rng.randrange(40)]), rng.randrange(1000)) for _ in range(50)]
+        for d, i in rows:
+            best, n = want.get(d, (i, 0))
+            want[d] = (min(best, i), n + 1)
+        index.flush(spark.createDataFrame(rows, "digest binary, best long"))
+        if step in (1, 3, 4):
+            index.compact()
+        assert {bytes(r.digest): (r.best, r.rows) for r in index.compacted().collect()} == want
+    assert len(index.runs) == 2 and index.level == 3
+    some = sorted(want)[3]
+    assert [(r.best, r.rows) for r in index.entry(some).collect()] == [want[some]]
+    keys = spark.createDataFrame([(some,), (b"none",)], "digest binary")
+    assert [(r.best, r.rows) for r in index.lookup(keys).collect()] == [want[some]]
+
+
+def test_repeated_rows_leave_one(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = frame(spark, [(1, text), (1, text), (2, text), (3, "other words"), (None, None), (None, None)])
+    assert sorted(str(r.doc_id) for r in near_dedup.near_dedup(docs).collect()) == ["1", "3", "None"]
+
+
 @given(st.lists(st.integers(1, 10_000), min_size=1, max_size=12))
 @settings(max_examples=60, deadline=None)
 def test_water_filling_by_hand(sizes):
