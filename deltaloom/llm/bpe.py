@@ -48,6 +48,10 @@ class Memory(dict):
         self.held += ENTRY + len(key) + len(value)
         return value
 
+    def rest(self) -> None:
+        """Between tasks a worker keeps the younger generation only."""
+        self.older = {}
+
 
 def text_slices(column: pa.StringArray) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of a batch's column, so that only so many characters are Python strings at once."""
@@ -94,8 +98,8 @@ class TreeEncoder:
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.halves = Memory(self.encode, MEMORY // 2)
-        self.seams = Memory(self._merge, MEMORY // 2)
+        self.halves = Memory(self.encode, MEMORY // 4)
+        self.seams = Memory(self._merge, MEMORY // 4)
 
     def _merge(self, data: bytes) -> tuple[int, ...]:
         """Pair merging by rank, leftmost first among equals, for the windows at seams."""
@@ -173,15 +177,28 @@ class TextEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.tree = TreeEncoder(ranks)
         self.pattern = regex.compile(pattern)
-        self.pieces = Memory(lambda piece: self.pack(self.tree.encode(piece.encode())))
-        self.chunks = Memory(lambda chunk: self.whole(" " + chunk))
+        self.pieces = Memory(lambda piece: self.pack(self.tree.encode(piece.encode())), MEMORY // 4)
+        self.chunks = Memory(self._spaced)
 
     @staticmethod
     def pack(ids: tuple[int, ...]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
+    def _spaced(self, chunk: str) -> bytes:
+        """Ids of a space and the chunk: one match of the pattern, or several, each from memory."""
+        found = self.pattern.findall(" " + chunk)
+        return self.pack(self.tree.encode(found[0].encode())) if len(found) == 1 else b"".join(map(self._piece, found))
+
+    def _piece(self, piece: str) -> bytes:
+        # A space and what isn't white space is one match by itself too, so it is the chunk after the space.
+        return self.chunks[piece[1:]] if len(piece) > 1 and piece[0] == " " and not piece[1].isspace() else self.pieces[piece]
+
     def whole(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
+        return b"".join(map(self._piece, self.pattern.findall(text)))
+
+    def rest(self) -> None:
+        for memory in (self.pieces, self.chunks, self.tree.halves, self.tree.seams):
+            memory.rest()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -219,6 +236,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
             for at, texts in text_slices(batch.column(1)):
                 ids = [encoder.encode(text) for text in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        encoder.rest()
 
     source = pick(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
     return source.mapInArrow(encode, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids binary")
@@ -250,6 +268,7 @@ def bpe_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
                     rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(encoder.decode(packed)).hexdigest()))
                 n, ids, data = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder.rest()
 
     source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id"), text_or_empty().alias("text"))
     return source.mapInArrow(digest, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
