@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator
@@ -63,19 +64,22 @@ def text_slices(column: pa.StringArray) -> Iterator[tuple[int, list[str]]]:
         at = end
 
 
-def spaced_chunks(text: str) -> list[str] | None:
-    """The text cut before spaces, where each chunk but the first stands for ' ' + chunk.
+_BESIDE_SPACE = re.compile(f" (?:[{UNICODE_SPACES}]|$)")
+
+
+def splits_at_spaces(text: str) -> bool:
+    """Whether the byte-level pattern matches the chunks between spaces apart from each other.
 
-    The byte-level pattern never matches across such a cut: before a space there is always a
-    match end, unless white space stands on both sides of it. None for texts with
-    such a space (or one at the end); they go to the pattern whole.
+    It never matches across the cut before a space: there is always a match end there, unless
+    white space stands on both sides of it. Texts with such a space (or one at the end) go to
+    the pattern whole.
     """
-    if text.endswith(" "):
-        return None
-    for c in UNICODE_SPACES:
-        if " " + c in text:
-            return None
-    return text.split(" ")
+    return not text.endswith(" ") and _BESIDE_SPACE.search(text) is None
+
+
+def spaced_chunks(text: str) -> list[str] | None:
+    """The text cut before spaces, where each chunk but the first stands for ' ' + chunk; None for texts that go whole."""
+    return text.split(" ") if splits_at_spaces(text) else None
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
