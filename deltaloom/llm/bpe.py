@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, text_or_empty
+from .common import pick, small_batches, text_or_empty
 
 #: All characters that some engine counts as white space (fixed values).
 UNICODE_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
@@ -97,13 +97,13 @@ class TreeEncoder:
     change. Until then the window doubles.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], memory: int = MEMORY):
         self.ranks = ranks
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.halves = Memory(self.encode, MEMORY // 4)
-        self.seams = Memory(self._merge, MEMORY // 4)
+        self.halves = Memory(self.encode, memory // 4)
+        self.seams = Memory(self._merge, memory // 4)
 
     def _merge(self, data: bytes) -> tuple[int, ...]:
         """Pair merging by rank, leftmost first among equals, for the windows at seams."""
@@ -178,11 +178,11 @@ class TreeEncoder:
 class TextEncoder:
     """Texts to packed ids: the pattern's matches are encoded one by one, repeated ones from memory."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.tree = TreeEncoder(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY):
+        self.tree = TreeEncoder(ranks, memory)
         self.pattern = regex.compile(pattern)
-        self.pieces = Memory(lambda piece: self.pack(self.tree.encode(piece.encode())), MEMORY // 4)
-        self.chunks = Memory(self._spaced)
+        self.pieces = Memory(lambda piece: self.pack(self.tree.encode(piece.encode())), memory // 4)
+        self.chunks = Memory(self._spaced, memory)
 
     @staticmethod
     def pack(ids: tuple[int, ...]) -> bytes:
@@ -215,14 +215,14 @@ class TextEncoder:
         return self.tree.decode(np.frombuffer(packed, "<u4").tolist())
 
 
-_ENCODERS: dict[tuple[str, str], TextEncoder] = {}
+_ENCODERS: dict[tuple[str, str, int], TextEncoder] = {}
 
 
-def text_encoder(path: str, pattern: str) -> TextEncoder:
-    """One encoder a worker process and vocabulary."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = TextEncoder(read_ranks(path), pattern)
-    return _ENCODERS[path, pattern]
+def text_encoder(path: str, pattern: str, memory: int = MEMORY) -> TextEncoder:
+    """One encoder a worker process, vocabulary and bound of memory."""
+    if (path, pattern, memory) not in _ENCODERS:
+        _ENCODERS[path, pattern, memory] = TextEncoder(read_ranks(path), pattern, memory)
+    return _ENCODERS[path, pattern, memory]
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,6 +234,8 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     that are bounded in bytes.
     """
 
+    small_batches(docs.sparkSession)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary, pattern)
         for batch in batches:
@@ -259,11 +261,16 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, pattern: str, id_col: str =
     return source.mapInArrow(decode, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, data binary")
 
 
-def bpe_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A round trip in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256 for each text."""
+def bpe_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY) -> DataFrame:
+    """A round trip in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256 for each text.
+
+    ``memory`` bounds, in bytes, each generation of a worker's table of chunks, and with a quarter of it
+    each of the three other tables. Less memory costs time where texts have many words; ids don't change.
+    """
+    small_batches(docs.sparkSession)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(vocabulary, pattern)
+        encoder = text_encoder(vocabulary, pattern, memory)
         for batch in batches:
             for at, texts in text_slices(batch.column(1)):
                 rows = []

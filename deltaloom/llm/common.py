@@ -45,6 +45,20 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of an Arrow batch of whole texts; Spark's 10,000 would be some 20 MB of text, held by both sides of each task.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches BATCH_ROWS long, unless someone has chosen a size below that.
+
+    Spark reads the setting when a plan runs, so it stays set. Rows and results don't depend on it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def pick(df: DataFrame, **names: str | None) -> DataFrame:
     """Select columns by exact name under new names; other columns, whatever their names, stay out.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_checked, pick, stored
+from .common import join_checked, pick, small_batches, stored
 
 #: Bounds of the labelled sample of a language that its automaton is built from.
 SAMPLE_ROWS, SAMPLE_CHARS = 64, 24_000
@@ -237,6 +237,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     broadcast model grows with the number of languages and the bounded sample of each.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast(CrossParser.fit(labelled_sample(docs, id_col, text_col, lang_col, held_fold, rows)))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

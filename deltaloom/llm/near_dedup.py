@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_checked, pick, stored
+from .common import join_checked, pick, small_batches, stored
 from .linking import link_buckets
 from .words import mixed, run_hashes, text_slices, word_hashes, word_spans
 
@@ -86,6 +86,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
                 part = batch.slice(row, len(digests))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(digests, pa.binary()), lists], ["doc_id", "row", "digest", "keys"])
 
+    small_batches(docs.sparkSession)
     source = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(sign, f"doc_id {kind}, row long, digest binary, keys array<long>")
