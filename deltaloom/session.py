@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +24,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the cluster's shared ``spark.checkpoint.dir``; a local master may leave it unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), "deltaloom-checkpoints")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
