@@ -1,12 +1,14 @@
-"""Substring deduplication by counting windows of words that seeds bring together.
+"""Substring deduplication by a relative Lempel-Ziv parse over words.
 
-This replaces a relative Lempel-Ziv parse: no text is factored against a reference block and no
-longest match is computed, since that is quadratic in the corpus.
+Every text is factored against a reference, which is the first place of each window of words in the
+corpus; the reference's index is dealt into blocks by hash, so a text is matched with all blocks in
+one join, and no text meets a block that holds none of its windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -67,19 +69,24 @@ def copied_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """Factors of repeated windows in texts of which no copy exists: (_doc, _row, factors).
+    """The parse of texts of which no copy exists: (_doc, _row, factors).
 
-    No greedy parse is done: windows are counted by 64-bit hash, and a factor, formed afterwards, is the
-    union of repeated windows that touch, the longest run of words whose windows all occur
-    elsewhere, and ends at a boundary where the next window is unique; factors are (from,
-    to) in words.
+    The reference holds each repeated window once, at one place. A factor (start, end, digest) is
+    the longest run of words from ``start`` on whose windows have places that follow one another
+    there, at least ``window`` words. ``digest`` is the SHA-256 of the reference's words, for the
+    caller to compare with the text's own.
 
     Index: the reference is every text, dealt by seed hash into blocks (the shuffle's partitions);
     a seed entry is a run of ``seed`` words that some window chose as its least. A text meets
     every block that could hold one of its windows: its seeds are looked up in all of
-    them by the join on the seed. Only windows whose seed occurs twice can repeat; their
-    own hashes are counted. Of a group of copies only the first text is indexed: all its
-    windows are repeated anyway, and other texts still meet them.
+    them by the join on the seed. Only windows whose seed occurs twice can repeat. Their
+    own 128-bit hashes address the reference: the first place of each, or the last for the first
+    itself. Of a group of copies only the first text is indexed: all its windows are repeated
+    anyway, and other texts still meet them.
+
+    Parse: a factor grows while the next word's window has the next place of the same reference
+    text. Where it ends, the windows across its boundary are looked up like all others, so a word is
+    in some factor exactly if it is in a repeated window.
 
     Seeds and windows are counted with partial sums, so a passage in a third of all
     texts is one row per task; the joins back are plain ones that adaptive execution splits.
@@ -112,22 +119,55 @@ def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
                 hit = np.isin(text * width + place, known)
                 text, start = text[hit], start[hit]
                 at = start + (np.cumsum(counts) - counts)[text]
-                total = np.zeros(len(at), np.uint64)
-                for j in range(window):
-                    total = mixed(total * np.uint64(0x9FB21C651E98DF25) + hashes[at + j] if len(at) else total)
+                total, check = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+                if len(at):
+                    second = mixed(hashes ^ np.uint64(0xD1B54A32D192ED03))
+                    for j in range(window):
+                        total = mixed(total * np.uint64(0x9FB21C651E98DF25) + hashes[at + j])
+                        check = check * np.uint64(0xA0761D6478BD642F) + second[at + j]
                 own, twin = (batch.column(c).slice(row, end - row).take(pa.array(text)) for c in ("id", "twin"))
-                yield pa.RecordBatch.from_arrays([own, twin, pa.array(total.view(np.int64)), pa.array(start, pa.int32())], ["id", "twin", "window", "start"])
+                yield pa.RecordBatch.from_arrays([own, twin, pa.array(total.view(np.int64)), pa.array(check.view(np.int64)), pa.array(start, pa.int32())], ["id", "twin", "window", "check", "start"])
 
     near = join_checked(texts, found, F.expr("doc_id <=> _doc AND row = _row"), rows=100_000).select("id", "twin", "text", "places")
-    windows = stored(near.mapInArrow(look_up, "id long, twin boolean, window long, start int"), "windows")
+    windows = stored(near.mapInArrow(look_up, "id long, twin boolean, window long, check long, start int"), "windows")
     repeated = stored(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window"), "repeated-windows")
-    # Both sides grow with the corpus: a shuffle at every size.
-    starts = windows.where("NOT twin").drop("twin").join(repeated, "window").groupBy("id").agg(F.sort_array(F.collect_set("start")).alias("starts"))
-    # Factors: unions of windows that touch, as (from, to).
-    begins = F.filter("starts", lambda x, i: (i == 0) | (x - F.get("starts", i - 1) > window))
-    ends = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.get("starts", i + 1) - x > window))
-    factors = F.zip_with(begins, ends, lambda a, b: F.array(a, b + window))
-    return stored(starts.join(found.drop("places"), "id").select("_doc", "_row", factors.alias("factors")), "factors")
+    # Both sides grow with the corpus: shuffles at every size.
+    shared = stored(windows.join(repeated, "window"), "shared-windows")
+    counted = shared.groupBy("window", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start")).alias("first"), F.max(F.struct("id", "start")).alias("last"))
+    reference = stored(counted.where("n > 1").drop("n"), "reference")
+    at = F.when(F.col("first") == F.struct("id", "start"), F.col("last")).otherwise(F.col("first"))
+    hits = shared.where("NOT twin").join(reference, ["window", "check"]).select("id", F.struct("start", at.alias("at")).alias("hit"))
+    hits = hits.groupBy("id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    parts = lambda x, y: (y["start"] != x["start"] + 1) | (y["at"]["id"] != x["at"]["id"]) | (y["at"]["start"] != x["at"]["start"] + 1)
+    begins = F.filter("hits", lambda x, i: (i == 0) | parts(F.get("hits", i - 1), x))
+    ends = F.filter("hits", lambda x, i: (i == F.size("hits") - 1) | parts(x, F.get("hits", i + 1)))
+    factor = lambda a, b: F.struct(a["start"].alias("start"), (b["start"] + window).alias("end"), a["at"]["id"].alias("ref"), a["at"]["start"].alias("from"))
+    parsed = stored(hits.select("id", F.explode(F.zip_with(begins, ends, factor)).alias("f")).select("id", "f.*"), "parse")
+
+    spans = parsed.groupBy("ref").agg(F.collect_set(F.struct("from", (F.col("end") - F.col("start")).alias("size"))).alias("spans"))
+    wanted = stored(spans.join(found.drop("places"), F.expr("ref = id")).select("ref", F.col("_doc"), F.col("_row"), "spans"), "reference-spans")
+    sources = join_checked(texts, wanted, F.expr("doc_id <=> _doc AND row = _row"), rows=100_000).select("ref", "text", "spans")
+
+    def read_reference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            refs, wanted = batch.column("ref").to_pylist(), batch.column("spans").to_pylist()
+            for row, end, data, starts, ends, counts, _ in _words_only(batch.column("text")):
+                raw, first, out = data.tobytes(), np.cumsum(counts) - counts, []
+                for i in range(end - row):
+                    a, b = (x[first[i] : first[i] + counts[i]] for x in (starts, ends))
+                    out += [(refs[row + i], f["from"], f["size"], _span_digest(raw, a, b, f["from"], f["from"] + f["size"])) for f in wanted[row + i]]
+                columns = list(zip(*out, strict=True)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["ref", "from", "size", "digest"])
+
+    digests = stored(sources.mapInArrow(read_reference, "ref long, from int, size int, digest binary"), "reference-words")
+    checked = join_checked(parsed.withColumn("size", F.expr("end - start")), digests, ["ref", "from", "size"])
+    factors = checked.groupBy("id").agg(F.collect_list(F.struct("start", "end", "digest")).alias("factors"))
+    return stored(factors.join(found.drop("places"), "id").select("_doc", "_row", "factors"), "factors")
+
+
+def _span_digest(raw: bytes, starts: np.ndarray, ends: np.ndarray, a: int, b: int) -> bytes:
+    """SHA-256 of the words from a to b, joined by one space."""
+    return sha256(b" ".join([raw[x:y] for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)])).digest()
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
@@ -136,6 +176,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A window is ``window`` consecutive words; every word of a window whose words also start
     anywhere else, in the same text too, is removed, whatever else is removed. Returns one row
     per input row: doc_id, n_words, n_removed, kept (the words left, joined by one space).
+    Each factor is compared with its reference's words by SHA-256; should two hashes of
+    windows ever be equal by chance, the job fails rather than remove unique words.
     Null text has no words; a text shorter than a window keeps all. Rows that repeat an id
     count as texts of their own. Null ids and extra columns are no matter.
     """
@@ -151,10 +193,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 raw, kept, removed, first = data.tobytes(), [], [], np.cumsum(counts) - counts
                 for i in range(end - row):
                     n = int(counts[i])
-                    factors = [[0, n]] if twins[row + i] and n >= window else found[row + i] or []
-                    keep = np.ones(n, bool)
-                    for a, b in factors:
-                        keep[a:b] = False
+                    keep = np.full(n, not twins[row + i] or n < window)
+                    for f in found[row + i] or []:
+                        own = _span_digest(raw, starts[first[i] : first[i] + n], ends[first[i] : first[i] + n], f["start"], f["end"])
+                        if own != f["digest"]:
+                            raise ValueError("words with equal hashes differ: a factor is not its reference's text")
+                        keep[f["start"] : f["end"]] = False
                     at = np.flatnonzero(keep) + first[i]
                     kept.append(b" ".join([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]).decode())
                     removed.append(int(counts[i]) - len(at))

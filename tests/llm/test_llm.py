@@ -357,6 +357,21 @@ def test_substring_dedup_equals_brute_force(docs, texts):
         assert (r.n_words, r.n_removed, r.kept_sha256) == (len(w), len(w) - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest())
 
 
+def test_substring_factors_stand_in_the_reference(spark):
+    """A factor ends where its reference goes on with other words, and the windows across the boundary are found."""
+    a, b, c = ([f"{x}{i}" for i in range(60)] for x in "abc")
+    texts = [a + b, b + a[:50] + c, ["x"] + a[10:60] + b[:20] + ["y"], c[5:45]]
+    docs = frame(spark, [(i, " ".join(w)) for i, w in enumerate(texts)])
+    copies = substring_dedup.copied_texts(docs)
+    got = {r._doc: sorted((f.start, f.end, bytes(f.digest)) for f in r.factors) for r in substring_dedup.repeated_factors(docs, copies).collect()}
+    spans = {0: [(0, 60), (10, 80), (60, 120)], 1: [(0, 60), (60, 110), (115, 155)], 2: [(1, 71)], 3: [(0, 40)]}
+    for i, found in got.items():
+        assert [d for _, _, d in found] == [hashlib.sha256(" ".join(texts[i][s:e]).encode()).digest() for s, e, _ in found]
+        covered = lambda x: {k for s, e in x for k in range(s, e)}
+        assert covered([(s, e) for s, e, _ in found]) == covered(spans[i])
+    assert [(s, e) for s, e, _ in got[3]] == [(0, 40)]
+
+
 def test_substring_repeats_in_one_document(spark):
     w = [f"w{i}" for i in range(40)]
     got = substring_dedup.substring_dedup(frame(spark, [(1, " ".join(w + ["x"] + w)), (2, "y " * 36)])).orderBy("doc_id").collect()
