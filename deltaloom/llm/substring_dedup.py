@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_checked, pick, stored
+from .common import BROADCAST_ROWS, discard, join_checked, pick, stored
 from .words import mixed, run_hashes, text_slices, word_hashes, word_spans
 
 #: Words of a window that must repeat, and of the seeds that address the reference index.
@@ -85,8 +85,9 @@ def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
     anyway, and other texts still meet them.
 
     Parse: a factor grows while the next word's window has the next place of the same reference
-    text. Where it ends, the windows across its boundary are looked up like all others, so a word is
-    in some factor exactly if it is in a repeated window.
+    text. Where it ends, the windows across its boundary are looked up like all others, and the
+    one that reaches furthest begins the next factor, so a word is in some factor exactly if
+    it is in a repeated window.
 
     Seeds and windows are counted with partial sums, so a passage in a third of all
     texts is one row per task; the joins back are plain ones that adaptive execution splits.
@@ -108,6 +109,7 @@ def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
     shared = stored(entries.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "shared-seeds")
     found = join_checked(entries, shared, "seed", rows=LONG_ROWS).groupBy("doc_id", "row").agg(F.collect_set("place").alias("places"))
     found = stored(found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), "places").withColumn("id", F.monotonically_increasing_id()), "candidates")
+    discard(entries)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,16 +135,28 @@ def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
     repeated = stored(windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window"), "repeated-windows")
     # Both sides grow with the corpus: shuffles at every size.
     shared = stored(windows.join(repeated, "window"), "shared-windows")
+    discard(windows)
     counted = shared.groupBy("window", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start")).alias("first"), F.max(F.struct("id", "start")).alias("last"))
     reference = stored(counted.where("n > 1").drop("n"), "reference")
     at = F.when(F.col("first") == F.struct("id", "start"), F.col("last")).otherwise(F.col("first"))
     hits = shared.where("NOT twin").join(reference, ["window", "check"]).select("id", F.struct("start", at.alias("at")).alias("hit"))
     hits = hits.groupBy("id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-    parts = lambda x, y: (y["start"] != x["start"] + 1) | (y["at"]["id"] != x["at"]["id"]) | (y["at"]["start"] != x["at"]["start"] + 1)
-    begins = F.filter("hits", lambda x, i: (i == 0) | parts(F.get("hits", i - 1), x))
-    ends = F.filter("hits", lambda x, i: (i == F.size("hits") - 1) | parts(x, F.get("hits", i + 1)))
-    factor = lambda a, b: F.struct(a["start"].alias("start"), (b["start"] + window).alias("end"), a["at"]["id"].alias("ref"), a["at"]["start"].alias("from"))
-    parsed = stored(hits.select("id", F.explode(F.zip_with(begins, ends, factor)).alias("f")).select("id", "f.*"), "parse")
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, flat = batch.column("hits"), batch.column("hits").flatten()
+            text = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            start, ref, place = flat.field("start").to_numpy(), flat.field("at").field("id").to_numpy(), flat.field("at").field("start").to_numpy()
+            new = np.ones(len(start), bool)
+            new[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1) | (ref[1:] != ref[:-1]) | (place[1:] != place[:-1] + 1)
+            first = np.flatnonzero(new)
+            end = start[np.append(first[1:], len(start))[: len(first)] - 1] + window
+            chosen = first[_greedy(text[first], start[first], end)]
+            last = dict(zip(first.tolist(), end.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(text[chosen])), pa.array(start[chosen]), pa.array([last[k] for k in chosen.tolist()], pa.int32()), pa.array(ref[chosen]), pa.array(place[chosen])], ["id", "start", "end", "ref", "from"])
+
+    parsed = stored(hits.mapInArrow(parse, "id long, start int, end int, ref long, from int"), "parse")
+    discard(shared)
 
     spans = parsed.groupBy("ref").agg(F.collect_set(F.struct("from", (F.col("end") - F.col("start")).alias("size"))).alias("spans"))
     wanted = stored(spans.join(found.drop("places"), F.expr("ref = id")).select("ref", F.col("_doc"), F.col("_row"), "spans"), "reference-spans")
@@ -165,6 +179,24 @@ def repeated_factors(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
     return stored(factors.join(found.drop("places"), "id").select("_doc", "_row", "factors"), "factors")
 
 
+def _greedy(texts: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of the factors that a greedy parse takes: of those that begin no later than the last one ends, the one that reaches furthest.
+
+    Starts and ends both rise inside a text; what the taken ones cover is what all cover.
+    """
+    chosen, now, reach, held = [], -1, -1, None
+    for k, (text, start, end) in enumerate(zip(texts.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+        if held is not None and (text != now or start > reach):
+            chosen.append(held[0])
+            reach, held = held[1], None
+        if text != now or start > reach:
+            chosen.append(k)
+            now, reach = text, end
+        else:
+            held = (k, end)
+    return np.array(chosen if held is None else [*chosen, held[0]], np.int64)
+
+
 def _span_digest(raw: bytes, starts: np.ndarray, ends: np.ndarray, a: int, b: int) -> bytes:
     """SHA-256 of the words from a to b, joined by one space."""
     return sha256(b" ".join([raw[x:y] for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)])).digest()
@@ -206,7 +238,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     marked = join_checked(texts, copies.select("copied"), F.expr("digest = copied"), "left").withColumn("twin", F.col("copied").isNotNull())
-    joined = join_checked(marked, spans, F.expr("doc_id <=> _doc AND row = _row"), "left", rows=100_000).select("doc_id", "text", "twin", "factors")
+    # The bound is on factors, not on rows: a text may have many.
+    few = (spans.agg(F.sum(F.size("factors"))).first()[0] or 0) <= BROADCAST_ROWS
+    joined = marked.join(F.broadcast(spans) if few else spans, F.expr("doc_id <=> _doc AND row = _row"), "left").select("doc_id", "text", "twin", "factors")
     return joined.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
 
 
