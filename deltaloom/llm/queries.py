@@ -16,6 +16,7 @@ from .line_dedup import line_dedup_report
 from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
+from .simhash import simhash_components
 from .substring_dedup import substring_digests
 from .token_files import token_file_digests
 
@@ -61,8 +62,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of near fingerprints of all documents."""
+    return simhash_components(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup, "op11_simhash": op11_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
