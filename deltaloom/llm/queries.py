@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import documents, tokenizer_pattern, tokenizer_path
+from .divergence import source_divergence
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
 from .language import fold_of, identify_languages
@@ -67,12 +68,17 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of all pairs of sources of each language, and the ten terms that set each source apart."""
+    return source_divergence(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup, "op11_simhash": op11_simhash}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup, "op11_simhash": op11_simhash, "op13_source_divergence": op13_source_divergence}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+    return {"op2_mix_sources": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op13_source_divergence": OP13_SQL}
 
 
 OP2_SQL = r"""
@@ -109,3 +115,33 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
   doc_id = first_value(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)
 """
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), v AS (
+  SELECT lang, count(*) AS terms, sum(lang_n)::HUGEINT AS lang_total FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL
+), n AS (
+  SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY lang, source
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(n.total, 0) + 2 * v.terms)) AS p, (1 + 1000000000::HUGEINT * (k.lang_n + 2) // (v.lang_total + 2 * v.terms)) AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM terms QUALIFY rank <= 10
+"""
