@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import documents, tokenizer_pattern, tokenizer_path
+from .conversations import conversation_repairs
 from .divergence import source_divergence
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
@@ -68,13 +69,18 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired digest of every damaged conversation."""
+    return conversation_repairs(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of all pairs of sources of each language, and the ten terms that set each source apart."""
     return source_divergence(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup, "op11_simhash": op11_simhash, "op13_source_divergence": op13_source_divergence}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_mix_sources": op2_mix_sources, "op3_language": op3_language, "op4_exact_dedup": op4_exact_dedup, "op5_bpe_round_trip": op5_bpe_round_trip, "op6_near_duplicates": op6_near_duplicates, "op7_token_files": op7_token_files, "op8_fingerprint_edits": op8_fingerprint_edits, "op9_substring_dedup": op9_substring_dedup, "op10_line_dedup": op10_line_dedup, "op11_simhash": op11_simhash, "op12_conversation_repair": op12_conversation_repair, "op13_source_divergence": op13_source_divergence}
 
 
 def oracle_sql() -> dict[str, str]:
