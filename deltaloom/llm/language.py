@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import join_checked, pick, small_batches, stored
 
-#: Bounds of the labelled sample of a language that its automaton is built from.
-SAMPLE_ROWS, SAMPLE_CHARS = 64, 24_000
-#: Characters that are parsed as one lane.
+#: Bounds of the labelled sample of a language that its automaton is built from, and pieces that stand for a longer text.
+SAMPLE_ROWS, SAMPLE_CHARS, PIECES = 64, 24_000, 8
+#: Characters of a lane; a longer text is parsed lane by lane, so a phrase ends with its lane.
 LANE = 512
 
 
@@ -23,35 +23,47 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_fold: int | None, rows: int) -> dict[str, str]:
-    """Texts of up to ``rows`` labelled rows of every language.
+def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_fold: int | None, rows: int, chars: int = SAMPLE_CHARS) -> dict[str, str]:
+    """Texts of up to ``rows`` labelled rows of every language, ``chars`` characters in all of each.
 
-    Rows are the least by a hash of the id, so the sample does not depend on partitions. The
-    collected sample is bounded by rows x SAMPLE_CHARS characters for each language; of these
-    SAMPLE_CHARS are kept, an equal share of each row (see ``_shared``).
+    Rows are the least by a hash of the id, so the sample does not depend on partitions; of rows
+    that repeat an id the least text is taken. At most ``rows`` texts of ``chars`` characters are collected for
+    each language: a longer text is represented by evenly spaced pieces, as is each row's equal share
+    of the language's ``chars`` (see ``_shared``).
     """
     d = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).where("lang IS NOT NULL AND text IS NOT NULL")
     if held_fold is not None:
         d = d.where(fold_of(F.col("doc_id")) != held_fold)
-    kept = d.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id").alias("rank"))
+    size = chars // PIECES
+    pieces = F.concat_ws("\n", *[F.expr(f"substring(text, 1 + cast((length(text) - {size}) * {k / (PIECES - 1)!r} as int), {size - 1})") for k in range(PIECES)])
+    kept = d.select("lang", F.when(F.length("text") <= chars, F.col("text")).otherwise(pieces).alias("text"), F.xxhash64("doc_id").alias("rank"))
     # The limit of ranks is applied in each partition before the shuffle.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
+    place = F.dense_rank().over(Window.partitionBy("lang").orderBy("rank"))
     ranks = kept.select("lang", "rank").withColumn("place", place).where(F.col("place") <= rows)
     ranks = ranks.select("lang", "rank").distinct()
-    found = kept.join(F.broadcast(ranks), ["lang", "rank"]).orderBy("lang", "rank", "text").collect()
+    found = kept.join(F.broadcast(ranks), ["lang", "rank"]).groupBy("lang", "rank").agg(F.min("text").alias("text")).orderBy("lang", "rank").collect()
     texts: dict[str, list[str]] = {}
     for row in found:
         texts.setdefault(row.lang, []).append(row.text)
-    return {lang: _shared(parts, SAMPLE_CHARS) for lang, parts in texts.items()}
+    return {lang: _shared(parts, chars) for lang, parts in texts.items()}
 
 
 def _shared(parts: list[str], chars: int) -> str:
-    """The first characters of each text, as many of each as ``chars`` allow; what short ones leave goes to the longer."""
+    """Equal shares of ``chars`` characters from all texts; what short ones leave goes to the longer."""
     left, share = chars, {}
     for k, i in enumerate(sorted(range(len(parts)), key=lambda i: len(parts[i]))):
         share[i] = min(len(parts[i]) + 1, left // (len(parts) - k))
         left -= share[i]
-    return "".join("\n" + part[: share[i] - 1] for i, part in enumerate(parts) if share[i] > 0)
+    return "".join("\n" + _spread(part, share[i] - 1) for i, part in enumerate(parts) if share[i] > 0)
+
+
+def _spread(text: str, chars: int) -> str:
+    """``chars`` characters of a text: evenly spaced pieces, a line each."""
+    if len(text) <= chars or chars < 2 * PIECES:
+        return text[:chars]
+    size = chars // PIECES
+    starts = [(len(text) - size) * k // (PIECES - 1) for k in range(PIECES)]
+    return "\n".join(text[a : a + size - 1] for a in starts)
 
 
 @dataclass
@@ -120,7 +132,8 @@ class CrossParser:
         """Phrases of each text in each language (n x languages), and letters of each text.
 
         The parse is greedy: a phrase is the longest match of a language's automaton from where
-        the last one ended. All lanes of all texts and languages step together.
+        the last one ended, or one symbol that its sample lacks. Each LANE of a text is parsed
+        on its own. All lanes of all texts step together.
         """
         codes = [_encode(text, self.symbols) for text in texts]
         lengths = np.array([len(c) for c in codes], np.int64)
@@ -138,20 +151,19 @@ class CrossParser:
         symbols = int(self.symbols.max()) + 1
         for k, table in enumerate(self.tables):
             first = table[np.zeros(symbols, np.int64), np.arange(symbols)]
-            # A letter that the language lacks is a phrase of its own.
+            # A symbol that the sample lacks is a phrase of its own: it leads to state 0, where the next one begins.
             first = np.maximum(first, 0)
             state = np.zeros(len(owner), np.int64)
-            ended = np.zeros(len(owner), np.int32)
+            begun = np.zeros(len(owner), np.int32)
             for step in range(LANE):
                 n = int(live[step])
                 if not n:
                     break
                 c = grid[step, :n]
                 moved = table[state[:n], c]
-                stuck = moved < 0
-                state[:n] = np.where(stuck, first[c], moved)
-                ended[:n] += stuck
-            counts[k, order] = ended + 1
+                begun[:n] += (moved < 0) | (state[:n] == 0)
+                state[:n] = np.where(moved < 0, first[c], moved)
+            counts[k, order] = begun
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         np.add.at(out, owner, counts.T)
         return out, letters
@@ -227,10 +239,10 @@ def suffix_automaton(code: np.ndarray, symbols: int) -> Transitions:
     return Transitions.of(moves, symbols)
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_fold: int | None = 0, rows: int = SAMPLE_ROWS) -> DataFrame:
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_fold: int | None = 0, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
     """The language of every whole text: doc_id, row (hash of the text), lang_pred, score.
 
-    Learns from a bounded sample of labelled rows (see ``labelled_sample``; ids whose CRC fold is
+    Learns from a bounded sample of labelled rows (``rows`` and ``chars`` of ``labelled_sample``; ids whose CRC fold is
     ``held_fold`` are left out) and predicts from the text alone. The score is the
     winner's share of the odds, 0 to 1. Null texts and texts without letters are ``und`` with
     score 0, as is everything when no labelled row exists. One narrow pass; the
@@ -238,7 +250,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     small_batches(spark)
-    model = spark.sparkContext.broadcast(CrossParser.fit(labelled_sample(docs, id_col, text_col, lang_col, held_fold, rows)))
+    model = spark.sparkContext.broadcast(CrossParser.fit(labelled_sample(docs, id_col, text_col, lang_col, held_fold, rows, chars), chars))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -167,6 +167,38 @@ def test_sample_takes_an_equal_share_of_each_row():
     assert model.cost[0] == 1 and model.cost[1] < 1 and model.predict(["abcdabcd", "dcbadcba"])[0] == ["long", "short"]
 
 
+def plain_phrases(text, sample):
+    """Greedy parse of encoded texts, by substring search, lane by lane."""
+    n = 0
+    for at in range(0, len(text), language.LANE):
+        lane = text[at : at + language.LANE]
+        while lane:
+            size = next((k for k in range(len(lane), 0, -1) if lane[:k] in sample), 1)
+            lane, n = lane[size:], n + 1
+    return n
+
+
+@given(st.lists(st.text("tghab é日", min_size=1, max_size=40), min_size=2, max_size=3), st.lists(st.text("tghab é日ж!", max_size=30), max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_phrases_equal_a_plain_parse(samples, texts):
+    """Letters that one sample or all lack are phrases of their own."""
+    model = language.CrossParser.fit({str(k): s for k, s in enumerate(samples)})
+    word = lambda s: "".join(chr(c) for c in language._encode(s, model.symbols))
+    texts += ["tgtgtgtg", "t" * 700 + "g" * 600]
+    found, _ = model.phrases(texts)
+    assert found.tolist() == [[plain_phrases(word(t), word(s)) for s in samples] for t in texts]
+
+
+def test_sample_is_bounded_and_spread(spark):
+    """Rows of one id are one sampled row; a long text gives pieces from its start to its end."""
+    long = "".join(chr(97 + i * 26 // 100_000) for i in range(100_000))
+    rows = [(1, f"text {i:04}", "en") for i in range(500)] + [(i, "w" * 50, "en") for i in range(2, 300)] + [(None, "null id", "fr"), (5, long, "de"), (6, None, "it"), (7, "no label", None)]
+    found = language.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", None, 64, 2_000)
+    assert sorted(found) == ["de", "en", "fr"] and found["fr"] == "\nnull id"
+    assert found["en"].count("text") <= 1 and len(found["en"]) <= 2_000
+    assert {"a", "z"} <= set(found["de"]) and len(set(found["de"])) >= 9 and len(found["de"]) <= 2_000
+
+
 def test_transitions_of_wide_rows():
     rng = random.Random(8)
     moves = [{c: rng.randrange(400) for c in rng.sample(range(900), rng.choice([0, 1, 2, 60, 700]))} for _ in range(400)]
