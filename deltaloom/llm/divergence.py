@@ -15,8 +15,8 @@ from .words import text_slices
 
 #: Documents of a language that must have a term, terms that each source lists, and the scale of shares.
 LEAST_DOCUMENTS, TOP, SCALE = 10, 10, 1_000_000_000
-#: Cells (terms times sources) of a block whose pairs of sources are compared in one task, 32 MB of longs.
-CELLS = 1 << 22
+#: Cells (terms times sources) of a block whose pairs of sources are compared in one task; at most, 32 MB of longs.
+CELLS, MOST_CELLS = 1 << 16, 1 << 22
 
 
 def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -112,16 +112,18 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     groups = named.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["total", "lang_total", "terms"])
     by_lang = Window.partitionBy("lang")
     groups = groups.withColumns({"number": F.row_number().over(by_lang.orderBy("source")) - 1, "sources": F.count(F.lit(1)).over(by_lang)})
-    groups = stored(groups.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("terms") * F.col("sources") / CELLS)).cast("int")), "groups")
+    # A block gives half the square of the number of sources, so it has that many cells if it may.
+    cells = F.greatest(F.lit(CELLS), F.least(F.col("sources") * F.col("sources"), F.lit(MOST_CELLS)))
+    groups = stored(groups.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("terms") * F.col("sources") / cells)).cast("int")), "groups")
 
     counted = join_checked(kept, groups, ["lang", "source"])
     p, q = _share(F.col("n"), F.col("total"), F.col("terms")), _share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))
     apart = counted.select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).where("p > q").select("lang", "source", "item", F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
 
     block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
-    cells = counted.select("lang", block, "term", "number", "n").groupBy("lang", "block")
+    parts = counted.select("lang", block, "term", "number", "n").groupBy("lang", "block")
     frames = groups.toDF(*[f"{c}_" for c in groups.columns]).select(F.col("lang_").alias("lang"), F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("block"), F.col("number_").alias("number"), F.col("total_").alias("total"), F.col("terms_").alias("terms")).groupBy("lang", "block")
-    sums = cells.cogroup(frames).applyInArrow(_pair_sums, "lang string, a int, b int, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    sums = parts.cogroup(frames).applyInArrow(_pair_sums, "lang string, a int, b int, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     sums = stored(sums, "pair-sums")
     both = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     names = groups.select("lang", F.col("number").alias("a"), "source")

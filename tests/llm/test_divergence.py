@@ -90,6 +90,7 @@ def test_shares_are_exact(count, more):
 def test_documents_equal_brute_force(spark, monkeypatch, cells):
     """With 40 cells a language's terms are dealt over many blocks."""
     monkeypatch.setattr(divergence, "CELLS", cells)
+    monkeypatch.setattr(divergence, "MOST_CELLS", cells)
     docs = common.documents(spark, SF)
     assert result(divergence.source_divergence(docs, least=5)) == plain_audit([(r.text, r.lang, r.source) for r in docs.collect()], least=5)
 
