@@ -27,13 +27,49 @@ def text_to_int(c: Column) -> Column:
 
 
 def to_text(c: Column, kind: T.DataType) -> Column:
-    """Any scalar as text; floats without an exponent and trailing zeros."""
+    """Any scalar as text; floats with all their digits, without an exponent and trailing zeros."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        plain = F.regexp_replace(F.regexp_replace(c.cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-        return F.coalesce(special_floats_to_text(c), plain)
+        return F.coalesce(special_floats_to_text(c), _plain_digits(c.cast("string")))
     return c.cast("string")
 
 
+def _plain_digits(c: Column) -> Column:
+    """``-1.25E-7`` as ``-0.000000125``: the shortest digits with the point where the exponent puts it."""
+    form = r"^(-?)(\d+)(?:\.(\d+))?(?:E(-?\d+))?$"
+    part = lambda i: F.regexp_extract(c, form, i)
+    digits = F.rtrim(F.concat(part(2), part(3)), F.lit("0"))
+    point = F.length(part(2)) + F.coalesce(part(4).try_cast("int"), F.lit(0))
+    zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
+    whole = F.concat(F.substring(digits, F.lit(1), F.greatest(point, F.lit(0))), zeros(point - F.length(digits)))
+    whole = F.ltrim(whole, F.lit("0"))
+    rest = F.concat(zeros(-point), F.substring(digits, F.greatest(point, F.lit(0)) + 1, F.length(digits)))
+    return F.concat(part(1), F.when(whole == "", "0").otherwise(whole), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)))
+
+
+def utc_text(c: Column, kind: T.DataType) -> Column:
+    """A time as RFC 3339 text in UTC with six digits, whatever the session's zone; times without a zone count as UTC."""
+    plain = c if isinstance(kind, T.TimestampNTZType) else F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    text = plain.cast("string")
+    time = F.substring_index(text, " ", -1)
+    return F.concat(F.substring_index(text, " ", 1), F.lit("T"), F.rpad(F.when(time.contains("."), time).otherwise(F.concat(time, F.lit("."))), 15, "0"), F.lit("Z"))
+
+
+def duration_text(c: Column, kind: T.DataType) -> Column:
+    """An interval as an ISO 8601 duration: months, or days, hours, minutes and seconds, without those that are 0."""
+    if isinstance(kind, T.YearMonthIntervalType):
+        months = c.cast("interval year to month").cast("string")
+        months = 12 * F.regexp_extract(months, r"(\d+)-", 1).cast("int") + F.regexp_extract(months, r"-(\d+)'", 1).cast("int")
+        return F.concat(F.when(c.cast("string").contains("'-"), "-").otherwise(""), F.lit("P"), months.cast("string"), F.lit("M"))
+    seconds = c.cast("interval day to second").cast("decimal(20,6)")
+    size = F.abs(seconds)
+    part = lambda per, of: F.floor(size / per).cast("long") % of
+    named = lambda n, mark: F.when(n > 0, F.concat(n.cast("string"), F.lit(mark))).otherwise("")
+    rest = F.regexp_replace(F.regexp_replace((size % 60).cast("decimal(8,6)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    time = F.concat(named(part(3600, 24), "H"), named(part(60, 60), "M"), F.when(size % 60 > 0, F.concat(rest, F.lit("S"))).otherwise(""))
+    body = F.concat(named(F.floor(size / 86400).cast("long"), "D"), F.when(time != "", F.concat(F.lit("T"), time)).otherwise(""))
+    return F.concat(F.when(seconds < 0, "-").otherwise(""), F.lit("P"), F.when(body == "", "T0S").otherwise(body))
+
+
 def to_json_text(c: Column) -> Column:
     """A value as JSON text, null stays null."""
     whole = F.to_json(F.struct(c.alias("v")))
@@ -110,9 +146,9 @@ def zero_dates(c: Column) -> Column:
     return F.regexp_replace(out, r"^(\d{4}-\d{2})-00", "$1-01")
 
 
-def bits_to_long(c: Column) -> Column:
-    """A bit string such as 0101 as a number."""
-    return F.conv(c, 2, 10).cast("long")
+def bits_to_number(c: Column) -> Column:
+    """A bit string such as 0101 of up to 64 bits as a number (F15); a longer one or other text gives null."""
+    return F.when(c.rlike("^0*[01]{1,64}$"), F.conv(c, 2, 10).try_cast("decimal(20,0)"))
 
 
 def uuid_text(c: Column) -> Column:

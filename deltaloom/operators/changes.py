@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -97,25 +98,63 @@ def fill_unchanged(df: DataFrame, before: str, after: str, unchanged: str, colum
     return [F.when(F.array_contains(F.col(unchanged), c), F.col(f"{before}.{c}")).otherwise(F.col(f"{after}.{c}")).alias(c) for c in columns]
 
 
+#: A step of a key path: a plain name, a name in double quotes, or a place in an array.
+PATH_STEP = re.compile(r'\.([^.\[\]"]+)|\."((?:[^"\\]|\\.)*)"|\[(\d+)\]')
+
+
+def key_path(path: str) -> list[str | int]:
+    """Names and places of ``$.a."b c"[0]``; ``$`` alone has none."""
+    out: list[str | int] = []
+    at = 1
+    while at < len(path):
+        step = PATH_STEP.match(path, at)
+        if step is None:
+            raise ValueError(f"no key path: {path}")
+        name, quoted, place = step.groups()
+        out.append(int(place) if place is not None else name if name is not None else json.loads(f'"{quoted}"'))
+        at = step.end()
+    return out
+
+
+def _edited(doc, op: str, path: list[str | int], value):
+    """A document after one edit; an edit whose place is not there changes nothing."""
+    if not path:
+        return None if op == "remove" else value
+    at = doc
+    for name in path[:-1]:
+        if not (name in at if isinstance(at, dict) else isinstance(at, list) and isinstance(name, int) and name < len(at)):
+            return doc
+        at = at[name]
+    last = path[-1]
+    if isinstance(at, list) and isinstance(last, int):
+        if op == "insert":
+            at.insert(last, value)
+        elif last < len(at):
+            at[last : last + 1] = [] if op == "remove" else [value]
+    elif isinstance(at, dict) and isinstance(last, str):
+        if op == "remove":
+            at.pop(last, None)
+        elif op == "insert" or last in at:
+            at[last] = value
+    return doc
+
+
 @F.pandas_udf(T.StringType())
 def apply_json_diff(base: pd.Series, diffs: pd.Series) -> pd.Series:
-    """Replace, insert and remove at key paths like ``$.a.b`` or ``$.a[1]``, in order."""
+    """Replace, insert and remove at key paths like ``$.a.b``, ``$.a[1]``, ``$."a b"`` or ``$``, in order.
+
+    A null document, or text that is no JSON, stays null unless an edit replaces ``$``. Edits of
+    what is not there change nothing, but an insert adds a name. A path that can't be read
+    fails the job, as the edits after it would meet another document.
+    """
     out = []
     for text, steps in zip(base, diffs, strict=True):
-        doc = None if text is None else json.loads(text)
+        try:
+            doc = None if text is None else json.loads(text)
+        except ValueError:
+            doc = None
         for step in steps if steps is not None else []:
-            names = step["path"].removeprefix("$").replace("[", ".[").split(".")[1:]
-            at = doc
-            for name in names[:-1]:
-                at = at[int(name[1:-1])] if name.startswith("[") else at[name]
-            last = names[-1]
-            place = int(last[1:-1]) if last.startswith("[") else last
-            if step["op"] == "remove":
-                del at[place]
-            elif step["op"] == "insert" and isinstance(at, list):
-                at.insert(place, json.loads(step["value"]))
-            else:
-                at[place] = json.loads(step["value"])
+            doc = _edited(doc, step["op"], key_path(step["path"]), None if step["value"] is None else json.loads(step["value"]))
         out.append(None if doc is None else json.dumps(doc, sort_keys=True, separators=(",", ":")))
     return pd.Series(out, dtype=object)
 

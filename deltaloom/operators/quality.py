@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import random
+import string
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,8 +80,8 @@ def obfuscate(df: DataFrame, salt: str, keep: list[str]) -> DataFrame:
     """Every leaf masked but those under the paths in ``keep`` (Q3).
 
     Text as in ``mask_text``; whole numbers keep sign and digits, fractions their sign and rough
-    size; booleans are drawn; times move by whole days; binaries become as many other bytes. Keys
-    of maps are data and are masked too, told apart by a digest.
+    size; booleans are drawn; dates and times become others of INSTANTS; binaries become as many other bytes. Keys
+    of maps are data and are masked too, told apart by a digest. Of variants only the values are masked, names stay.
     """
     return df.select(*[_masked(F.col(f"`{f.name}`"), f.dataType, f"/{f.name}", salt, keep).alias(f.name) for f in df.schema.fields])
 
@@ -98,9 +104,13 @@ def _masked(c: Column, kind: T.DataType, path: str, salt: str, keep: list[str])
     if isinstance(kind, T.BooleanType):
         return F.when(c.isNotNull(), _draw(salt, c, F.lit(path)) % 2 == 0)
     if isinstance(kind, T.DateType):
-        return F.date_sub(c, (_draw(salt, c) % 1000).cast("int"))
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return c - F.make_dt_interval((_draw(salt, c) % 1000).cast("int"))
+        return F.when(c.isNotNull(), F.date_from_unix_date((_draw(salt, c) % (INSTANTS // 86400)).cast("int")))
+    if isinstance(kind, T.TimestampType):
+        return F.when(c.isNotNull(), F.timestamp_seconds(_draw(salt, F.unix_micros(c)) % INSTANTS))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.when(c.isNotNull(), F.timestamp_add("SECOND", _draw(salt, c) % INSTANTS, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+    if isinstance(kind, T.VariantType):
+        return F.try_parse_json(_masked_json(F.to_json(c), F.lit(salt)))
     if isinstance(kind, T.IntegralType):
         size = F.length(F.abs(c.cast("decimal(20,0)")).cast("string"))
         low = F.when(size > 1, F.pow(F.lit(10), size - 1).cast("decimal(20,0)")).otherwise(F.lit(0).cast("decimal(20,0)"))
@@ -115,6 +125,30 @@ def _masked(c: Column, kind: T.DataType, path: str, salt: str, keep: list[str])
     return F.lit(None).cast(kind)
 
 
+@F.pandas_udf(T.StringType())
+def _masked_json(texts: pd.Series, salts: pd.Series) -> pd.Series:
+    """JSON text with every value masked by kind: characters by their class, digits by digits, booleans drawn."""
+
+    def mask(value, salt: str):
+        if isinstance(value, dict):
+            return {k: mask(v, salt) for k, v in value.items()}
+        if isinstance(value, list):
+            return [mask(v, salt) for v in value]
+        if value is None:
+            return None
+        drawn = random.Random(hashlib.sha256(f"{salt}\x00{value!r}".encode()).digest())
+        if isinstance(value, bool):
+            return drawn.random() < 0.5
+        if isinstance(value, str):
+            return "".join(drawn.choice("0123456789") if c.isdigit() else drawn.choice(string.ascii_lowercase) if c.islower() else drawn.choice(string.ascii_uppercase) if c.isupper() else chr(IDEOGRAPH + drawn.randrange(IDEOGRAPHS)) for c in value)
+        if isinstance(value, int):
+            low = 10 ** (len(str(abs(value))) - 1) if abs(value) > 9 else 0
+            return (-1 if value < 0 else 1) * drawn.randint(low, 10 * max(low, 1) - 1)
+        return round(value * (0.5 + drawn.random()), 6)
+
+    return pd.Series([None if t is None else json.dumps(mask(json.loads(t), salt), ensure_ascii=False) for t, salt in zip(texts, salts, strict=True)], dtype=object)
+
+
 _GREATEST = {"byte": 2**7 - 1, "short": 2**15 - 1, "integer": 2**31 - 1, "long": 2**63 - 1}
 
 

@@ -110,13 +110,16 @@ def _patched(target, patch):
 
 @F.pandas_udf(T.StringType())
 def json_merge_patch(target: pd.Series, patch: pd.Series) -> pd.Series:
-    """RFC 7396: null removes, objects recurse, anything else replaces. A null patch column changes nothing; keys come sorted."""
+    """RFC 7396: null removes, objects recurse, anything else replaces. A null patch column changes nothing; keys come sorted.
+
+    Where the patch or the target that it needs is no JSON, the result is null.
+    """
     out = []
     for a, b in zip(target, patch, strict=True):
-        if b is None:
-            out.append(a)
-        else:
-            out.append(json.dumps(_patched(None if a is None else json.loads(a), json.loads(b)), sort_keys=True, separators=(",", ":")))
+        try:
+            out.append(a if b is None else json.dumps(_patched(None if a is None else json.loads(a), json.loads(b)), sort_keys=True, separators=(",", ":")))
+        except ValueError:
+            out.append(None)
     return pd.Series(out, dtype=object)
 
 

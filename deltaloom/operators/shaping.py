@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom.functions.scalars import duration_text, to_text, utc_text
 
 def message_doc(df: DataFrame, payload: str = "value", key: str = "key") -> DataFrame:
     """Broker rows as documents: payload entries, key entries over them, ``_meta``.
@@ -53,7 +54,10 @@ def decode_json_wire(c: Column, key: bool = False) -> Column:
 
 
 def avro_values(df: DataFrame) -> DataFrame:
-    """Typed values as JSON-ready ones: decimals and NaN as text, bytes base64, times RFC 3339."""
+    """Typed values as JSON-ready ones: numbers with a fraction as text, bytes base64, times RFC 3339 in UTC, durations ISO 8601.
+
+    Nested fields, items and the values of maps too; names of maps must be text.
+    """
     return df.select(*[_json_ready(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
@@ -65,13 +69,17 @@ def _json_ready(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        return utc_text(c, kind)
+    if isinstance(kind, (T.DayTimeIntervalType, T.YearMonthIntervalType)):
+        return duration_text(c, kind)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(F.isnan(c), F.lit("NaN")).when(c == float("inf"), "Infinity").when(c == float("-inf"), "-Infinity").otherwise(c.cast("string"))
+        return to_text(c, kind)
     if isinstance(kind, T.StructType):
         return F.when(c.isNotNull(), F.struct(*[_json_ready(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
     if isinstance(kind, T.ArrayType):
         return F.transform(c, lambda x: _json_ready(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda k, v: _json_ready(v, kind.valueType))
     return c
 
 
@@ -180,8 +188,8 @@ def epoch_millis(c: Column) -> Column:
 
 
 def ymd_date(c: Column) -> Column:
-    """A year, month, day struct as a date."""
-    return F.make_date(c["year"], c["month"], c["day"])
+    """A year, month, day struct as a date (E14); null where there is no such day."""
+    return F.try_to_timestamp(F.concat(F.lpad(c["year"].cast("string"), 4, "0"), F.lit("-"), c["month"].cast("string"), F.lit("-"), c["day"].cast("string")), F.lit("yyyy-M-d")).cast("date")
 
 
 def unique_names(names: list[str]) -> dict[str, str]:
@@ -204,12 +212,12 @@ def unique_name_rows(df: DataFrame, name: str, group: list[str]) -> DataFrame:
 
 
 def coerce_text(c: Column, kind: str) -> Column:
-    """Text of a row as its type: empty is null, integers may be written as floats."""
+    """Text of a row as its type: empty is null, integers may be written as floats (E16); what the type can't hold is null."""
     c = F.nullif(c, F.lit(""))
     if kind == "boolean":
         return F.when(F.lower(c).isin("true", "1"), True).when(F.lower(c).isin("false", "0"), False)
     if kind == "integer":
-        return F.coalesce(c.try_cast("bigint"), c.try_cast("double").cast("bigint"))
+        return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
     return c.try_cast("double") if kind == "number" else c
 
 

@@ -96,9 +96,10 @@ def r8_delete_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduction.after_last_delete(log(spark, sf_dir), ["user_id"], ["event_id"], F.col("op") == "d").select("user_id", "event_id", "event_type")
 
 
-@query("r9_merge_patch", "SELECT event_id, json_merge_patch(props::JSON, json_object('t', event_type))::VARCHAR AS doc FROM events")
+@query("r9_merge_patch", "SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN json_merge_patch(props::JSON, json_object('t', event_type))::VARCHAR END AS doc FROM events")
 def r9_merge_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    patch = F.to_json(F.struct(F.col("event_type").alias("t")))
+    """Every eleventh patch is no JSON."""
+    patch = F.when(F.col("event_id") % 11 == 0, "{no JSON").otherwise(F.to_json(F.struct(F.col("event_type").alias("t"))))
     return table(spark, sf_dir, "events").select("event_id", reduction.json_merge_patch("props", patch).alias("doc"))
 
 
@@ -340,9 +341,9 @@ def e13_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("o_orderkey", *shaping.report_rows(df, "h", "v", ["status", "priority"]))
 
 
-@query("e16_coerce_text", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE floor(value)::BIGINT END AS n FROM events")
+@query("e16_coerce_text", "SELECT event_id, CASE WHEN event_id % 3 = 0 OR event_id % 7 = 0 THEN NULL ELSE floor(value)::BIGINT END AS n FROM events")
 def e16_coerce_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.when(F.col("event_id") % 3 == 0, "").otherwise(F.floor("value").cast("double").cast("string"))
+    text = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 14 == 0, "1e30").when(F.col("event_id") % 7 == 0, "many").otherwise(F.floor("value").cast("double").cast("string"))
     return table(spark, sf_dir, "events").select("event_id", shaping.coerce_text(text, "integer").alias("n"))
 
 
@@ -401,9 +402,10 @@ def f11_unflatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("vec_id", fn.unflatten_array(F.col("embedding"), [n // 4, 4])[1][0].cast("double").alias("second_row_first"))
 
 
-@query("f15_bits", "SELECT event_id, user_id FROM events")
+@query("f15_bits", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN '18446744073709551615' WHEN 1 THEN NULL ELSE user_id::VARCHAR END AS n FROM events")
 def f15_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", fn.bits_to_long(F.bin("user_id")).alias("user_id"))
+    bits = F.when(F.col("event_id") % 5 == 0, "1" * 64).when(F.col("event_id") % 5 == 1, "12").otherwise(F.bin("user_id"))
+    return table(spark, sf_dir, "events").select("event_id", fn.bits_to_number(bits).cast("string").alias("n"))
 
 
 @query("f19_encode_row", "SELECT n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}' AS doc FROM nation")
@@ -459,10 +461,14 @@ def s12_restated_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.plan_restated_tables(days, "d", "state", 3, False).select("d", "action")
 
 
-@query("s14_select_tables", "SELECT event_type FROM (SELECT DISTINCT event_type FROM events) WHERE event_type LIKE 'c%' OR event_type LIKE '_rror'")
+@query("s14_select_tables", """
+WITH n AS (SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN 'app' ELSE 'app.c' END AS schema, event_type || CASE WHEN event_id % 3 = 0 THEN '.old' ELSE '' END AS name FROM events)
+SELECT schema, name FROM n WHERE schema = 'app' AND name LIKE 'c%' OR name LIKE '_rror' OR name LIKE 'p%.old'""")
 def s14_select_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "events").select(F.lit("app").alias("schema"), F.col("event_type").alias("table")).distinct()
-    return scans.select_tables(names, ["app.c*", "app.?rror"]).select(F.col("table").alias("event_type"))
+    """A glob with a schema, one for every schema, and one with a dot in the name."""
+    schema = F.when(F.col("event_id") % 2 == 0, "app").otherwise("app.c")
+    names = table(spark, sf_dir, "events").select(schema.alias("schema"), F.concat("event_type", F.when(F.col("event_id") % 3 == 0, ".old").otherwise("")).alias("name")).distinct()
+    return scans.select_tables(names, ["app.c*", "?rror", r"p*\.old"], table="name")
 
 
 @query("s15_plan_windows", """

@@ -119,9 +119,11 @@ def e5_attribute_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.get_json_object("document", "$._meta.event_id").cast("long").alias("event_id"), "document")
 
 
-@query("e14_report_dates", "SELECT o_orderkey, o_orderdate::DATE AS day, o_orderkey * 1001 AS millis FROM orders")
+@query("e14_report_dates", "SELECT o_orderkey, CASE WHEN o_orderkey % 6 <> 0 THEN o_orderdate::DATE END AS day, o_orderkey * 1001 AS millis FROM orders")
 def e14_report_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.struct(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.dayofmonth("o_orderdate").alias("day"))
+    """Every sixth date is 30 February."""
+    real = F.col("o_orderkey") % 6 != 0
+    at = F.struct(F.year("o_orderdate").alias("year"), F.when(real, F.month("o_orderdate")).otherwise(2).alias("month"), F.when(real, F.dayofmonth("o_orderdate")).otherwise(30).alias("day"))
     return table(spark, sf_dir, "orders").select("o_orderkey", shaping.ymd_date(at).alias("day"), F.unix_millis(shaping.epoch_millis(F.col("o_orderkey") * 1001)).alias("millis"))
 
 
@@ -170,10 +172,13 @@ def h4_table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.migrate_columns(rows, schema.table_schema(fields)).select("user_id", F.col("ends")[0].alias("least"), F.col("n").cast("long").alias("n"))
 
 
-@query("h5_infer_schema", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
+@query("h5_infer_schema", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, user_id AS avoid, event_type AS void, NULL::VARCHAR AS nothing FROM events")
 def h5_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "props")
-    return rows.select("event_id", F.from_json("props", schema.infer_schema(spark, rows, "props")).alias("d")).select("event_id", F.col("d.k").cast("long").alias("k"))
+    """Field names that hold names of types, and one that is only null."""
+    names = F.struct(F.get_json_object("props", "$.k").cast("long").alias("k"), F.struct(F.col("user_id").alias("AVOID")).alias("OBJECT"), F.array(F.struct(F.col("event_type").alias("VOID"))).alias("ARRAY"), F.lit(None).cast("string").alias("NULL,VOID>"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(names, {"ignoreNullFields": "false"}).alias("doc"))
+    found = rows.select("event_id", F.from_json("doc", schema.infer_schema(spark, rows, "doc")).alias("d"))
+    return found.select("event_id", F.col("d.k").cast("long").alias("k"), F.col("d.OBJECT.AVOID").cast("long").alias("avoid"), F.col("d.ARRAY")[0]["VOID"].alias("void"), F.col("d")["NULL,VOID>"].alias("nothing"))
 
 
 @query("h6_collection_schema", "SELECT event_id, event_type, CASE WHEN event_id % 10 = 9 THEN 'd' ELSE 'u' END AS op, event_id * 7 AS ts_ms, CASE WHEN event_id % 10 = 9 THEN user_id END AS old_user FROM events")

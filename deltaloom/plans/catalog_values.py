@@ -17,11 +17,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-@query("c9_json_diff", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '{\"k\":' || event_id || '}' ELSE '{\"k\":' || json_extract_string(props, '$.k') || ',\"n\":' || user_id || '}' END AS doc FROM events")
+@query("c9_json_diff", "SELECT event_id, CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN '{\"a b\":' || event_id || ',\"k\":' || json_extract_string(props, '$.k') || '}' WHEN event_id % 9 = 2 THEN '[' || user_id || ']' WHEN event_id % 2 = 0 THEN '{\"k\":' || event_id || '}' ELSE '{\"k\":' || json_extract_string(props, '$.k') || ',\"n\":' || user_id || '}' END AS doc FROM events")
 def c9_json_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     edit = lambda op, path, value: F.array(F.struct(F.lit(op).alias("op"), F.lit(path).alias("path"), value.cast("string").alias("value")))
     diffs = F.when(F.col("event_id") % 2 == 0, edit("replace", "$.k", F.col("event_id"))).otherwise(edit("insert", "$.n", F.col("user_id")))
-    return events(spark, sf_dir).select("event_id", changes.apply_json_diff(F.col("props"), diffs).alias("doc"))
+    kind = F.col("event_id") % 9
+    diffs = F.when(kind == 1, edit("insert", '$."a b"', F.col("event_id"))).when(kind == 2, edit("replace", "$", F.format_string("[%d]", "user_id"))).otherwise(diffs)
+    return events(spark, sf_dir).select("event_id", changes.apply_json_diff(F.when(kind != 0, F.col("props")), diffs).alias("doc"))
 
 
 @query("e1_message_doc", """
@@ -33,10 +35,10 @@ def e1_message_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.message_doc(rows).select("_meta.offset", F.col("document")["id"].alias("id"), F.col("document")["k"].alias("k"), F.col("document")["_value"].alias("other"), "_meta.op")
 
 
-@query("e3_avro_values", "SELECT o_orderkey::VARCHAR AS k, o_totalprice::DECIMAL(12, 2)::VARCHAR AS price, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+@query("e3_avro_values", "SELECT o_orderkey::VARCHAR AS k, o_totalprice::DECIMAL(12, 2)::VARCHAR AS price, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_custkey = 0 THEN '0' ELSE o_custkey || repeat('0', 12) END AS m, 'P' || CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 7 || 'D' ELSE '' END || 'T3H' || CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 5 || '.5S' ELSE '0.5S' END AS took FROM orders")
 def e3_avro_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.col("o_orderdate").alias("at"), F.to_date("o_orderdate").alias("day"))
-    return shaping.avro_values(rows)
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.col("o_orderdate").alias("at"), F.to_date("o_orderdate").alias("day"), F.create_map(F.lit("c"), F.col("o_custkey") * 1e12).alias("m"), F.make_dt_interval(F.col("o_orderkey").cast("int") % 7, F.lit(3), F.lit(0), F.col("o_orderkey").cast("int") % 5 + F.lit(0.5).cast("decimal(18,6)")).alias("took"))
+    return shaping.avro_values(rows).withColumn("m", F.col("m")["c"])
 
 
 @query("e4_spread_body", """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"body":"[' || event_id || ']","_meta":{"event_id":' || event_id || '}}' ELSE '{"k":' || json_extract_string(props, '$.k') || ',"_meta":{"event_id":' || event_id || '}}' END AS document FROM events""")
@@ -107,9 +109,9 @@ def f2_text_to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("event_id", fn.text_to_float(_special(), None, 1e6, -1e6).alias("x"))
 
 
-@query("f4_to_text", r"SELECT event_id, regexp_replace(value::VARCHAR, '\.0$', '') AS t, user_id::VARCHAR AS u FROM events")
+@query("f4_to_text", r"SELECT event_id, regexp_replace(value::VARCHAR, '\.0$', '') AS t, user_id::VARCHAR AS u, CASE WHEN user_id = 0 THEN '0' ELSE user_id || repeat('0', 30) END AS large, '-0.' || repeat('0', 19) || '1' AS small FROM events")
 def f4_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select("event_id", fn.to_text(F.col("value"), T.DoubleType()).alias("t"), fn.to_text(F.col("user_id"), T.LongType()).alias("u"))
+    return events(spark, sf_dir).select("event_id", fn.to_text(F.col("value"), T.DoubleType()).alias("t"), fn.to_text(F.col("user_id"), T.LongType()).alias("u"), fn.to_text(F.concat(F.col("user_id").cast("string"), F.lit("e30")).cast("double"), T.DoubleType()).alias("large"), fn.to_text(F.lit(-1e-20), T.DoubleType()).alias("small"))
 
 
 @query("f5_to_json_text", "SELECT event_id, '\"' || event_type || '\"' AS t, CASE WHEN event_id % 2 = 0 THEN '[' || user_id || ']' END AS a FROM events")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,13 +116,24 @@ def table_schema(fields: list[Field]) -> T.StructType:
 
 
 def infer_schema(spark: SparkSession, texts: DataFrame, column: str) -> T.StructType:
-    """The read schema of JSON documents from the data (H5), by the distributed variant aggregate."""
+    """The read schema of JSON documents from the data (H5), by the distributed variant aggregate.
+
+    Objects are structs, what is only null is text; text that is no JSON is left out. A schema that is no object's
+    is one field ``value``.
+    """
     found = texts.select(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first().s
-    ddl = found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("DECIMAL(38,0)", "DECIMAL(38,0)")
-    kind = spark.createDataFrame([], f"v {ddl}").schema["v"].dataType
+    kind = spark.createDataFrame([], f"v {struct_ddl(found or 'VOID')}").schema["v"].dataType
     return kind if isinstance(kind, T.StructType) else T.StructType([T.StructField("value", kind)])
 
 
+def struct_ddl(variant: str) -> str:
+    """A variant's schema text as DDL. Types end at ``,``, ``>`` or the end and names at ``:``, and names in backticks stand as they are."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", variant)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"(?<![^ <])VOID(?=[,>]|$)", "STRING", re.sub(r"(?<![^ <])OBJECT<", "STRUCT<", parts[i]))
+    return "".join(parts)
+
+
 def collection_schema(table: T.StructType, keys: list[str]) -> T.StructType:
     """Change-document schema of a table (H6): ``_meta`` with op, source and before, required keys."""
     row = T.StructType([T.StructField(f.name, f.dataType, f.name not in keys) for f in table.fields])

@@ -153,23 +153,32 @@ def read_restated_table(df: DataFrame, day: str, defaults: dict[str, object], cu
     return rows.withColumn("_meta", F.struct(F.lit(day).alias("table_date"))).orderBy(*cursor)
 
 
-def glob_regex(glob: str) -> str:
-    """``*`` and ``?`` of a table glob, a backslash escapes."""
-    out, i = "", 0
-    while i < len(glob):
-        c = glob[i]
-        if c == "\\" and i + 1 < len(glob):
-            i += 1
-            out += re.escape(glob[i])
+def glob_regexes(glob: str) -> list[str]:
+    """Patterns of a table glob (S14): [table], or [schema, table] where a dot without a backslash parts them.
+
+    ``*`` is any run of characters and ``?`` any one, of one name; a backslash takes the next character as it is.
+    """
+    parts, at = [""], iter(glob)
+    for c in at:
+        if c == "\\":
+            if (literal := next(at, None)) is None:
+                raise ValueError(f"{glob!r} ends with a backslash")
+            parts[-1] += re.escape(literal)
+        elif c == ".":
+            parts.append("")
         else:
-            out += {"*": ".*", "?": "."}.get(c, re.escape(c))
-        i += 1
-    return f"^{out}$"
+            parts[-1] += {"*": ".*", "?": "."}.get(c, re.escape(c))
+    if len(parts) > 2 or not all(parts):
+        raise ValueError(f"{glob!r} must be a table or a schema and a table")
+    return [f"(?s)^{p}\\z" for p in parts]
 
 
 def select_tables(names: DataFrame, globs: list[str], schema: str = "schema", table: str = "table") -> DataFrame:
-    full = F.concat_ws(".", schema, table)
-    return names.where(reduce(lambda a, b: a | b, [full.rlike(glob_regex(g)) for g in globs], F.lit(False)))
+    """Tables that some glob takes; one without a schema takes its tables in every schema."""
+    def matches(patterns: list[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c).rlike(p) for c, p in zip([schema, table][-len(patterns) :], patterns, strict=True)])
+
+    return names.where(reduce(lambda a, b: a | b, [matches(glob_regexes(g)) for g in globs], F.lit(False)))
 
 
 def plan_windows(events: DataFrame, ts: str, max_rows: int, bucket: str = "hour") -> DataFrame:

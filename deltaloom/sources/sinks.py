@@ -190,12 +190,19 @@ def bulk_upsert(df: DataFrame, keys: list[str], store: Callable[[list[tuple[str,
 
 
 def merge_statement(table: str, staging: str, columns: list[str], keys: list[str], deleted: str | None = None) -> str:
-    """ANSI MERGE from a staging table."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    sets = ", ".join(f"{c} = s.{c}" for c in columns if c not in keys)
-    gone = f" WHEN MATCHED AND s.{deleted} THEN DELETE" if deleted else ""
-    new = f" AND NOT s.{deleted}" if deleted else ""
-    return f"MERGE INTO {table} t USING {staging} s ON {on}{gone} WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED{new} THEN INSERT ({', '.join(columns)}) VALUES ({', '.join('s.' + c for c in columns)})"
+    """SQL MERGE from a staging table (K12): names in double quotes, null keys match; with keys only, a match changes nothing.
+
+    ``table`` and ``staging`` may have a schema before a dot.
+    """
+    quote = lambda name: '"' + name.replace('"', '""') + '"'
+    whole = lambda name: ".".join(map(quote, name.split(".")))
+    on = " AND ".join(f"t.{quote(k)} IS NOT DISTINCT FROM s.{quote(k)}" for k in keys)
+    sets = ", ".join(f"{quote(c)} = s.{quote(c)}" for c in columns if c not in keys)
+    gone = f" WHEN MATCHED AND s.{quote(deleted)} THEN DELETE" if deleted else ""
+    changed = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
+    new = f" AND s.{quote(deleted)} IS NOT TRUE" if deleted else ""
+    names, values = ", ".join(map(quote, columns)), ", ".join(f"s.{quote(c)}" for c in columns)
+    return f"MERGE INTO {whole(table)} t USING {whole(staging)} s ON {on}{gone}{changed} WHEN NOT MATCHED{new} THEN INSERT ({names}) VALUES ({values})"
 
 
 def jdbc_upsert(df: DataFrame, url: str, table: str, keys: list[str], execute: Callable[[str], None], properties: dict[str, str] | None = None) -> None:

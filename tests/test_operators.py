@@ -305,7 +305,7 @@ def test_rolling_files_and_keys(spark, tmp_path):
     assert key == "p/2024/03/v0000000002/00000000000000000007"
     sinks.write_json(spark.createDataFrame([(1, None)], "a int, b int"), str(tmp_path / "j"), skip_nulls=True)
     assert spark.read.text(str(tmp_path / "j")).first()[0] == '{"a":1}'
-    assert "WHEN MATCHED AND s.gone THEN DELETE" in sinks.merge_statement("t", "s", ["k", "v"], ["k"], "gone")
+    assert 'WHEN MATCHED AND s."gone" THEN DELETE' in sinks.merge_statement("t", "s", ["k", "v"], ["k"], "gone")
 
 
 def test_masking_is_deterministic(spark):
@@ -322,3 +322,74 @@ def test_workload_and_sample(spark):
     assert sorted(w.collect()) == sorted(quality.change_workload(spark, [100, 100], 64, 0.2, 0.1, 3).collect())
     s = quality.sample_zipf(spark.range(1, 1001), 50, F.col("id"), 1.2, 1, "id")
     assert s.count() == 50 and s.select("id").distinct().count() == 50
+
+
+def test_globs_of_schemas_and_names(spark):
+    df = spark.createDataFrame([("s", "foo"), ("s", "app_y"), ("app_x", "foo"), ("ms", "foo.bar"), ("s", "foo\nx")], "schema string, table string")
+    pick = lambda g: sorted((r.schema, r.table) for r in scans.select_tables(df, [g]).collect())
+    assert pick("foo") == [("app_x", "foo"), ("s", "foo")] and pick("app_*") == [("s", "app_y")] and pick("app_x.*") == [("app_x", "foo")]
+    assert pick(r"foo\.bar") == pick(r"ms.foo\.bar") == [("ms", "foo.bar")] and pick("*.foo") == pick("foo") and pick("s.foo?x") == [("s", "foo\nx")]
+    for bad in ("a.b.c", ".a", "a.", "", "a\\"):
+        with pytest.raises(ValueError):
+            scans.glob_regexes(bad)
+
+
+def test_all_digits_of_floats(spark):
+    cases = {1e30: "1" + "0" * 30, 1e-20: "0." + "0" * 19 + "1", -1.25e-7: "-0.000000125", 123.456: "123.456", -0.0: "-0", 1e7: "10000000", 1.7976931348623157e308: "17976931348623157" + "0" * 292, 100.5: "100.5", float("inf"): "Infinity"}
+    df = spark.createDataFrame([(x,) for x in cases], "x double")
+    assert [r[0] for r in df.select(fn.to_text(F.col("x"), T.DoubleType())).collect()] == list(cases.values())
+
+
+def test_values_are_ready_for_json_in_any_zone(spark):
+    sql = "SELECT TIMESTAMP '2024-01-01 00:00:00Z' AS t, TIMESTAMP '2024-11-03 05:30:00.25Z' AS fold, TIMESTAMP_NTZ '2024-03-10 02:30:00' AS gap, map('a', array(1e10D)) AS m, INTERVAL '1 02:03:04.5' DAY TO SECOND AS d, INTERVAL '-0 00:00:01' DAY TO SECOND AS neg, INTERVAL '0' SECOND AS zero, INTERVAL '1-2' YEAR TO MONTH AS ym, CAST(NULL AS TIMESTAMP) AS none"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = shaping.avro_values(spark.sql(sql)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.t, r.fold, r.gap, r.none) == ("2024-01-01T00:00:00.000000Z", "2024-11-03T05:30:00.250000Z", "2024-03-10T02:30:00.000000Z", None)
+    assert r.m == {"a": ["10000000000"]} and (r.d, r.neg, r.zero, r.ym) == ("P1DT2H3M4.5S", "-PT1S", "PT0S", "P14M")
+
+
+def test_values_outside_their_type(spark):
+    r = one(spark, shaping.coerce_text(F.lit("1e30"), "integer").alias("n"), fn.bits_to_number(F.lit("1" * 64)).alias("bits"), fn.bits_to_number(F.lit("2")).alias("no"), fn.bits_to_number(F.lit("0" * 9 + "1" * 64)).alias("led"), shaping.ymd_date(F.struct(F.lit(2023).alias("year"), F.lit(2).alias("month"), F.lit(30).alias("day"))).alias("none"), shaping.ymd_date(F.struct(F.lit(2024).alias("year"), F.lit(2).alias("month"), F.lit(29).alias("day"))).cast("string").alias("leap"))
+    assert tuple(r) == (None, 2**64 - 1, None, 2**64 - 1, None, "2024-02-29")
+
+
+def test_edits_of_odd_documents(spark):
+    diffs = "array<struct<op:string,path:string,value:string>>"
+    rows = [
+        (None, [("replace", "$.a", "1")]), (None, [("replace", "$", '{"n":1}'), ("insert", "$.m", "2")]), ("no JSON", [("insert", "$.a", "1")]), ('{"a":1}', [("remove", "$", None)]), ('{"a b":{"c.d":1}}', [("replace", '$."a b"."c.d"', "2")]),
+        ('{"a":1}', [("replace", "$.b", "2"), ("remove", "$.x.y[3]", None), ("insert", "$.a.z", "1")]), ('{"a":[1]}', [("replace", "$.a[5]", "2"), ("insert", "$.a[5]", "3")]), ('{"a":1}', None),
+    ]
+    got = [r[0] for r in spark.createDataFrame(rows, f"d string, x {diffs}").select(changes.apply_json_diff("d", "x")).collect()]
+    assert got == [None, '{"m":2,"n":1}', None, None, '{"a b":{"c.d":2}}', '{"a":1}', '{"a":[1,3]}', '{"a":1}']
+    assert changes.key_path('$.a."b\\"c"[10].d') == ["a", 'b"c', 10, "d"]
+
+
+def test_patches_that_are_no_json(spark):
+    df = spark.createDataFrame([("{", '{"a":1}'), ('{"a":1}', "oops"), ("{", None), ("{", "5")], "t string, p string")
+    assert [r[0] for r in df.select(reduction.json_merge_patch("t", "p")).collect()] == [None, None, "{", None]
+
+
+def test_schema_texts_keep_names(spark):
+    texts = spark.createDataFrame([('{"AVOID":1,"VOID":null,"OBJECT":{"a`VOID>":[null]},"x,VOID>":{}}',), ("no JSON",)], "j string")
+    found = sc.infer_schema(spark, texts, "j")
+    assert {f.name: f.dataType.simpleString() for f in found.fields} == {"AVOID": "bigint", "VOID": "string", "OBJECT": "struct<a`VOID>:array<string>>", "x,VOID>": "struct<>"}
+    assert sc.infer_schema(spark, texts.where("j = 'no JSON'"), "j").names == ["value"]
+
+
+def test_masks_of_times_and_variants(spark):
+    df = spark.sql("""SELECT TIMESTAMP '2024-05-06 07:08:09Z' AS t, TIMESTAMP_NTZ '2024-05-06 07:08:09' AS n, DATE '2024-05-06' AS d, CAST(NULL AS DATE) AS none, parse_json('{"name":"Bob7","n":[-1234,2.5,true,null]}') AS v""")
+    times = lambda row: (row.t, row.n, row.d)
+    rows = [quality.obfuscate(df, salt, []).selectExpr("t", "n", "d", "none", "to_json(v) AS v").first() for salt in ("a", "b", "a")]
+    assert rows[0] == rows[2] and all(x != y for x, y in zip(times(rows[0]), times(rows[1]))) and rows[0].none is None
+    assert any((r.t.minute, r.t.second) != (8, 9) for r in rows[:2]) and any(abs((r.t - datetime(2024, 5, 6)).days) > 999 for r in rows[:2])
+    v = json.loads(rows[0].v)
+    assert set(v) == {"name", "n"} and v["name"] != "Bob7" and v["name"][0].isupper() and v["name"][3].isdigit() and -9999 <= v["n"][0] <= -1000 and v["n"][3] is None
+
+
+def test_merge_text_quotes_names():
+    text = sinks.merge_statement("s.t", "stage", ['a"b', "v"], ['a"b'], "gone")
+    assert 'MERGE INTO "s"."t" t USING "stage" s ON t."a""b" IS NOT DISTINCT FROM s."a""b"' in text and 's."gone" IS NOT TRUE' in text
+    assert "UPDATE" not in sinks.merge_statement("t", "s", ["k"], ["k"])
