@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom.session import work_folder
 
-#: Scan positions that are broadcast.
+#: Scan positions that are broadcast, a few bytes each.
 MARKS = 10_000
 
 
@@ -26,29 +27,68 @@ def precise_backfill(chunks: DataFrame, events: DataFrame, key: str, position: s
     """Events that a running backfill lets pass.
 
     ``chunks``: (position, upper), the key up to which the scan stood from that position on, null
-    upper when the scan is done. An event passes if its key was scanned already; per ``partition``
-    (table) the scan state is its own. Each chunk holds from its position to the next one's: up
-    to MARKS such intervals are broadcast, counted first, and the events stay where they are;
-    beyond, the as-of join is a union and the last chunk before each event.
+    upper when the scan is done. An event passes if its key was scanned already, as the last chunk at or before its
+    position says; per ``partition`` (table) the scan state is its own, and a null partition has none. Of chunks at one position the one that got furthest holds.
+    Up to MARKS chunks, counted first, are one broadcast array for each partition that every event searches by
+    halves; beyond, chunks and events are dealt by ranges of position (``last_before``).
     """
-    side = [F.col(partition)] if partition else []
-    over = Window.partitionBy(*(side or [F.lit(0)])).orderBy(position)
-    spans = chunks.select(*side, F.col(position).alias("_from"), F.lead(position).over(over).alias("_to"), F.col("upper").alias("_upper"))
-    if spans.limit(MARKS + 1).count() <= MARKS:
-        spans = spans.withColumnRenamed(partition, "_side") if partition else spans
-        inside = (F.col(position) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(position) < F.col("_to"))) & (F.col("_upper").isNull() | (F.col(key) <= F.col("_upper")))
-        return events.join(F.broadcast(spans), inside & (F.col(partition) == F.col("_side")) if partition else inside, "left_semi")
-    side = [F.col(partition)] if partition else []
-    marks = chunks.select(*side, F.col(position).alias("_pos"), F.lit(0).alias("_kind"), F.struct(F.col("upper")).alias("_chunk"), F.lit(None).cast(_struct(events)).alias("_event"))
-    rows = events.select(*side, F.col(position).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast("struct<upper:" + chunks.schema["upper"].dataType.simpleString() + ">").alias("_chunk"), F.struct(*events.columns).alias("_event"))
-    over = Window.partitionBy(*(side or [F.lit(0)])).orderBy("_pos", "_kind")
-    seen = marks.unionByName(rows).withColumn("_now", F.last("_chunk", ignorenulls=True).over(over)).where("_kind = 1")
-    passed = seen.where(F.col("_now").isNotNull() & (F.col("_now.upper").isNull() | (F.col(f"_event.{key}") <= F.col("_now.upper"))))
-    return passed.select("_event.*")
-
-
-def _struct(df: DataFrame) -> str:
-    return df.schema.simpleString()
+    side = [partition] if partition else []
+    marks = chunks.groupBy(*side, position).agg(F.bool_or(F.col("upper").isNull()).alias("_done"), F.max("upper").alias("_upper"))
+    marks = marks.select(*side, F.col(position).alias("_from"), F.when(~F.col("_done"), F.col("_upper")).alias("_upper"))
+    if marks.limit(MARKS + 1).count() <= MARKS:
+        lists = marks.groupBy(*side).agg(F.array_sort(F.collect_list(F.struct("_from", "_upper"))).alias("_marks")).withColumnsRenamed({p: "_side" for p in side})
+        found = events.join(F.broadcast(lists), F.col(partition) == F.col("_side")) if partition else events.withColumn("_marks", lists.scalar())
+        found = found.withColumn("_mark", F.get("_marks", searched("_marks", F.col(position), MARKS)))
+    else:
+        named = events.dropna(subset=side) if side else events
+        found = last_before(named, marks.withColumnRenamed("_from", position), side, position, ["_upper"], "_mark")
+    passed = F.col("_mark").isNotNull() & (F.col("_mark._upper").isNull() | (F.col(key) <= F.col("_mark._upper")))
+    return found.where(passed).select(*events.columns)
+
+
+def searched(marks: str, value: Column, most: int) -> Column:
+    """Index of the last entry of a sorted array of structs whose ``_from`` is at or before a value, -1 without one: a binary search."""
+    state = F.struct(F.lit(-1).alias("low"), F.size(marks).alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        low = F.get(marks, middle)["_from"] <= value
+        open_ = s["high"] - s["low"] > 1
+        return F.struct(F.when(open_ & low, middle).otherwise(s["low"]).alias("low"), F.when(open_ & ~low, middle).otherwise(s["high"]).alias("high"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most.bit_length() + 1)), state, halve)["low"]
+
+
+def last_before(rows: DataFrame, marks: DataFrame, side: list[str], position: str, values: list[str], name: str) -> DataFrame:
+    """Rows with the struct ``name`` of the values of the last mark at or before their position in their side, null without one.
+
+    Rows and marks are dealt together by ranges of side and position, so a hot side is many tasks. Inside a range the last mark
+    is a running value; the one before a range comes from the last marks of the ranges before it,
+    a row for each range and side.
+    """
+    mark = F.struct(*[F.col(v) for v in values])
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    kinds = {"_mark": marks.select(mark.alias("m")).schema["m"].dataType, "_row": rows.select(row.alias("r")).schema["r"].dataType}
+    keys = [F.col(s).alias(f"_s{i}") for i, s in enumerate(side)]
+    both = marks.select(*keys, F.col(position).alias("_at"), F.lit(0).alias("_kind"), mark.alias("_mark"), F.lit(None).cast(kinds["_row"]).alias("_row"))
+    both = both.unionByName(rows.select(*keys, F.col(position).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kinds["_mark"]).alias("_mark"), row.alias("_row")))
+    names = [f"_s{i}" for i in range(len(side))]
+    dealt = settled(both.repartitionByRange(*names, "_at", "_kind").withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range", *names).orderBy("_at", "_kind")
+    here = dealt.withColumn("_here", F.last("_mark", ignorenulls=True).over(inside)).where("_kind = 1")
+    ranges = dealt.groupBy("_range", *names).agg(F.max_by("_mark", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_end"))
+    before = Window.partitionBy(*(names or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.select(F.col("_range").alias("_r"), *[F.col(n).alias(f"{n}_") for n in names], F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    joined = here.join(carried, [F.col("_range") == F.col("_r"), *[F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names]], "left")
+    return joined.select("_row.*", F.coalesce("_here", "_carried").alias(name))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The frame as a checkpoint: its rows and partitions stay as they are, and Spark's cleaner drops the files once nothing reads them."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
 
 
 def unfiltered_backfill(chunks: DataFrame, events: DataFrame) -> DataFrame:
@@ -170,12 +210,15 @@ def committed_only(events: DataFrame, txid: str, is_commit: Column) -> DataFrame
     return events.where(~is_commit).join(commits, txid, "left_semi")
 
 
-def snapshot_diff(current: DataFrame, previous_count: int, order: list[str]) -> DataFrame:
+def snapshot_diff(current: DataFrame, previous_count: int, order: list[str], previous_digest: str | None = None) -> DataFrame:
     """Rows numbered from 0: ``c`` for new numbers, ``u`` for known ones, ``d`` for the missing tail.
 
     Numbers are given in ranges: counts of range partitions are summed, so no task
-    orders the whole snapshot.
+    orders the whole snapshot. With the ``digest`` that ``snapshot_digest`` gave for the snapshot before, an unchanged
+    one gives no rows, and nothing is numbered.
     """
+    if previous_digest is not None and snapshot_digest(current) == previous_digest:
+        return current.limit(0).select("*", F.lit(0).cast("long").alias("row_id"), F.lit("").alias("op"))
     numbered = row_numbers(current, order)
     rows = numbered.withColumn("op", F.when(F.col("row_id") < previous_count, "u").otherwise("c"))
     n = numbered.count()
@@ -185,8 +228,7 @@ def snapshot_diff(current: DataFrame, previous_count: int, order: list[str]) ->
 
 def row_numbers(df: DataFrame, order: list[str]) -> DataFrame:
     """``row_id`` from 0 in order, by range partitions and their counts."""
-    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    parts = parts.persist()
+    parts = settled(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     counts = parts.groupBy("_part").count()
     start = counts.withColumn("_start", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
     place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
@@ -194,8 +236,21 @@ def row_numbers(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def content_digest(df: DataFrame) -> DataFrame:
-    """(n, digest) of a frame; equal digests mean nothing to emit. Rows must carry their row number."""
-    return df.agg(F.count(F.lit(1)).alias("n"), F.expr(f"bit_xor(xxhash64(to_json(struct({', '.join(f'`{c}`' for c in sorted(df.columns))}))))").alias("digest"))
+    """(n, digest) of a frame as a multiset of rows, in whatever order they come; equal ones mean nothing to emit.
+
+    The digest sums four 32-bit words of every row's SHA-256 in decimals, so rows that repeat don't cancel as they would under an
+    exclusive or. With a column of row numbers the order of rows counts too.
+    """
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"}), 256)
+    words = df.select(row.alias("h")).select(*[F.conv(F.substring("h", 1 + 8 * i, 8), 16, 10).cast("decimal(10,0)").alias(f"w{i}") for i in range(4)])
+    sums = words.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(f"w{i}").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).alias(f"w{i}") for i in range(4)])
+    return sums.select("n", F.concat_ws("-", *[F.col(f"w{i}").cast("string") for i in range(4)]).alias("digest"))
+
+
+def snapshot_digest(df: DataFrame) -> str:
+    """Number and digest of a snapshot as one text, to be kept with it."""
+    row = content_digest(df).first()
+    return f"{row.n}:{row.digest}"
 
 
 def incremental_capture(df: DataFrame, cursor: str, last, horizon) -> DataFrame:

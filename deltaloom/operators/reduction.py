@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,13 +41,20 @@ def append(value: str, order: Column) -> Column:
     return F.flatten(F.filter(F.transform(pairs, lambda p: p["v"]), lambda v: v.isNotNull()))
 
 
-def set_union(value: str, order: Column) -> Column:
-    """Distinct elements of all arrays, sorted; only adding is defined."""
-    return F.sort_array(F.array_distinct(F.flatten(F.collect_list(value))))
+def set_union(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value): distinct elements of all arrays of a key, sorted; only adding is defined.
+
+    Elements are made distinct before they are gathered, in each task and by element, so a
+    hot key's rows stay spread and what meets is the result itself. Keys without elements have an empty array.
+    """
+    elements = df.select(*keys, F.explode_outer(value).alias("_e"), (F.coalesce(F.size(value), F.lit(0)) > 0).alias("_any")).distinct()
+    # A null element is one; a struct around it keeps it.
+    found = F.sort_array(F.collect_set(F.when(F.col("_any"), F.struct("_e"))))
+    return elements.groupBy(*keys).agg(F.transform(found, lambda x: x["_e"]).alias(value))
 
 
 STRATEGIES: dict[str, Callable[[str, Column], Column]] = {
-    "lastWriteWins": last_write_wins, "firstWriteWins": first_write_wins, "maximize": maximize, "minimize": minimize, "sum": total, "append": append, "set": set_union,
+    "lastWriteWins": last_write_wins, "firstWriteWins": first_write_wins, "maximize": maximize, "minimize": minimize, "sum": total, "append": append,
 }
 
 
@@ -78,22 +87,29 @@ def reduce_collection(df: DataFrame, keys: list[str], order: list[str], strategi
 
     ``order`` must end in a unique column. With ``delete_when``, events up to a key's last
     delete are cut first, and a key whose last event is a delete is gone. Null keys are a
-    key. Reduction is partial before the shuffle except for append, set and merge of arrays.
+    key. Reduction is partial before the shuffle except for append, whose arrays are the result.
+    Sets and merges of JSON patches are reduced in steps of their own (``set_union``,
+    ``merge_patches``) and joined by key.
     """
     if delete_when is not None:
         df = after_last_delete(df, keys, order, delete_when)
     position = F.struct(*order)
-    out = []
+    plain, stepwise = [], []
     for name, strategy in strategies.items():
-        if strategy == "merge":
-            kind = df.schema[name].dataType
-            if isinstance(kind, T.StructType):
-                out.append(F.struct(*merge_leaves(kind, position, f"`{name}`")).alias(name))
-            else:
-                out.append(merge_patches(F.array_sort(F.collect_list(F.struct(position.alias("o"), F.col(name).alias("v"))))).alias(name))
+        if strategy == "set":
+            stepwise.append(set_union(df, keys, name))
+        elif strategy == "merge" and not isinstance(df.schema[name].dataType, T.StructType):
+            stepwise.append(merge_patches(df, keys, order, name))
+        elif strategy == "merge":
+            plain.append(F.struct(*merge_leaves(df.schema[name].dataType, position, f"`{name}`")).alias(name))
         else:
-            out.append(STRATEGIES[strategy](name, position).alias(name))
-    return df.groupBy(*keys).agg(*out)
+            plain.append(STRATEGIES[strategy](name, position).alias(name))
+    parts = ([df.groupBy(*keys).agg(*plain)] if plain or not stepwise else []) + stepwise
+    for i, part in enumerate(parts[1:]):
+        renamed = part.withColumnsRenamed({k: f"_k{i}_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_k{i}_{k}`")) for k in keys])
+        parts[0] = parts[0].join(renamed, same).drop(*[f"_k{i}_{k}" for k in keys])
+    return parts[0].select(*keys, *strategies)
 
 
 def _patched(target, patch):
@@ -123,18 +139,103 @@ def json_merge_patch(target: pd.Series, patch: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf(T.StringType())
-def merge_patches(patches: pd.Series) -> pd.Series:
-    """Fold of JSON merge patches in order; null patches are skipped."""
-    out = []
-    for rows in patches:
-        value, any_patch = None, False
-        for row in rows:
-            text = row["v"]
-            if text is not None:
-                value, any_patch = _patched(value, json.loads(text)), True
-        out.append(json.dumps(value, sort_keys=True, separators=(",", ":")) if any_patch else None)
-    return pd.Series(out, dtype=object)
+#: A patch as a tree that composes: [SET, value] replaces, [MERGE, {name: tree}] goes into an object.
+SET, MERGE = 0, 1
+
+
+def patch_tree(patch):
+    """An RFC 7396 patch as a tree; its nulls set null until the tree is applied."""
+    return [MERGE, {k: patch_tree(v) for k, v in patch.items()}] if isinstance(patch, dict) else [SET, patch]
+
+
+def composed(first, then):
+    """The tree that does what ``first`` and then ``then`` do, to any document; composing is associative."""
+    if then[0] == SET:
+        return then
+    if first[0] == SET:
+        return [SET, applied(then, first[1])]
+    out = dict(first[1])
+    for name, tree in then[1].items():
+        out[name] = composed(out[name], tree) if name in out else tree
+    return [MERGE, out]
+
+
+def applied(tree, document):
+    """A document after a tree; names that it sets to null go."""
+    if tree[0] == SET:
+        return tree[1]
+    out = dict(document) if isinstance(document, dict) else {}
+    for name, part in tree[1].items():
+        value = applied(part, out.get(name))
+        if value is None:
+            out.pop(name, None)
+        else:
+            out[name] = value
+    return out
+
+
+def _folded(pieces: DataFrame, keys: list[str], last: bool):
+    """A function over batches of (keys, tree) in order that gives one composed tree for each run of a key."""
+    kinds = ", ".join(f"`{k}` {pieces.schema[k].dataType.simpleString()}" for k in keys)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none, held, done = object(), None, []
+        now = none
+
+        def flush(schema: pa.Schema) -> pa.RecordBatch:
+            columns = [pa.array([row[0][i] for row in done], schema.field(k).type) for i, k in enumerate(keys)]
+            texts = [row[1] if not last else None if row[1] is None else json.dumps(applied(row[1], None), sort_keys=True, separators=(",", ":")) for row in done]
+            texts = texts if last else [None if t is None else json.dumps(t, separators=(",", ":")) for t in texts]
+            done.clear()
+            return pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*keys, "_tree"])
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for *key, text in zip(*[batch.column(k).to_pylist() for k in keys], batch.column("_tree").to_pylist()):
+                tree = _read_tree(text, raw=not last)
+                if now is none or key != now:
+                    if now is not none:
+                        done.append((now, held))
+                    now, held = key, tree
+                elif tree is not None:
+                    held = tree if held is None else composed(held, tree)
+                if len(done) >= 1_000:
+                    yield flush(schema)
+        if now is not none:
+            done.append((now, held))
+            yield flush(schema)
+
+    return fold, f"{kinds}, `_tree` string"
+
+
+def _read_tree(text: str | None, raw: bool):
+    if text is None:
+        return None
+    if not raw:
+        return json.loads(text)
+    try:
+        return patch_tree(json.loads(text))
+    except ValueError:
+        return None
+
+
+def merge_patches(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """(keys, value): fold of a key's JSON merge patches in order (RFC 7396).
+
+    Null patches and texts that are no JSON change nothing; a key with no others is null. Rows are dealt by
+    ranges of key and order, and each range composes its patches to one tree a key; the few trees of a
+    key that several ranges have are composed in range order. So no task holds more of a hot key than its range and
+    one tree, whose nulls wait until the end.
+    """
+    rows = df.select(*keys, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(value).alias("_tree"))
+    by = [*keys, *[f"_o{i}" for i in range(len(order))]]
+    fold, kinds = _folded(rows, keys, last=False)
+    pieces = rows.repartitionByRange(*by).sortWithinPartitions(*by).select(*keys, "_tree").mapInArrow(fold, kinds)
+    # The trees of one range get its number with them.
+    pieces = pieces.withColumn("_range", F.spark_partition_id())
+    fold, kinds = _folded(pieces, keys, last=True)
+    return pieces.repartition(*keys).sortWithinPartitions(*keys, "_range").select(*keys, "_tree").mapInArrow(fold, kinds).withColumnRenamed("_tree", value)
 
 
 def patch_map(target: Column, patch: Column) -> Column:

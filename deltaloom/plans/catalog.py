@@ -78,7 +78,7 @@ def r5_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("r6_set", "SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS states FROM orders GROUP BY o_custkey")
 def r6_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "orders").withColumn("s", F.array("o_orderstatus"))
-    return df.groupBy("o_custkey").agg(F.array_join(reduction.set_union("s", F.lit(0)), ",").alias("states"))
+    return reduction.set_union(df, ["o_custkey"], "s").select("o_custkey", F.array_join("s", ",").alias("states"))
 
 
 @query("r7_deep_merge", "SELECT user_id, arg_max(event_type, event_id) AS kind, arg_max(value, event_id) FILTER (WHERE event_id % 3 = 0) AS third FROM events GROUP BY user_id")

@@ -1,4 +1,5 @@
 import json
+import random
 import struct
 from datetime import datetime
 
@@ -61,6 +62,76 @@ def test_content_digest_sees_order(spark):
     assert changes.content_digest(a).first() != changes.content_digest(b).first()
 
 
+def test_digest_of_repeated_rows_and_unchanged_snapshots(spark):
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v string")
+    digest = changes.snapshot_digest
+    assert digest(rows("a", "a", "b")) == digest(rows("b", "a", "a").repartition(3)) != digest(rows("b")) and digest(rows("a", "a")) != digest(rows("b", "b")) and digest(rows(None)) != digest(rows("null"))
+    now = rows("a", "b", "c")
+    assert changes.snapshot_diff(now, 3, ["v"], digest(rows("c", "b", "a"))).count() == 0
+    assert sorted((r.row_id, r.op) for r in changes.snapshot_diff(now, 4, ["v"], digest(rows("a"))).collect()) == [(0, "u"), (1, "u"), (2, "u"), (3, "d")]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sets_and_patches_of_hot_keys(spark):
+    """A million rows of one key, without gathering them."""
+    many = spark.range(1_000_000).selectExpr("0 AS k", "id AS pos", "array(id % 7, null) AS s")
+    out = reduction.reduce_collection(many, ["k"], ["pos"], {"s": "set", "pos": "maximize"})
+    assert "collect_list" not in plan_of(out) and [tuple(r) for r in out.collect()] == [(0, [None, 0, 1, 2, 3, 4, 5, 6], 999_999)]
+    odd = spark.createDataFrame([(1, None), (1, []), (2, None), (None, [3, 3])], "k int, s array<int>")
+    assert {(r.k, tuple(r.s)) for r in reduction.set_union(odd, ["k"], "s").collect()} == {(1, ()), (2, ()), (None, (3,))}
+
+
+def test_composed_patches_equal_a_fold(spark):
+    rng = random.Random(5)
+
+    def patch(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice([None, 1, "x", [1], {}])
+        return {rng.choice("abc"): patch(depth - 1) for _ in range(rng.randint(0, 3))}
+
+    rows, want = [], {}
+    for k in [None, *range(6)]:
+        value, seen = None, False
+        for pos in range(rng.choice([1, 5, 300])):
+            p = rng.choice([patch(3), patch(3), "bad", None])
+            text = None if p is None else "{bad" if p == "bad" else json.dumps(p)
+            rows.append((k, pos, text))
+            if text is not None and text != "{bad":
+                value, seen = reduction._patched(value, p), True
+        want[k] = json.dumps(value, sort_keys=True, separators=(",", ":")) if seen else None
+    df = spark.createDataFrame(rows, "k int, pos int, doc string").repartition(5)
+    out = reduction.reduce_collection(df, ["k"], ["pos"], {"doc": "merge", "pos": "maximize"})
+    assert "collect_list" not in plan_of(out) and {r.k: r.doc for r in out.collect()} == want
+    trees = [reduction.patch_tree(patch(3)) for _ in range(60)]
+    for a, b, c in zip(trees, trees[1:], trees[2:]):
+        assert reduction.composed(reduction.composed(a, b), c) == reduction.composed(a, reduction.composed(b, c))
+        for doc in (None, 5, {"a": {"b": 1, "c": 2}, "b": {"a": 3}}):
+            assert reduction.applied(reduction.composed(a, b), doc) == reduction.applied(b, reduction.applied(a, doc))
+
+
+def test_as_of_join_on_random_logs(spark, monkeypatch):
+    rng = random.Random(8)
+    marks = [(rng.randrange(300), rng.choice([0, 1, None]), rng.choice([None, *range(50)])) for _ in range(60)]
+    rows = [(rng.randrange(-5, 310), rng.choice([0, 1, 2, None]), rng.randrange(50)) for _ in range(900)]
+    chunks, log = spark.createDataFrame(marks, "pos long, t long, upper long"), spark.createDataFrame(rows, "pos long, t long, k long").withColumn("id", F.monotonically_increasing_id())
+    far = lambda u: float("inf") if u is None else u
+    for partition in (None, "t"):
+        def passes(pos, t, k):
+            seen = [(m[0], far(m[2])) for m in marks if m[0] <= pos and (partition is None or (m[1] == t and t is not None))]
+            return bool(seen) and k <= max(seen)[1]
+
+        want = sorted((r for r in rows if passes(*r)), key=str)
+        for most in (10_000, 0):
+            monkeypatch.setattr(changes, "MARKS", most)
+            out = changes.precise_backfill(chunks, log, "k", "pos", partition)
+            if most:
+                assert "NestedLoop" not in plan_of(out) and "Cartesian" not in plan_of(out)
+            assert sorted(((r.pos, r.t, r.k) for r in out.collect()), key=str) == want, (partition, most)
+
+
 def test_merge_variants(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
     batch = spark.createDataFrame([(1, "A", False), (2, None, True), (4, "d", False), (5, "e", True)], "k int, v string, gone boolean")
