@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.session import work_folder
+from deltaloom.session import settled
 
 #: Scan positions that are broadcast, a few bytes each.
 MARKS = 10_000
@@ -83,14 +83,6 @@ def last_before(rows: DataFrame, marks: DataFrame, side: list[str], position: st
     return joined.select("_row.*", F.coalesce("_here", "_carried").alias(name))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The frame as a checkpoint: its rows and partitions stay as they are, and Spark's cleaner drops the files once nothing reads them."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
-
-
 def unfiltered_backfill(chunks: DataFrame, events: DataFrame) -> DataFrame:
     """Scan rows and all changes; reducing by key makes them converge."""
     return chunks.unionByName(events, allowMissingColumns=True)

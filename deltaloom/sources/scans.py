@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from deltaloom.session import settled
+
 FORMATS = ("parquet", "orc", "csv", "tsv", "json", "jsonl", "ndjson", "avro", "txt")
 
 
@@ -184,21 +188,44 @@ def select_tables(names: DataFrame, globs: list[str], schema: str = "schema", ta
 def plan_windows(events: DataFrame, ts: str, max_rows: int, bucket: str = "hour") -> DataFrame:
     """Windows of at most ``max_rows`` rows: each takes buckets in order as long as they fit.
 
-    A bucket with more rows than the limit is a window of its own. What meets in one task is a
-    row for each bucket of time, whatever the number of events.
+    A bucket with more rows than the limit is a window of its own. Buckets are dealt by ranges of time, and
+    each range cuts its windows given the rows held before it. All ranges start with none held; a range whose predecessor ends
+    with another number cuts again, until none does. Cuts fall together after a few
+    windows as a rule, so few ranges are cut twice. A row for each range comes to the driver.
     """
     counts = events.groupBy(F.date_trunc(bucket, ts).alias("start")).agg(F.count(F.lit(1)).alias("n"))
-
-    def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, held, number, numbers = rows.sort_values("start", na_position="first"), 0, 0, []
-        for n in rows["n"]:
-            if held and held + n > max_rows:
-                held, number = 0, number + 1
-            held += n
-            numbers.append(number)
-        return rows[["start", "n"]].assign(window_no=numbers)
-
-    numbered = counts.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(cut, f"start {counts.schema['start'].dataType.simpleString()}, n long, window_no long")
+    parts = settled(counts.repartitionByRange("start").sortWithinPartitions("start"))
+    kind = counts.schema["start"].dataType.simpleString()
+
+    def cuts(held: dict[int, int]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+            now, number = held.get(part, 0), 0
+            for batch in batches:
+                numbers = []
+                for n in batch.column("n").to_pylist():
+                    if now and now + n > max_rows:
+                        now, number = 0, number + 1
+                    now += n
+                    numbers.append(number)
+                yield pa.RecordBatch.from_arrays([batch.column("start"), batch.column("n"), pa.array([part] * len(numbers), pa.int32()), pa.array(numbers, pa.int64()), pa.array([now] * len(numbers), pa.int64())], ["start", "n", "part", "number", "held"])
+
+        return parts.mapInArrow(run, f"start {kind}, n long, part int, number long, held long")
+
+    held: dict[int, int] = {}
+    while True:
+        ends = cuts(held).groupBy("part").agg(F.max("number").alias("windows"), F.max_by("held", F.struct(F.col("start").isNotNull(), "start")).alias("held")).orderBy("part").collect()
+        found = {after.part: before.held for before, after in zip(ends, ends[1:], strict=False)}
+        if found == held:
+            break
+        held = found
+    # A range goes on in the last window of the one before it.
+    first, total = {}, 0
+    for row in ends:
+        first[row.part] = total
+        total += row.windows
+    numbers = events.sparkSession.createDataFrame(list(first.items()) or [(0, 0)], "part int, first long")
+    numbered = cuts(held).join(F.broadcast(numbers), "part").select((F.col("first") + F.col("number")).alias("window_no"), "start", "n")
     return numbered.groupBy("window_no").agg(F.min("start").alias("start"), F.max("start").alias("last"), F.sum("n").alias("n"))
 
 

@@ -297,6 +297,17 @@ def test_windows_stay_below_the_limit(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, h),) for h, n in enumerate(hours) for _ in range(n)], "ts timestamp")
     assert [r.n for r in scans.plan_windows(df, "ts", 100).orderBy("window_no").collect()] == [60, 60, 100, 250, 100, 1]
     assert scans.plan_windows(df.limit(0), "ts", 100).count() == 0
+    rng = random.Random(1)
+    sizes = [(datetime(2024, 1, 1 + i // 24, i % 24), rng.choice([1, 3, 9, 20])) for i in range(600)]
+    many = spark.createDataFrame(sizes, "ts timestamp, n int").selectExpr("explode(array_repeat(ts, n)) AS ts")
+    want, held = [], 0
+    for _, n in sizes:
+        if held and held + n > 21:
+            held = 0
+        want[-1:] = [held + n] if held else [*want[-1:], n]
+        held += n
+    assert [r.n for r in scans.plan_windows(many, "ts", 21).orderBy("window_no").collect()] == want
+    assert [r.window_no for r in scans.plan_windows(many, "ts", 21).orderBy("start").collect()] == list(range(len(want)))
 
 
 def test_final_day_of_the_window(spark):
