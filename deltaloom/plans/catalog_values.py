@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom.functions import avro
 from deltaloom.functions import scalars as fn
 from deltaloom.operators import changes, merging, quality, reduction, shaping
 from deltaloom.plans import schema
@@ -35,6 +36,23 @@ def e1_message_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.message_doc(rows).select("_meta.offset", F.col("document")["id"].alias("id"), F.col("document")["k"].alias("k"), F.col("document")["_value"].alias("other"), "_meta.op")
 
 
+#: A registry's schema of an event: unions, a map and logical types.
+EVENT_AVRO = """{"type":"record","name":"event","fields":[{"name":"id","type":"long"},{"name":"kind","type":["null","string"]},{"name":"at","type":{"type":"long","logicalType":"timestamp-micros"}},{"name":"tags","type":{"type":"map","values":"long"}},{"name":"value","type":"double"}]}"""
+
+
+@query("e2_registry_messages", """
+SELECT event_id AS id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS kind, CASE WHEN event_id % 3 = 0 THEN NULL ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') END AS at, user_id AS tag, value FROM events""")
+def e2_registry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of three messages are Avro, the third is JSON under a schema id of its own."""
+    rows = events(spark, sf_dir)
+    kind = F.when(F.col("event_id") % 4 != 0, F.col("event_type"))
+    text = F.to_json(F.struct(F.col("event_id").alias("id"), kind.alias("kind"), (F.unix_seconds("ts") * 1000000).alias("at"), F.create_map(F.lit("user"), F.col("user_id")).alias("tags"), "value"), {"ignoreNullFields": "false"})
+    plain = F.concat(F.unhex(F.lit("0000000009")), F.encode(text, "UTF-8"))
+    rows = rows.select(F.when(F.col("event_id") % 3 == 0, plain).otherwise(avro.encode_registry(text, 7, EVENT_AVRO)).alias("m"))
+    found = rows.select(F.from_json(avro.decode_registry(F.col("m"), {7: EVENT_AVRO, 9: None}), "id long, kind string, at string, tags map<string,long>, value double").alias("d"))
+    return found.select("d.id", "d.kind", F.when(F.col("d.id") % 3 != 0, F.col("d.at")).alias("at"), F.col("d.tags")["user"].alias("tag"), "d.value")
+
+
 @query("e3_avro_values", "SELECT o_orderkey::VARCHAR AS k, o_totalprice::DECIMAL(12, 2)::VARCHAR AS price, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_custkey = 0 THEN '0' ELSE o_custkey || repeat('0', 12) END AS m, 'P' || CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 7 || 'D' ELSE '' END || 'T3H' || CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 5 || '.5S' ELSE '0.5S' END AS took FROM orders")
 def e3_avro_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.col("o_orderdate").alias("at"), F.to_date("o_orderdate").alias("day"), F.create_map(F.lit("c"), F.col("o_custkey") * 1e12).alias("m"), F.make_dt_interval(F.col("o_orderkey").cast("int") % 7, F.lit(3), F.lit(0), F.col("o_orderkey").cast("int") % 5 + F.lit(0.5).cast("decimal(18,6)")).alias("took"))
