@@ -349,6 +349,31 @@ def test_large_buckets_lose_no_link(spark):
     assert labels == {i: 0 for i in range(60)}
 
 
+def test_families_in_one_bucket_compare_in_proportion(spark, monkeypatch):
+    """Four families of near copies share one bucket and no other: what is compared grows with the members, not with their square."""
+    compared, plain = [], linking._near
+
+    def near(pairs, *rest):
+        pairs = common.stored(pairs, "pairs")
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(linking, "_near", near)
+    for m in (40, 80):
+        rng, compared[:] = random.Random(m), []
+        rows = []
+        for family in range(4):
+            base = [family * 1_000 + i for i in range(100)]
+            for k in range(m):
+                rows.append((family * 500 + k, [1], [x for x in base if x not in rng.sample(base, 4)] + [10_000 + family * 50_000 + k * 10 + j for j in range(4)]))
+        rows.append((5_000, [1], [i for i in range(95)] + [99_000 + i for i in range(20)]))  # far from each guide, near one family
+        df = common.stored(spark.createDataFrame(rows, "id long, keys array<long>, grams array<long>"), "families")
+        labels = {r.id: r.label for r in linking.link_buckets(df.select("id", "keys"), lambda ids: df.join(ids, "id").select("id", "grams"), 0.8).collect()}
+        want = components({i: frozenset(g) for i, _, g in rows}, 0.8)
+        assert {i: labels.get(i, i) for i, _, _ in rows} == want
+        assert sum(compared) < 30 * 4 * m
+
+
 @pytest.mark.parametrize("edits, base_there", [(14, True), (16, False), (12, True)])
 def test_large_buckets_of_near_copies_equal_brute_force(spark, edits, base_there):
     """600 edited copies of one set near the threshold: as many link to the base as not, and some of these to each other only."""
