@@ -83,6 +83,39 @@ def last_before(rows: DataFrame, marks: DataFrame, side: list[str], position: st
     return joined.select("_row.*", F.coalesce("_here", "_carried").alias(name))
 
 
+#: Modes of a binding and states of a table.
+MODES = ("", "Normal", "Precise", "Only Changes", "Without Primary Key")
+
+
+def backfill_state(mode: Column, base_table: Column, unpredictable: Column, filtered: Column) -> Column:
+    """State in which a pending table starts (C3): Ignore for what is no base table, else as the mode says.
+
+    The automatic mode, an empty one, is precise unless the key's order can't be predicted or a
+    backfill filter is set, where it is unfiltered. A null mode is automatic; an unknown one is an error.
+    """
+    chosen = F.coalesce(mode, F.lit(""))
+    automatic = F.when(F.coalesce(unpredictable, F.lit(False)) | F.coalesce(filtered, F.lit(False)), "UnfilteredBackfill").otherwise("Backfill")
+    by_mode = F.when(chosen == "", automatic).when(chosen == "Normal", "UnfilteredBackfill").when(chosen == "Precise", "Backfill").when(chosen == "Only Changes", "Active").when(chosen == "Without Primary Key", "KeylessBackfill")
+    return F.when(~F.coalesce(base_table, F.lit(False)), "Ignore").otherwise(F.coalesce(by_mode, F.raise_error(F.concat(F.lit("invalid backfill mode "), chosen))))
+
+
+def backfilled(scan: DataFrame, chunks: DataFrame, events: DataFrame, states: DataFrame, table: str, key: str, position: str) -> DataFrame:
+    """Scan rows and the events that pass beside them, by the state of each table.
+
+    ``states`` is (table, mode), a row a table and small. Precise backfills filter events by ``chunks`` (C2);
+    unfiltered and keyless ones, and active tables, let all pass; active tables have no scan. Keyless scan rows get
+    their number among equal rows as ``_meta.row``, as nothing else tells them apart. Tables that are ignored, missing or without a state have nothing.
+    """
+    named = F.broadcast(states.select(F.col(table), F.col("mode").alias("_mode")))
+    rows, changes = scan.join(named, table), events.join(named, table)
+    keyless = rows.where("_mode = 'KeylessBackfill'")
+    numbered = keyless.withColumn("_meta", F.struct(F.row_number().over(Window.partitionBy(*[F.col(f"`{c}`") for c in scan.columns]).orderBy(F.lit(0))).alias("row")))
+    keyed = rows.where(F.col("_mode").isin("Backfill", "UnfilteredBackfill")).withColumn("_meta", F.struct(F.lit(None).cast("int").alias("row")))
+    free = changes.where(F.col("_mode").isin("Active", "UnfilteredBackfill", "KeylessBackfill")).drop("_mode")
+    precise = precise_backfill(chunks, changes.where("_mode = 'Backfill'").drop("_mode"), key, position, table)
+    return numbered.unionByName(keyed).drop("_mode").unionByName(free.unionByName(precise), allowMissingColumns=True)
+
+
 def unfiltered_backfill(chunks: DataFrame, events: DataFrame) -> DataFrame:
     """Scan rows and all changes; reducing by key makes them converge."""
     return chunks.unionByName(events, allowMissingColumns=True)
@@ -196,6 +229,18 @@ def drop_non_bound(events: DataFrame, bindings: DataFrame, table: str) -> DataFr
     return events.join(bindings.where(~F.col("mode").isin("Ignore", "Missing")).select(table), table, "left_semi")
 
 
+def after_drops(bindings: DataFrame, events: DataFrame, discovered: DataFrame, table: str, dropped: Column) -> DataFrame:
+    """(table, mode) after a batch (C10): bound tables that a drop event names become Missing, missing ones that are found again Pending.
+
+    Ignored tables stay ignored. ``discovered`` has the tables that exist now; a table dropped in this batch waits for the next look.
+    """
+    gone = events.where(dropped).select(F.col(table).alias("_gone")).distinct()
+    there = discovered.select(F.col(table).alias("_there")).distinct()
+    both = bindings.join(gone, F.col(table) == F.col("_gone"), "left").join(there, F.col(table) == F.col("_there"), "left")
+    state = F.when(F.col("mode") == "Ignore", "Ignore").when(F.col("_gone").isNotNull(), "Missing").when((F.col("mode") == "Missing") & F.col("_there").isNotNull(), "Pending").otherwise(F.col("mode"))
+    return both.select(table, state.alias("mode"))
+
+
 def committed_only(events: DataFrame, txid: str, is_commit: Column) -> DataFrame:
     """Rows of transactions with a commit row in the batch, commit rows left out (C11)."""
     commits = events.where(is_commit).select(txid).distinct()

@@ -50,14 +50,24 @@ def outside_long(f: Field) -> bool:
     return (f.minimum is not None and f.minimum < -(2**63)) or (f.maximum is not None and f.maximum >= 2**63)
 
 
+#: Characters up to which text of a bounded length is varchar.
+VARCHAR = 65_535
 _TIMES = {"date": T.DateType(), "date-time": T.TimestampType()}
 
 
 def spark_type(f: Field, cast_to_string: bool = False) -> T.DataType | None:
-    """The column type of a field (H2); None for fields that are only null."""
+    """The column type of a field (H2); None for fields that are only null.
+
+    A type that the user gave (``ddl`` in ``meta``) goes first, then text where all is cast to text. Text of a
+    bounded length is varchar of that many characters; text that holds JSON (its content type) stays text.
+    """
     kind, _ = flat_type(f)
+    if f.meta.get("ddl"):
+        return T.StructType.fromDDL(f"v {f.meta['ddl']}")["v"].dataType
     if cast_to_string:
         return T.StringType()
+    if kind == "string" and f.format not in _TIMES and f.max_length is not None and f.content is None and 0 < f.max_length <= VARCHAR:
+        return T.VarcharType(f.max_length)
     if kind == "string" and f.format in _TIMES:
         return _TIMES[f.format]
     if kind == "integer" or kind == "string_integer":
@@ -184,6 +194,12 @@ def check_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return counts.unpivot([], keys, "key", "nulls")
 
 
+def shared_tables(bindings: DataFrame, binding: str, path: str, folded: bool = True) -> DataFrame:
+    """(table, bindings) of tables that several bindings resolve to (H8); ``path`` is an array of names, whose case does not count if ``folded``."""
+    table = F.array_join(F.transform(path, lambda p: F.replace(F.lower(p) if folded else p, F.lit("."), F.lit("\\."))), ".")
+    return bindings.groupBy(table.alias("table")).agg(F.sort_array(F.collect_set(binding)).alias("bindings")).where(F.size("bindings") > 1)
+
+
 def plan_changes(old: T.StructType | None, new: T.StructType, keys: list[str]) -> list[tuple[str, str]]:
     """Actions that take a table from one schema to another (H9)."""
     if old is None:

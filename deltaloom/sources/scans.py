@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 
 import pyarrow as pa
@@ -71,10 +73,20 @@ def next_sweep_bounds(state: SweepState, swept: DataFrame, monotonic: bool) -> S
     return SweepState(state.min_bound, None, row.p) if monotonic else SweepState(row.m, None, None)
 
 
-def read_csv_nulls(spark: SparkSession, path: str, schema: str, null_value: str = "", strict_width: bool = True, **options: str) -> DataFrame:
-    """CSV with a null token; with ``strict_width`` rows of another width fail the read."""
-    reader = spark.read.schema(schema).option("header", "true").option("nullValue", null_value).option("enforceSchema", "false").options(**options)
-    return reader.option("mode", "FAILFAST" if strict_width else "PERMISSIVE").csv(path)
+def read_csv_nulls(spark: SparkSession, path: str, schema: str, null_value: str = "", strict_width: bool = True, null_values: set[str] | None = None, **options: str) -> DataFrame:
+    """CSV with one null token or several; with ``strict_width`` rows of another width fail the read.
+
+    With ``null_values`` every column is read as text, tokens become null and the rest is cast; text that its type can't hold fails.
+    An empty field is null only if the empty text is a token.
+    """
+    kinds = spark.createDataFrame([], schema).schema
+    texts = ", ".join(f"`{f.name}` string" for f in kinds) if null_values is not None else schema
+    token = null_value if null_values is None else "" if "" in null_values else "\x00"
+    reader = spark.read.schema(texts).option("header", "true").option("nullValue", token).option("enforceSchema", "false").options(**options)
+    rows = reader.option("mode", "FAILFAST" if strict_width else "PERMISSIVE").csv(path)
+    if null_values is None:
+        return rows
+    return rows.select(*[F.when(~F.col(f"`{f.name}`").isin(*null_values), F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in kinds])
 
 
 def read_json_items(spark: SparkSession, path: str, item_path: str, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -140,6 +152,44 @@ def resume_type_bracketed(df: DataFrame, rank: str, number: str, text: str, last
     return df.where((F.col(rank) > last_rank) | ((F.col(rank) == last_rank) & same))
 
 
+def type_rank(cursor: Column) -> Column:
+    """Rank of a variant's type in mixed-type key order; null for arrays, which have no place in it."""
+    kind = F.schema_of_variant(cursor)
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    named = {"null": kind == "VOID", "number": number, "string": kind == "STRING", "object": kind.startswith("OBJECT"), "binary": kind == "BINARY", "boolean": kind == "BOOLEAN", "timestamp": kind.isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE")}
+    out = F.when(cursor.isNull(), TYPE_RANKS["null"])
+    for name, test in named.items():
+        out = out.when(test, TYPE_RANKS[name])
+    return out
+
+
+def resume_after(df: DataFrame, cursor: str, last) -> DataFrame:
+    """Rows whose variant cursor sorts after ``last``, a value of any type but an object or an array.
+
+    The rest of the value's own type, and every type that sorts after it: null, numbers, text, objects, binary, booleans (false
+    first), times. Numbers compare by value whatever their width; text and binary compare byte-wise, dates as midnight in UTC.
+    """
+    c = F.col(cursor)
+    if last is None:
+        own, rank = F.lit(False), "null"
+    elif isinstance(last, bool):
+        own, rank = F.try_variant_get(c, "$", "boolean") > F.lit(last), "boolean"
+    elif isinstance(last, (int, float, Decimal)):
+        wide = F.try_variant_get(c, "$", "decimal(38,9)")
+        exact = wide > F.lit(str(last)).try_cast("decimal(38,9)")
+        own, rank = F.coalesce(exact, F.try_variant_get(c, "$", "double") > F.lit(float(last))), "number"
+    elif isinstance(last, str):
+        own, rank = F.try_variant_get(c, "$", "string") > F.lit(last), "string"
+    elif isinstance(last, bytes):
+        own, rank = F.try_variant_get(c, "$", "binary") > F.lit(last), "binary"
+    elif isinstance(last, datetime):
+        own, rank = F.try_variant_get(c, "$", "timestamp") > F.lit(last), "timestamp"
+    else:
+        raise TypeError(f"no scan resumes at {last!r}")
+    at = type_rank(c)
+    return df.where((at > TYPE_RANKS[rank]) | ((at == TYPE_RANKS[rank]) & own))
+
+
 def plan_restated_tables(tables: DataFrame, day: str, state: str, window_days: int, intermediate: bool) -> DataFrame:
     """Reads of dated tables, newest first (S12): once on arrival, inside the window on each poll if wanted, finally at its oldest day.
 

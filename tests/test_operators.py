@@ -475,3 +475,80 @@ def test_merge_text_quotes_names():
     text = sinks.merge_statement("s.t", "stage", ['a"b', "v"], ['a"b'], "gone")
     assert 'MERGE INTO "s"."t" t USING "stage" s ON t."a""b" IS NOT DISTINCT FROM s."a""b"' in text and 's."gone" IS NOT TRUE' in text
     assert "UPDATE" not in sinks.merge_statement("t", "s", ["k"], ["k"])
+
+
+def test_backfill_modes_and_drops(spark):
+    rows = [("", True, False, False), ("", True, True, False), (None, True, False, True), ("Normal", True, False, False), ("Precise", True, True, True), ("Only Changes", True, False, False), ("Without Primary Key", True, False, False), ("Precise", False, False, False)]
+    df = spark.createDataFrame(rows, "m string, b boolean, u boolean, f boolean")
+    state = changes.backfill_state(F.col("m"), F.col("b"), F.col("u"), F.col("f"))
+    assert [r[0] for r in df.select(state).collect()] == ["Backfill", "UnfilteredBackfill", "UnfilteredBackfill", "UnfilteredBackfill", "Backfill", "Active", "KeylessBackfill", "Ignore"]
+    with pytest.raises(Exception, match="invalid backfill mode"):
+        spark.createDataFrame([("Odd", True, False, False)], df.schema).select(state).collect()
+    modes = {"p": "Backfill", "u": "UnfilteredBackfill", "k": "KeylessBackfill", "a": "Active", "i": "Ignore", "m": "Missing"}
+    states = spark.createDataFrame(list(modes.items()), "t string, mode string")
+    scan = spark.createDataFrame([(t, k, 0, "s") for t in modes for k in (1, 2, 2)], "t string, k int, pos int, v string")
+    events = spark.createDataFrame([(t, k, p, "e") for t in [*modes, "x"] for k, p in ((1, 10), (5, 20))], scan.schema)
+    chunks = spark.createDataFrame([("p", 5, 3)], "t string, pos int, upper int")
+    got = changes.backfilled(scan, chunks, events, states, "t", "k", "pos").collect()
+    count = lambda t, v: sorted((r.k, r._meta.row if r._meta else None) for r in got if (r.t, r.v) == (t, v))
+    assert count("p", "s") == count("u", "s") == [(1, None), (2, None), (2, None)] and count("k", "s") == [(1, 1), (2, 1), (2, 2)] and not count("a", "s")
+    assert count("p", "e") == [(1, None)] and count("u", "e") == count("k", "e") == count("a", "e") == [(1, None), (5, None)] and {r.t for r in got} == {"p", "u", "k", "a"}
+    bound = spark.createDataFrame([("a", "Active"), ("b", "Missing"), ("c", "Ignore"), ("d", "Missing")], "t string, mode string")
+    log = spark.createDataFrame([("a", "drop"), ("a", "row"), ("c", "drop"), ("z", "drop")], "t string, kind string")
+    found = changes.after_drops(bound, log, spark.createDataFrame([("a",), ("b",)], "t string"), "t", F.col("kind") == "drop")
+    assert {r.t: r.mode for r in found.collect()} == {"a": "Missing", "b": "Pending", "c": "Ignore", "d": "Missing"}
+
+
+def test_body_and_header_routes(spark):
+    rows = [("/x", '{"a":{"b":7},"t":true}', {}), ("/x", '{"a":{"b":"seven"}}', {}), ("/x", "[1]", {}), ("/x", '{"a":5}', {}), ("/x", '{"a":{"b":7}}', {"x-kind": "h"}), ("/y", "no JSON", {}), ("/y", '{"t":null}', {}), ("/y", '{"t":true}', {})]
+    df = spark.createDataFrame(rows, "p string, b string, h map<string,string>")
+    target = shaping.route_requests(F.col("p"), [("/x", "url")], headers=(F.col("h"), [("X-Kind", "h", "head")]), body=(F.col("b"), [("a.b", "7", "number"), ("a.b", "seven", "text"), ("t", "True", "flag")]))
+    assert [r[0] for r in df.select(target).collect()] == ["number", "text", "url", "url", "head", None, None, "flag"]
+    for bad in ([("a", "1", "x"), ("a", "1", "y")], [("a.", "1", "x")]):
+        with pytest.raises(ValueError):
+            shaping.route_requests(F.col("p"), [], body=(F.col("b"), bad))
+    with pytest.raises(ValueError):
+        shaping.route_requests(F.col("p"), [], headers=(F.col("h"), [("A", "1", "x"), ("a", "1", "y")]))
+
+
+def test_resume_over_mixed_types(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, parse_json('null')), (2, parse_json('5')), (3, parse_json('7.25')), (4, parse_json('1e300')), (5, parse_json('9007199254740993')), (6, parse_json('"a"')), (7, parse_json('"é"')), (8, parse_json('{"x":1}')),
+      (9, CAST(X'01FF' AS variant)), (10, parse_json('false')), (11, parse_json('true')), (12, CAST(TIMESTAMP '2024-01-01 00:00:00Z' AS variant)), (13, CAST(DATE '2024-06-01' AS variant)), (14, CAST(NULL AS variant)) AS t(i, c)""")
+    after = lambda last: sorted(r.i for r in scans.resume_after(df, "c", last).collect())
+    everything = list(range(2, 14))
+    assert after(None) == everything and after(5) == everything[1:] and after(7.25) == [4, *everything[3:]] and after(9007199254740992) == [4, *everything[3:]] and after(2e300) == everything[4:]
+    assert after("a") == everything[5:] and after("z") == everything[5:] and after("日") == everything[6:] and after(b"\x01") == everything[7:] and after(False) == everything[9:] and after(True) == [12, 13] and after(datetime(2024, 3, 1)) == [13]
+    with pytest.raises(TypeError):
+        scans.resume_after(df, "c", [1])
+
+
+def test_sheets_and_datatypes(spark):
+    assert shaping.sheet_headers(28)[-3:] == ["Z", "AA", "AB"] and shaping.sheet_headers(703)[-1] == "AAA"
+    cell = "struct<text:string,flag:boolean,number:double,form:string>"
+    rows = [(1, [("x", None, None, None), (None, False, None, None), (None, None, 2.5, None)]), (2, [(None, None, 45292.0, "DATE"), (None, None, 45292.75, "DATE_TIME"), (None, None, None, None)]), (3, [(None, None, None, None)]), (4, [])]
+    got = shaping.sheet_rows(spark.createDataFrame(rows, f"n int, cells array<{cell}>"), "cells", ["h1", "h2", "h3"])
+    docs = {r.n: json.loads(r.j) for r in got.select("n", F.to_json("cells").alias("j")).collect()}
+    assert docs[1] == {"h1": "x", "h2": False, "h3": 2.5} and docs[2]["h1"] == "2024-01-01" and docs[2]["h2"].startswith("2024-01-01 18:00:00") and set(docs) == {1, 2}
+    with pytest.raises(Exception, match="more cells"):
+        shaping.sheet_rows(spark.createDataFrame(rows, f"n int, cells array<{cell}>"), "cells", ["h1"]).collect()
+    df = spark.createDataFrame([("01/02/2024 03:04:05", "", 1.5, None), ("01/02/2024", "true", None, None)], "t string, b string, d double, s string")
+    out = shaping.normalize_by_datatype(df, {"t": "TIMESTAMP", "b": "BOOLEAN", "d": "DECIMAL", "s": "SEQUENCE"}, "+02:00").collect()
+    assert [tuple(r) for r in out] == [(datetime(2024, 1, 2, 1, 4, 5), None, "1.5", None), (datetime(2024, 1, 1, 22), "true", None, None)]
+    for bad in ({"t": "TIMESTAMP"}, {"t": "SEQUENCE"}):
+        with pytest.raises(Exception):
+            shaping.normalize_by_datatype(spark.createDataFrame([("2024-01-02",)], "t string"), bad, "UTC").collect()
+
+
+def test_null_tokens_and_types_of_targets(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v,n\n1,NULL,5\n2,,n/a\nn/a,"x,y",7\n')
+    rows = scans.read_csv_nulls(spark, str(tmp_path / "a.csv"), "id int, v string, n long", null_values={"NULL", "n/a"}).collect()
+    assert [tuple(r) for r in rows] == [(1, None, 5), (2, "", None), (None, "x,y", 7)]
+    assert [r.v for r in scans.read_csv_nulls(spark, str(tmp_path / "a.csv"), "id string, v string, n string", null_values={"", "NULL"}).collect()] == [None, None, "x,y"]
+    (tmp_path / "b.csv").write_text("id,v\n1,2,3\n")
+    with pytest.raises(Exception):
+        scans.read_csv_nulls(spark, str(tmp_path / "b.csv"), "id int, v string", null_values={""}).collect()
+    F_ = sc.Field
+    kinds = [sc.spark_type(f).simpleString() for f in (F_("a", ("string",), max_length=20), F_("b", ("string",), max_length=10**6), F_("c", ("string",), max_length=9, content="application/json"), F_("d", ("integer",), meta={"ddl": "decimal(9,2)"}), F_("e", ("string",), format="date", max_length=10))]
+    assert kinds == ["varchar(20)", "string", "string", "decimal(9,2)", "date"]
+    bound = spark.createDataFrame([("x", ["S", "T"]), ("y", ["s", "t"]), ("z", ["s.t"]), ("w", ["s", "u"])], "b string, p array<string>")
+    assert [(r.table, r.bindings) for r in sc.shared_tables(bound, "b", "p").collect()] == [("s.t", ["x", "y"])] and sc.shared_tables(bound, "b", "p", folded=False).count() == 0
