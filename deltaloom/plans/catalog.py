@@ -536,7 +536,7 @@ FLAGSHIP: Query = r1_reduce_collection
 
 
 def queries() -> dict[str, Query]:
-    from deltaloom.plans import catalog_tables, catalog_values  # noqa: F401  register their queries
+    from deltaloom.plans import catalog_flows, catalog_tables, catalog_values  # noqa: F401  register their queries
 
     return dict(QUERIES)
 

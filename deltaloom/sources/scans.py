@@ -81,12 +81,12 @@ def read_csv_nulls(spark: SparkSession, path: str, schema: str, null_value: str
     """
     kinds = spark.createDataFrame([], schema).schema
     texts = ", ".join(f"`{f.name}` string" for f in kinds) if null_values is not None else schema
-    token = null_value if null_values is None else "" if "" in null_values else "\x00"
-    reader = spark.read.schema(texts).option("header", "true").option("nullValue", token).option("enforceSchema", "false").options(**options)
+    reader = spark.read.schema(texts).option("header", "true").option("nullValue", null_value).option("enforceSchema", "false").options(**options)
     rows = reader.option("mode", "FAILFAST" if strict_width else "PERMISSIVE").csv(path)
     if null_values is None:
         return rows
-    return rows.select(*[F.when(~F.col(f"`{f.name}`").isin(*null_values), F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in kinds])
+    plain = lambda name: F.coalesce(F.col(f"`{name}`"), F.lit(null_value))
+    return rows.select(*[F.when(~plain(f.name).isin(*null_values), plain(f.name)).cast(f.dataType).alias(f.name) for f in kinds])
 
 
 def read_json_items(spark: SparkSession, path: str, item_path: str, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
