@@ -13,7 +13,7 @@ from deltaloom.operators import changes, quality, shaping
 from deltaloom.plans import migration, schema
 from deltaloom.plans.catalog import query, table
 from deltaloom.session import work_folder
-from deltaloom.sources import named_files, resume, scans
+from deltaloom.sources import large_json, named_files, resume, scans
 from deltaloom.streaming import capture, transactions
 
 
@@ -182,3 +182,15 @@ def q5_sample_zipf(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey")
     found = quality.sample_zipf(customer, 50, F.col("c_custkey") + 1, 1.2, 1, "c_custkey")
     return found.join(customer, "c_custkey", "left_semi").agg((F.count(F.lit(1)) >= 1).alias("some"), F.count(F.lit(1)).cast("int").alias("n"), F.count_distinct("c_custkey").cast("int").alias("known"))
+
+
+@query("s5_large_document", "SELECT event_id, event_type, user_id FROM events")
+def s5_large_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as one JSON document, whose items are read in ranges of some kilobytes; its last item is null."""
+    path = work_folder(spark, "s5")
+    body = table(spark, sf_dir, "events").select(F.concat(F.to_json(F.struct("event_id", "event_type", "user_id")), F.lit(",")).alias("value"), F.lit(1).alias("at"))
+    ends = spark.createDataFrame([('{"of":{"n":[1,2]},"data":{"events":[', 0), ('null]},"end":"]"}', 2)], "value string, at int")
+    body.unionByName(ends).repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+    document = spark.read.text(path).inputFiles()[0].removeprefix("file://")
+    items, _ = large_json.read_large_json_items(spark, document, "data.events", 1 << 16)
+    return items.where(~F.col("item").rlike(r"^\s*null\s*$")).select(F.from_json("item", "event_id long, event_type string, user_id long").alias("e")).select("e.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from deltaloom.operators.merging import delete_by_key, load_existing
+from deltaloom.operators.merging import delete_by_key, load_existing, merge_bounds, within_bounds
 from deltaloom.operators.reduction import reduce_collection
-from deltaloom.sources.sinks import VersionedTable
 
 
 def hourly_stream(events: DataFrame, ts: str, keys: list[str], value: str, late: str = "15 minutes") -> DataFrame:
@@ -50,11 +49,20 @@ def dedup_emitted(feed: DataFrame, key: str, ts: str, order: str = "fast", keep:
     return grouped.applyInPandasWithState(pick, schema, "newest long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def materialize_stream(events: DataFrame, table: VersionedTable, name: str, keys: list[str], order: list[str], strategies: dict[str, str], checkpoint: str, op: str | None = None):
-    """A change stream kept as a reduced table: each micro-batch is reduced with the loaded rows of its keys, merged and committed once."""
+def materialize_stream(events: DataFrame, read: Callable[[], DataFrame | None], merge: Callable[[DataFrame, str], object], name: str, keys: list[str], order: list[str], strategies: dict[str, str], checkpoint: str, op: str | None = None):
+    """A change stream kept as a reduced table: each micro-batch is reduced with the loaded rows of its keys, merged and committed once.
+
+    ``read`` gives the target, None while there is none; its scan is pruned to the bounds of the batch's keys. ``merge`` takes
+    the reduced rows, with ``_gone`` for deleted keys, and a batch id, which it must apply once however often it comes.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
-        rows = reduced_with_loaded(table.read(), df, keys, order, strategies, op)
-        table.merge(rows, f"{name}-{batch_id}", keys, F.col("_gone"))
+        df.persist()
+        try:
+            target = read()
+            bounded = None if target is None else within_bounds(target, merge_bounds(df, keys))
+            merge(reduced_with_loaded(bounded, df, keys, order, strategies, op), f"{name}-{batch_id}")
+        finally:
+            df.unpersist()
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

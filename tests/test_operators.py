@@ -257,7 +257,7 @@ def test_stream_into_table_replays(spark, tmp_path):
 
     def run(checkpoint):
         s = spark.readStream.schema("k int, pos int, op string, v int").parquet(src)
-        materialize_stream(s, t, "q", ["k"], ["pos"], {"op": "lastWriteWins", "v": "lastWriteWins", "pos": "maximize"}, str(tmp_path / checkpoint), "op").awaitTermination()
+        materialize_stream(s, t.read, lambda rows, batch: t.merge(rows, batch, ["k"], F.col("_gone")), "q", ["k"], ["pos"], {"op": "lastWriteWins", "v": "lastWriteWins", "pos": "maximize"}, str(tmp_path / checkpoint), "op").awaitTermination()
 
     run("c1")
     run("c2")  # the same batch id again: nothing is applied twice
