@@ -24,43 +24,53 @@ from .token_files import token_file_digests
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every whole text, learned from the folds but 1."""
     return lm_scores(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays of each group of equal texts, a row a document."""
     return exact_dedup(documents(spark, sf_dir))
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of their decoding."""
     return bpe_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
 
 
 def op8_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likeness."""
     return fingerprint_edits(documents(spark, sf_dir))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier or similar one, a row a document."""
     return line_dedup_report(documents(spark, sf_dir))
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "copies", "kept")
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the folds but 0."""
     found = identify_languages(documents(spark, sf_dir), held_fold=0)
     return found.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that no repeated window of 35 words covers."""
     return substring_digests(documents(spark, sf_dir))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document's ids as read back from the token files."""
     return token_file_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
