@@ -58,7 +58,7 @@ LONG_ROWS = 2_000_000
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.select("doc_id", F.xxhash64("text").alias("row"), F.unhex(F.md5("text")).alias("digest"), "text")
+    return texts.select("doc_id", F.xxhash64("text").alias("row"), F.unhex(F.sha2("text", 256)).alias("digest"), "text")
 
 
 def copied_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
