@@ -46,7 +46,7 @@ def e2_registry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two of three messages are Avro, the third is JSON under a schema id of its own."""
     rows = events(spark, sf_dir)
     kind = F.when(F.col("event_id") % 4 != 0, F.col("event_type"))
-    text = F.to_json(F.struct(F.col("event_id").alias("id"), kind.alias("kind"), (F.unix_seconds("ts") * 1000000).alias("at"), F.create_map(F.lit("user"), F.col("user_id")).alias("tags"), "value"), {"ignoreNullFields": "false"})
+    text = F.to_json(F.struct(F.col("event_id").alias("id"), kind.alias("kind"), (F.unix_seconds(F.col("ts").cast("timestamp")) * 1000000).alias("at"), F.create_map(F.lit("user"), F.col("user_id")).alias("tags"), "value"), {"ignoreNullFields": "false"})
     plain = F.concat(F.unhex(F.lit("0000000009")), F.encode(text, "UTF-8"))
     rows = rows.select(F.when(F.col("event_id") % 3 == 0, plain).otherwise(avro.encode_registry(text, 7, EVENT_AVRO)).alias("m"))
     found = rows.select(F.from_json(avro.decode_registry(F.col("m"), {7: EVENT_AVRO, 9: None}), "id long, kind string, at string, tags map<string,long>, value double").alias("d"))
