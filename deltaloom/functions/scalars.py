@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import struct
 
 import numpy as np
@@ -139,6 +140,35 @@ def time_text(c: Column, form: str) -> Column:
     return F.when(c == "infinity", "9999-12-31T23:59:59Z").when(c == "-infinity", "0000-01-01T00:00:00Z").otherwise(F.date_format(F.try_to_timestamp(c), form))
 
 
+def date_text(c: Column, as_date: bool = True) -> Column:
+    """Dates as text to text (F13): infinities go to the edges, years outside 0 to 9999 to the first day of year 0.
+
+    Without ``as_date`` they are midnight in UTC. Text that is no date is null.
+    """
+    form = r"^([+-]?\d+)-(\d{2})-(\d{2})( BC)?$"
+    year = F.regexp_extract(c, form, 1).try_cast("int")
+    day = F.when(c == "infinity", "9999-12-31").when((c == "-infinity") | (c.rlike(form) & (~year.between(0, 9999) | c.endswith(" BC"))), "0000-01-01").when(c.rlike(form), c)
+    if as_date:
+        return day
+    return F.when(c == "infinity", "9999-12-31T23:59:59Z").otherwise(F.concat(day, F.lit("T00:00:00Z")))
+
+
+def time_of_day_text(micros: Column) -> Column:
+    """Microseconds since midnight as a time in UTC without trailing zeros."""
+    part = lambda per, of, width: F.lpad((F.floor(micros / per) % of).cast("long").cast("string"), width, "0")
+    fraction = F.rtrim(part(1, 1_000_000, 6), F.lit("0"))
+    return F.concat(part(3_600_000_000, 24, 2), F.lit(":"), part(60_000_000, 60, 2), F.lit(":"), part(1_000_000, 60, 2), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)), F.lit("Z"))
+
+
+def timetz_text(c: Column) -> Column:
+    """A time with its offset, such as 12:34:56.50+02, as 12:34:56.5+02:00, and Z for no offset (F13); other text stays."""
+    form = r"^(\d{2}:\d{2}:\d{2})(?:\.(\d{1,9}))?(?:Z|([+-]\d{2})(?::(\d{2}))?)$"
+    part = lambda i: F.regexp_extract(c, form, i)
+    fraction, minutes = F.rtrim(part(2), F.lit("0")), F.when(part(4) == "", "00").otherwise(part(4))
+    zone = F.when((part(3) == "") | (part(3).isin("+00", "-00") & (minutes == "00")), "Z").otherwise(F.concat(part(3), F.lit(":"), minutes))
+    return F.when(c.rlike(form), F.concat(part(1), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)), zone)).otherwise(c)
+
+
 def zero_dates(c: Column) -> Column:
     """Zero months and days of MySQL become 01, zero years 0001."""
     out = F.regexp_replace(c, r"^0000-", "0001-")
@@ -220,6 +250,51 @@ def bson_scalar(c: Column) -> Column:
     return F.when(quoted.isNotNull(), F.concat(F.lit('"'), quoted, F.lit('"'))).otherwise(F.coalesce(at("$numberLong"), at("$numberInt"), c))
 
 
+def _plain_bson(value, root: bool = False):
+    """A value of extended JSON without its wrappers."""
+    if isinstance(value, list):
+        return [_plain_bson(v) for v in value]
+    if not isinstance(value, dict):
+        return value
+    if len(value) == 1:
+        (kind, inner), = value.items()
+        if kind in ("$oid", "$numberDecimal", "$symbol"):
+            return str(inner)
+        if kind in ("$numberLong", "$numberInt"):
+            return int(inner)
+        if kind == "$numberDouble":
+            return inner if inner in ("NaN", "Infinity", "-Infinity") else float(inner)
+        if kind == "$binary":
+            return inner["base64"] if isinstance(inner, dict) else inner
+        if kind == "$date":
+            millis = _plain_bson(inner)
+            return millis if isinstance(millis, str) else _instant_text(millis)
+    out = {k: _plain_bson(v) for k, v in value.items()}
+    if root and "_id" in out and not isinstance(out["_id"], str):
+        out["_id"] = json.dumps(out["_id"], separators=(",", ":"))
+    return out
+
+
+def _instant_text(millis: int) -> str:
+    seconds, rest = divmod(millis, 1000)
+    return f"{np.datetime64(seconds, 's')}" + (f".{rest:03}".rstrip("0") if rest else "") + "Z"
+
+
+@F.pandas_udf(T.StringType())
+def bson_documents(c: pd.Series) -> pd.Series:
+    """Documents in extended JSON as plain JSON text (F17): wrappers at any depth become values, a root ``_id`` that is no text becomes its JSON.
+
+    Object ids, decimals and special floats are text, times RFC 3339 in UTC, binaries base64. Null, and text that is no JSON, give null.
+    """
+    out = []
+    for text in c:
+        try:
+            out.append(None if text is None else json.dumps(_plain_bson(json.loads(text), root=True), ensure_ascii=False, separators=(",", ":")))
+        except ValueError:
+            out.append(None)
+    return pd.Series(out, dtype=object)
+
+
 def decimals_to_text(df: DataFrame) -> DataFrame:
     """Decimals anywhere in a row as exact text, nested ones too."""
     return df.select(*[_decimal(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])

@@ -233,6 +233,49 @@ def ymd_date(c: Column) -> Column:
     return F.try_to_timestamp(F.concat(F.lpad(c["year"].cast("string"), 4, "0"), F.lit("-"), c["month"].cast("string"), F.lit("-"), c["day"].cast("string")), F.lit("yyyy-M-d")).cast("date")
 
 
+def _typed_values(c: Column) -> Column:
+    """An object of lists as (type, values) entries: a list as it is, an object as a list of one, anything else as an empty list."""
+    entries = F.map_entries(F.try_variant_get(c, "$", "map<string,variant>"))
+    kind = lambda v: F.schema_of_variant(v)
+    values = lambda v: F.when(kind(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(kind(v).startswith("OBJECT"), F.array(v)).otherwise(F.array().cast("array<variant>"))
+    return F.transform(entries, lambda e: F.struct(e["key"].alias("type"), values(e["value"]).alias("values")))
+
+
+def flatten_ads(df: DataFrame, document: str, reserved: list[str]) -> DataFrame:
+    """Documents of an ads report, JSON text, without the nesting that columns can't take.
+
+    ``changeAuditStamps`` become created and lastModified (times in UTC), ``dateRange`` start_date and end_date, targeting criteria
+    lists of type and values under include.and and exclude.or, ``variables`` their type and a list of key and value (as JSON text),
+    ``pivotValues`` stay and are joined by commas as string_of_pivot_values; names in ``reserved`` get an underscore before them. What a
+    document lacks it lacks afterwards; text that is no object gives null.
+    """
+    doc = F.try_parse_json(F.col(document))
+    root = F.when(F.schema_of_variant(doc).startswith("OBJECT"), F.try_variant_get(doc, "$", "map<string,variant>"))
+    at = lambda path, kind="variant": F.try_variant_get(doc, path, kind)
+    made: dict[str, Column] = {}
+    for name in ("created", "lastModified"):
+        stamp = F.timestamp_millis(at(f"$.changeAuditStamps.{name}.time", "bigint"))
+        made[name] = F.regexp_replace(utc_text(stamp, T.TimestampType()), r"T(.{8}).*$", " $1")
+    for name in ("start", "end"):
+        made[f"{name}_date"] = F.date_format(ymd_date(F.struct(*[at(f"$.dateRange.{name}.{p}", "int").alias(p) for p in ("year", "month", "day")])), "yyyy-MM-dd")
+    include = F.flatten(F.transform(at("$.targetingCriteria.include.and", "array<variant>"), lambda x: _typed_values(F.try_variant_get(x, "$.or", "variant"))))
+    exclude = _typed_values(at("$.targetingCriteria.exclude.or"))
+    sides = F.struct(F.when(include.isNotNull(), F.struct(include.alias("and"))).alias("include"), F.when(exclude.isNotNull(), F.struct(exclude.alias("or"))).alias("exclude"))
+    made["targetingCriteria"] = F.when(at("$.targetingCriteria").isNotNull(), F.to_json(sides))
+    data = F.map_entries(at("$.variables.data", "map<string,variant>"))
+    last = F.try_element_at(data, F.lit(-1))
+    pairs = F.transform(F.map_entries(F.try_variant_get(last["value"], "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("value")))
+    made["variables"] = F.when(last.isNotNull(), F.to_json(F.struct(last["key"].alias("type"), pairs.alias("values"))))
+    made["string_of_pivot_values"] = F.array_join(at("$.pivotValues", "array<string>"), ",")
+    structured = ("targetingCriteria", "variables")
+    values = [F.struct(F.lit(n).alias("key"), (F.try_parse_json(c) if n in structured else c.cast("variant")).alias("value")) for n, c in made.items()]
+    new = F.map_from_entries(F.filter(F.array(*values), lambda e: e["value"].isNotNull()))
+    gone = F.array(*[F.lit(n) for n in ("changeAuditStamps", "dateRange")])
+    kept = F.map_filter(root, lambda k, v: ~F.array_contains(gone, k) & ~F.map_contains_key(new, k))
+    named = F.transform_keys(F.map_concat(kept, new), lambda k, v: F.when(k.isin(*reserved), F.concat(F.lit("_"), k)).otherwise(k) if reserved else k)
+    return df.withColumn(document, F.to_json(named))
+
+
 def unique_names(names: list[str]) -> dict[str, str]:
     """Names without a leading ``$``; those equal in lower case get ``_`` prefixes in sorted order."""
     taken: dict[str, int] = {}

@@ -552,3 +552,41 @@ def test_null_tokens_and_types_of_targets(spark, tmp_path):
     assert kinds == ["varchar(20)", "string", "string", "decimal(9,2)", "date"]
     bound = spark.createDataFrame([("x", ["S", "T"]), ("y", ["s", "t"]), ("z", ["s.t"]), ("w", ["s", "u"])], "b string, p array<string>")
     assert [(r.table, r.bindings) for r in sc.shared_tables(bound, "b", "p").collect()] == [("s.t", ["x", "y"])] and sc.shared_tables(bound, "b", "p", folded=False).count() == 0
+
+
+def test_times_and_dates_of_all_ages(spark):
+    dates = ["2024-01-02", "infinity", "-infinity", "20221-05-06", "0044-03-15 BC", "oops", None]
+    df = spark.createDataFrame([(d,) for d in dates], "d string")
+    assert [tuple(r) for r in df.select(fn.date_text(F.col("d")), fn.date_text(F.col("d"), as_date=False)).collect()] == [
+        ("2024-01-02", "2024-01-02T00:00:00Z"), ("9999-12-31", "9999-12-31T23:59:59Z"), ("0000-01-01", "0000-01-01T00:00:00Z"), ("0000-01-01", "0000-01-01T00:00:00Z"), ("0000-01-01", "0000-01-01T00:00:00Z"), (None, None), (None, None),
+    ]
+    times = ["12:34:56.50+02", "12:34:56-05:30", "01:02:03.123456789Z", "01:02:03+00", "noon"]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in times], "t string").select(fn.timetz_text(F.col("t"))).collect()] == ["12:34:56.5+02:00", "12:34:56-05:30", "01:02:03.123456789Z", "01:02:03Z", "noon"]
+    assert [r[0] for r in spark.createDataFrame([(0,), (45_296_500_000,), (86_399_999_999,), (None,)], "m long").select(fn.time_of_day_text(F.col("m"))).collect()] == ["00:00:00Z", "12:34:56.5Z", "23:59:59.999999Z", None]
+
+
+def test_extended_json_documents(spark):
+    docs = ['{"_id":{"$oid":"ab"},"t":{"$date":{"$numberLong":"1730233606250"}},"u":{"$date":1730233606000},"n":[{"$numberDecimal":"1.50"},{"$numberLong":"9"},{"$numberDouble":"NaN"}],"b":{"x":{"$binary":{"base64":"SGk=","subType":"00"}},"_id":5}}', '{"_id":{"a":1}}', '{"_id":7,"$oid":"x"}', "no", None]
+    got = [r[0] for r in spark.createDataFrame([(d,) for d in docs], "d string").select(fn.bson_documents("d")).collect()]
+    assert json.loads(got[0]) == {"_id": "ab", "t": "2024-10-29T20:26:46.25Z", "u": "2024-10-29T20:26:46Z", "n": ["1.50", 9, "NaN"], "b": {"x": "SGk=", "_id": 5}}
+    assert [None if g is None else json.loads(g) for g in got[1:]] == [{"_id": '{"a":1}'}, {"_id": "7", "$oid": "x"}, None, None]
+
+
+def test_ads_reports(spark):
+    doc = {
+        "id": 5, "pivot": "p", "changeAuditStamps": {"created": {"time": 1629581275000}, "lastModified": {"time": 1629664544760}}, "dateRange": {"start": {"month": 8, "day": 13, "year": 2021}, "end": {"month": 2, "day": 30, "year": 2021}},
+        "targetingCriteria": {"include": {"and": [{"or": {"titles": ["t1", "t2"], "odd": 5}}, {"or": {"geo": {"g": 1}}}]}, "exclude": {"or": {"k1": [], "k2": ["x"]}}},
+        "variables": {"data": {"Creative": {"activity": "urn", "n": 0, "deep": {"a": [1]}}}}, "pivotValues": ["a", "b"],
+    }
+    rows = [json.dumps(doc), '{"id":6,"variables":{"other":1}}', "[1]", None]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = [r[0] for r in shaping.flatten_ads(spark.createDataFrame([(r,) for r in rows], "d string"), "d", ["pivot"]).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert json.loads(got[0]) == {
+        "id": 5, "_pivot": "p", "created": "2021-08-21 21:27:55", "lastModified": "2021-08-22 20:35:44", "start_date": "2021-08-13", "pivotValues": ["a", "b"], "string_of_pivot_values": "a,b",
+        "targetingCriteria": {"include": {"and": [{"type": "odd", "values": []}, {"type": "titles", "values": ["t1", "t2"]}, {"type": "geo", "values": [{"g": 1}]}]}, "exclude": {"or": [{"type": "k1", "values": []}, {"type": "k2", "values": ["x"]}]}},
+        "variables": {"type": "Creative", "values": [{"key": "activity", "value": '"urn"'}, {"key": "deep", "value": '{"a":[1]}'}, {"key": "n", "value": "0"}]},
+    }
+    assert json.loads(got[1]) == {"id": 6, "variables": {"other": 1}} and got[2:] == [None, None]
