@@ -11,8 +11,8 @@ from .common import discard, stored
 
 #: Buckets up to this size compare all their pairs; members of larger ones meet a guide first.
 SMALL_BUCKET = 16
-#: Ids that share a token in which they differ from a guide, up to which their pairs are compared; more of them meet a guide of their own.
-CROWD = 64
+#: Further guides that the ids far from a guide meet at most; what they leave is found by what it differs in.
+GUIDES = 4
 #: Slack of comparisons with fractions.
 TINY = 1e-9
 
@@ -70,15 +70,15 @@ def _near(pairs: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] |
 def _guided(large: DataFrame) -> DataFrame:
     """(guide, id): each member of a large bucket beside the bucket's guide, the id whose buckets are fullest.
 
-    That is what near copies were made from, if it is there. Ids that are far from an earlier guide go before others.
+    That is what near copies were made from, if it is there.
     """
     weighed = large.join(large.groupBy("id").agg(F.sum("size").alias("mass")), "id")
-    fullest = weighed.groupBy("key").agg((-F.max(F.struct("far", "mass", (-F.col("id")).alias("minus")))["minus"]).alias("guide"))
+    fullest = weighed.groupBy("key").agg((-F.max(F.struct("mass", (-F.col("id")).alias("minus")))["minus"]).alias("guide"))
     return large.join(fullest, "key").where("guide <> id").select("guide", "id").distinct()
 
 
-def _differing_mates(guided: DataFrame, labels: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of ids of one guide that may be near and of which one at least isn't near the guide, and buckets of such ids.
+def _differing_mates(guided: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ids of one guide that may be near and of which one at least isn't near the guide.
 
     ``guided`` has (guide, id, tokens, d, i, g, w): ``tokens`` are the elements in which the id
     and its guide differ (d of the guide's that the id lacks, i of its own). With c = threshold /
@@ -86,9 +86,7 @@ def _differing_mates(guided: DataFrame, labels: DataFrame, threshold: float) ->
     the guide if w <= g, and two ids are near only if they share w + w' - g tokens. Where one is
     not near the guide that is more than none, so prefix filtering is exact: with tokens
     ordered from the rarest, two such ids share one among the first few of each, and
-    enough tokens follow it in both. Where more than CROWD ids have a token among their first, they
-    are a bucket (key, id, size, far) that gets a guide of its own, as its pairs would grow with the square of
-    its size. It lacks the guide, so such buckets shrink from round to round.
+    enough tokens follow it in both.
     """
     far = F.col("w") > F.col("g") + TINY
     bounds = guided.groupBy("guide").agg(F.min(F.when(far, F.col("w"))).alias("far_w"), F.min("w").alias("least_w")).where("far_w IS NOT NULL")
@@ -103,31 +101,39 @@ def _differing_mates(guided: DataFrame, labels: DataFrame, threshold: float) ->
     first = ordered.where("rarity IS NOT NULL AND at <= head").join(labels, "id", "left")
     first = stored(first.select("guide", "token", "id", "far", F.coalesce("label", "id").alias("label"), "d", "i", "g", "w", (F.col("d") + F.col("i") - F.col("at") + 1).alias("rest")), "rare-tokens")
     discard(tokens)
-    groups = first.groupBy("guide", "token").agg(F.count(F.lit(1)).alias("size"), F.bool_or("far").alias("any_far"), (F.min("label") < F.max("label")).alias("apart"))
-    crowds = stored(groups.where((F.col("size") > CROWD) & F.col("any_far") & F.col("apart")).select("guide", "token", "size"), "crowds")
-    crowd = first.join(crowds, ["guide", "token"]).select(F.xxhash64("guide", "token").alias("key"), "id", "size", F.col("far").cast("int").alias("far"))
-    # Ids that several crowds or guides share keep one row a bucket.
-    crowd = stored(crowd.groupBy("key", "id").agg(F.max("size").alias("size"), F.max("far").alias("far")), "crowd-members")
-    first = first.join(crowds.select("guide", "token"), ["guide", "token"], "left_anti")
     other = first.select(*[F.col(x).alias(f"{x}_") for x in ("guide", "token", "id", "far", "label", "d", "i", "w", "rest")])
     due = F.col("w") + F.col("w_") - F.col("g") - TINY
     enough = (F.least("rest", "rest_") >= due) & (F.least("d", "d_") + F.least("i", "i_") >= due)
     once = (F.col("id") < F.col("id_")) | ~F.col("far_")
     pairs = first.where("far").join(other, (F.col("guide") == F.col("guide_")) & (F.col("token") == F.col("token_")) & (F.col("label") != F.col("label_")) & once & enough)
-    return pairs.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct(), crowd
+    return pairs.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
 
 
-def _beside_guides(large: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] | None, threshold: float) -> DataFrame:
-    """Stored (guide, id, tokens, d, i, g, w) of the members of large buckets, see ``_differing_mates``."""
-    c = threshold / (1 + threshold)
-    found = _with_sets(_guided(large).select(F.col("guide").alias("a"), F.col("id").alias("b")), grams, sets)
-    found = found.select(F.col("a").alias("guide"), F.col("b").alias("id"), "a_n", F.array_except("a_set", "b_set").alias("lacking"), F.array_except("b_set", "a_set").alias("own"))
-    found = found.select("guide", "id", F.concat("lacking", "own").alias("tokens"), F.size("lacking").alias("d"), F.size("own").alias("i"), (F.col("a_n") * (1 - 2 * c)).alias("g"))
-    return stored(found.withColumn("w", F.col("d") * (1 - c) + F.col("i") * c), "guided")
-
+def _further_guides(guided: DataFrame, members: DataFrame, grams: DataFrame, sets: Callable[[Column], Column] | None, threshold: float) -> DataFrame | None:
+    """Stored links (a, b) between ids that are far from their guide and further guides chosen among them.
 
-def _near_guides(guided: DataFrame) -> DataFrame:
-    return guided.where(F.col("w") <= F.col("g") + TINY).select(F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b"))
+    A family of near copies that shares a bucket with a larger one is far from its guide as a whole. In
+    every round the fullest id of what a guide has left far is the next guide of these, so such a family becomes one
+    component by as many comparisons as it has members, and its pairs need not be compared.
+    """
+    mass = members.groupBy("id").agg(F.sum("size").alias("mass"))
+    rest = stored(guided.where(F.col("w") > F.col("g") + TINY).select("guide", "id").join(mass, "id"), "far")
+    links = None
+    for _ in range(GUIDES):
+        next_ = rest.groupBy("guide").agg(F.count(F.lit(1)).alias("size"), (-F.max(F.struct("mass", (-F.col("id")).alias("minus")))["minus"]).alias("next")).where(F.col("size") > SMALL_BUCKET)
+        next_ = stored(next_.select(F.col("guide").alias("guide_"), "next"), "next-guides")
+        if next_.isEmpty():
+            break
+        beside = stored(rest.join(next_, F.col("guide") == F.col("guide_")).select("guide", "next", "id", "mass"), "beside-next")
+        pairs = beside.where("next <> id").select(F.least("next", "id").alias("a"), F.greatest("next", "id").alias("b")).distinct()
+        found = stored(_near(pairs, grams, sets, threshold), "next-links")
+        links = found if links is None else links.unionByName(found)
+        known = found.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(found.select(F.col("b").alias("x"), F.col("a").alias("y")))
+        left = stored(beside.where("next <> id").join(known, (F.col("next") == F.col("x")) & (F.col("id") == F.col("y")), "left_anti").select("guide", "id", "mass"), "far")
+        discard(rest)
+        discard(beside)
+        rest = left
+    return links
 
 
 def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame], threshold: float, sets: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -141,8 +147,7 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
     components is missed: small buckets compare all pairs; a member of a large one is compared
     with the bucket's guide; two members near the guide are in one component already, and of
     all other pairs those that can be near are found by what they share beside the
-    guide (``_differing_mates``). Ids that share it in crowds meet a guide among themselves in a further round, so
-    what is compared grows with the members of buckets, not with their pairs.
+    guide (``_differing_mates``), once ids far from a guide have met further ones (``_further_guides``).
     """
     exploded = entries.select("id", F.explode("keys").alias("key"))
     buckets = stored(exploded.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("size")).where("least < most"), "buckets")
@@ -155,18 +160,17 @@ def link_buckets(entries: DataFrame, grams_of: Callable[[DataFrame], DataFrame],
 
     few = members.where(F.col("size") <= SMALL_BUCKET).select("key", "id")
     close = few.join(few.withColumnRenamed("id", "b"), "key").where("id < b").select(F.col("id").alias("a"), "b")
-    guided = _beside_guides(members.where(F.col("size") > SMALL_BUCKET).withColumn("far", F.lit(0)), grams, sets, threshold)
-    links = _near_guides(guided)
+    c = threshold / (1 + threshold)
+    guided = _with_sets(_guided(members.where(F.col("size") > SMALL_BUCKET)).select(F.col("guide").alias("a"), F.col("id").alias("b")), grams, sets)
+    guided = guided.select(F.col("a").alias("guide"), F.col("b").alias("id"), "a_n", F.array_except("a_set", "b_set").alias("lacking"), F.array_except("b_set", "a_set").alias("own"))
+    guided = guided.select("guide", "id", F.concat("lacking", "own").alias("tokens"), F.size("lacking").alias("d"), F.size("own").alias("i"), (F.col("a_n") * (1 - 2 * c)).alias("g"))
+    guided = stored(guided.withColumn("w", F.col("d") * (1 - c) + F.col("i") * c), "guided")
+    links = guided.where(F.col("w") <= F.col("g") + TINY).select(F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b"))
     others = twins.unionByName(close).distinct().join(guided.select(F.least("guide", "id").alias("a"), F.greatest("guide", "id").alias("b")), ["a", "b"], "left_anti")
     links = stored(links.unionByName(_near(others, grams, sets, threshold)), "links")
+    further = _further_guides(guided, members, grams, sets, threshold)
+    links = links if further is None else stored(links.unionByName(further), "links")
     labels = connected_components(links)
-    while True:
-        pairs, crowd = _differing_mates(guided, labels, threshold)
-        found = _near(pairs, grams, sets, threshold)
-        discard(guided)
-        if crowd.isEmpty():
-            found = stored(found, "links")
-            return labels if found.isEmpty() else connected_components(links.unionByName(found))
-        guided = _beside_guides(crowd, grams, sets, threshold)
-        links = stored(links.unionByName(found).unionByName(_near_guides(guided)), "links")
-        labels = connected_components(links)
+    found = stored(_near(_differing_mates(guided, labels, threshold), grams, sets, threshold), "links")
+    discard(guided)
+    return labels if found.isEmpty() else connected_components(links.unionByName(found))
