@@ -94,7 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op13_source_divergence": OP13_SQL}
+    return {"op2_mix_sources": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op9_substring_dedup": OP9_SQL, "op13_source_divergence": OP13_SQL}
 
 
 OP2_SQL = r"""
@@ -161,3 +161,20 @@ SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION
 UNION ALL
 SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM terms QUALIFY rank <= 10
 """
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d
+), g AS (
+  SELECT r, j, word, CASE WHEN count(*) OVER w = 35 THEN string_agg(word, ' ') OVER w END AS g FROM p WINDOW w AS (PARTITION BY r ORDER BY j ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+), s AS (
+  SELECT g FROM g WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1
+), c AS (
+  SELECT g.r, g.j, g.word, max((s.g IS NOT NULL)::INT) OVER (PARTITION BY g.r ORDER BY g.j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM g LEFT JOIN s ON g.g = s.g
+), k AS (
+  SELECT r, count(*) AS n_words, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (gone = 0) AS kept FROM c GROUP BY r
+)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.r = k.r
+"""

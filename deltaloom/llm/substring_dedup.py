@@ -251,6 +251,7 @@ def _words_only(column: pa.StringArray) -> Iterator[tuple]:
 
 
 def substring_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """One row per input row: doc_id, n_words, n_removed and the digest of the words left; cases as in ``substring_dedup``."""
     kept = substring_dedup(docs, id_col, text_col, window)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 

@@ -64,7 +64,7 @@ def test_odd_rows_and_empty_tables(odd, name):
     assert OPERATORS[name](odd.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op2_mix_sources", "op4_exact_dedup"])
+@pytest.mark.parametrize("name", ["op2_mix_sources", "op4_exact_dedup", "op9_substring_dedup", "op13_source_divergence"])
 def test_equals_sql(spark, name):
     same(queries.queries()[name](spark, SF), connect(SF), queries.oracle_sql()[name])
 
