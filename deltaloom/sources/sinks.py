@@ -35,6 +35,7 @@ def write_rolling_files(df: DataFrame, path: str, fmt: str, size_limit: int, **o
 
 
 def write_parquet(df: DataFrame, path: str, row_group: int = 128 << 20, compression: str = "snappy", dictionary: bool = True) -> None:
+    """Parquet with a row group size in bytes, a codec and dictionaries or not (K3); files are added."""
     df.write.options(compression=compression, **{"parquet.block.size": str(row_group), "parquet.enable.dictionary": str(dictionary).lower()}).mode("append").parquet(path)
 
 
@@ -44,6 +45,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def write_json(df: DataFrame, path: str, skip_nulls: bool = False, gzip: bool = True) -> None:
+    """JSON lines, gzip by default; null fields are written unless they are skipped (K5)."""
     df.write.options(compression="gzip" if gzip else "none", ignoreNullFields=str(skip_nulls).lower()).mode("append").json(path)
 
 
