@@ -310,11 +310,11 @@ def j16_associated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merging.associated_documents(turns, "turns", ["conv_id"])[1]
 
 
-@query("e7_webhook_docs", "SELECT event_id || '/' || i AS id, CASE i WHEN 0 THEN '1' ELSE '{\"a\":2}' END AS body FROM events, range(0, 2) t(i) WHERE event_id % 2 = 0 UNION ALL SELECT event_id::VARCHAR, '{\"b\":1}' FROM events WHERE event_id % 2 = 1")
+@query("e7_webhook_docs", "SELECT event_id || '/' || i AS id, CASE i WHEN 0 THEN user_id::VARCHAR ELSE '{\"a\":' || event_id || '}' END AS body, 'X-Id' AS headers FROM events, range(0, 2) t(i) WHERE event_id % 2 = 0 UNION ALL SELECT event_id::VARCHAR, '{\"b\":\"' || event_type || '\"}', 'X-Id' FROM events WHERE event_id % 2 = 1")
 def e7_webhook_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = F.when(F.col("event_id") % 2 == 0, '[1,{"a":2}]').otherwise('{"b":1}')
-    df = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), body.alias("body"), F.create_map(F.lit("Authorization"), F.lit("x")).alias("h"))
-    return shaping.webhook_docs(df, "body", "id", "h", ["authorization"]).select("id", "body")
+    body = F.when(F.col("event_id") % 2 == 0, F.format_string('[%d,{"a":%d}]', "user_id", "event_id")).otherwise(F.format_string('{"b":"%s"}', "event_type"))
+    df = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), body.alias("body"), F.create_map(F.lit("Authorization"), F.lit("x"), F.lit("X-Id"), F.col("event_type")).alias("h"))
+    return shaping.webhook_docs(df, "body", "id", "h", ["authorization"]).select("id", "body", F.array_join(F.map_keys("h"), ",").alias("headers"))
 
 
 @query("e8_route_requests", r"SELECT page_id, CASE WHEN regexp_matches(p, '^/en/[^/]+/?$') THEN 'english' WHEN regexp_matches(p, '^/[^/]+/[^/]+/?$') THEN 'any' ELSE 'rest' END AS target FROM (SELECT page_id, regexp_extract(url, '^https?://[^/]+(/[^?#]*)', 1) AS p FROM pages)")
@@ -395,11 +395,12 @@ def f10_range_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", fn.range_to_text(F.col("o_orderkey"), F.col("o_orderkey") + 5, F.lit(True), F.lit(False), F.lit(False)).alias("r"))
 
 
-@query("f11_unflatten", "SELECT vec_id, embedding[5]::DOUBLE AS second_row_first FROM embeddings")
+@query("f11_unflatten", "SELECT vec_id, i::INT AS row_no, embedding[4 * i + 1]::DOUBLE AS first, embedding[4 * i + 4]::DOUBLE AS last FROM (SELECT vec_id, embedding, unnest(range(0, len(embedding) // 4)) AS i FROM embeddings)")
 def f11_unflatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "embeddings")
     n = df.select(F.size("embedding").alias("n")).first().n
-    return df.select("vec_id", fn.unflatten_array(F.col("embedding"), [n // 4, 4])[1][0].cast("double").alias("second_row_first"))
+    rows = df.select("vec_id", F.posexplode(fn.unflatten_array(F.col("embedding"), [n // 4, 4])).alias("row_no", "r"))
+    return rows.select("vec_id", "row_no", F.col("r")[0].cast("double").alias("first"), F.col("r")[3].cast("double").alias("last"))
 
 
 @query("f15_bits", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN '18446744073709551615' WHEN 1 THEN NULL ELSE user_id::VARCHAR END AS n FROM events")
