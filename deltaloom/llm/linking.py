@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, join_checked, stored
 
 #: Buckets up to this size compare all their pairs; members of larger ones meet a guide first.
 SMALL_BUCKET = 16
@@ -118,6 +118,8 @@ def _further_guides(guided: DataFrame, members: DataFrame, grams: DataFrame, set
     """
     mass = members.groupBy("id").agg(F.sum("size").alias("mass"))
     rest = stored(guided.where(F.col("w") > F.col("g") + TINY).select("guide", "id").join(mass, "id"), "far")
+    # Only the sets of ids that are far are shuffled.
+    grams = join_checked(grams, stored(rest.select("id").distinct(), "far-ids"), "id", "left_semi")
     links = None
     for _ in range(GUIDES):
         next_ = rest.groupBy("guide").agg(F.count(F.lit(1)).alias("size"), (-F.max(F.struct("mass", (-F.col("id")).alias("minus")))["minus"]).alias("next")).where(F.col("size") > SMALL_BUCKET)
