@@ -66,6 +66,14 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def _sums_by_id(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of each id (size x width)."""
+    found, at = np.unique(ids, return_inverse=True)
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[found] = np.stack([np.bincount(at.reshape(-1), column, len(found)) for column in rows.T], axis=1)
+    return out
+
+
 _CAUSAL = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))
 _MASK = np.where(np.tril(np.ones((CONTEXT, CONTEXT), bool)), np.float32(0), np.float32(-1e9))
 
@@ -97,10 +105,10 @@ class AttentionModel:
     def _state(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         w = self.w
         x = w["embed"][inputs] + w["place"]
-        q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
+        q, k, v = ((x.reshape(-1, WIDTH) @ w[name]).reshape(x.shape) for name in "qkv")
         a = _softmax(q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + _MASK)
         c = np.concatenate([x, a @ v], axis=-1)
-        h = np.tanh(c @ w["h"] + w["hb"])
+        h = np.tanh(c.reshape(-1, 2 * WIDTH) @ w["h"] + w["hb"]).reshape(*inputs.shape, HIDDEN)
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "c": c, "h": h, "gate": _softmax(h @ w["g"] + w["gb"])}
 
     def _experts(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -111,8 +119,8 @@ class AttentionModel:
         """Probability of each target after the inputs up to its position (windows x CONTEXT)."""
         return (self._state(inputs)["gate"] * self._experts(inputs, targets)).sum(axis=-1)
 
-    def train(self, inputs: np.ndarray, targets: np.ndarray, epochs: int = 3, batch: int = 128, rate: float = 0.01, seed: int = 11) -> None:
-        """Adam on the mean negative log probability of windows; the order of windows is seeded."""
+    def train(self, inputs: np.ndarray, targets: np.ndarray, epochs: int = 3, batch: int = 128, rate: float = 0.01, seed: int = 11, real: np.ndarray | None = None) -> None:
+        """Adam on the mean negative log probability of windows, at their ``real`` positions; the order of windows is seeded."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         s = {k: np.zeros_like(v) for k, v in self.w.items()}
@@ -121,7 +129,8 @@ class AttentionModel:
             order = rng.permutation(len(inputs))
             for at in range(0, len(order), batch):
                 step += 1
-                grads = self._gradients(inputs[order[at : at + batch]], targets[order[at : at + batch]])
+                some = order[at : at + batch]
+                grads = self._gradients(inputs[some], targets[some], None if real is None else real[some])
                 pace = rate * min(1.0, step / 20) * (1.0 - 0.9 * step / steps)
                 for name, g in grads.items():
                     m[name] += 0.1 * (g - m[name])
@@ -129,31 +138,31 @@ class AttentionModel:
                     self.w[name] -= (pace * m[name] / (1 - 0.9**step) / (np.sqrt(s[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
                 self.freeze()
 
-    def _gradients(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
+    def _gradients(self, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray | None = None) -> dict[str, np.ndarray]:
         w, st, ex = self.w, self._state(inputs), self._experts(inputs, targets)
-        n = np.float32(inputs.size)
-        p = (st["gate"] * ex).sum(axis=-1, keepdims=True)
-        share = st["gate"] * ex / p  # each expert's part of the target's probability
-        d_gate = (st["gate"] - share) / n
-        out = {"g": np.tensordot(st["h"], d_gate, ([0, 1], [0, 1])), "gb": d_gate.sum(axis=(0, 1))}
-        part = share[..., 2:].reshape(-1, TABLES) / n
-        d_table = self.table * part.sum(axis=0)
-        np.subtract.at(d_table, targets.reshape(-1), part)
-        out["table"] = d_table
-        d_h = (d_gate @ w["g"].T) * (1 - st["h"] ** 2)
-        out["h"], out["hb"] = np.tensordot(st["c"], d_h, ([0, 1], [0, 1])), d_h.sum(axis=(0, 1))
+        flat = lambda x: x.reshape(-1, x.shape[-1])
+        counted = np.ones(inputs.size, np.float32) if real is None else real.reshape(-1).astype(np.float32)
+        counted = (counted / np.float32(max(counted.sum(), 1)))[:, None]
+        gate, h, c, x = flat(st["gate"]), flat(st["h"]), flat(st["c"]), flat(st["x"])
+        share = gate * flat(ex)  # each expert's part of the target's probability
+        share /= share @ np.ones((share.shape[1], 1), share.dtype)
+        d_gate = (gate - share) * counted
+        out = {"g": h.T @ d_gate, "gb": d_gate.sum(axis=0)}
+        part = share[:, 2:] * counted
+        out["table"] = self.table * part.sum(axis=0) - _sums_by_id(targets, part, self.size)
+        d_h = (d_gate @ w["g"].T) * (1 - h * h)
+        out["h"], out["hb"] = c.T @ d_h, d_h.sum(axis=0)
         d_c = d_h @ w["h"].T
-        d_x, d_o = d_c[..., :WIDTH].copy(), d_c[..., WIDTH:]
+        d_x, d_o = d_c[:, :WIDTH].copy(), d_c[:, WIDTH:].reshape(*inputs.shape, WIDTH)
         d_a, d_v = d_o @ st["v"].transpose(0, 2, 1), st["a"].transpose(0, 2, 1) @ d_o
-        d_s = st["a"] * (d_a - (d_a * st["a"]).sum(axis=-1, keepdims=True)) * np.float32(WIDTH**-0.5)
+        d_a *= st["a"]
+        d_s = (d_a - st["a"] * d_a.sum(axis=-1, keepdims=True)) * np.float32(WIDTH**-0.5)
         d_q, d_k = d_s @ st["k"], d_s.transpose(0, 2, 1) @ st["q"]
-        for name, d in (("q", d_q), ("k", d_k), ("v", d_v)):
-            out[name] = np.tensordot(st["x"], d, ([0, 1], [0, 1]))
+        for name, d in (("q", flat(d_q)), ("k", flat(d_k)), ("v", flat(d_v))):
+            out[name] = x.T @ d
             d_x += d @ w[name].T
-        out["place"] = d_x.sum(axis=0)
-        embed = np.zeros_like(w["embed"])
-        np.add.at(embed, inputs.reshape(-1), d_x.reshape(-1, WIDTH))
-        out["embed"] = embed
+        out["place"] = d_x.reshape(*inputs.shape, WIDTH).sum(axis=0)
+        out["embed"] = _sums_by_id(inputs, d_x, self.size)
         return out
 
     def _mix(self, inputs: np.ndarray, start: int) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,14 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .attention import CONTEXT, DISCOUNT, AttentionModel, CorpusCounts, windows
+from .attention import CONTEXT, DISCOUNT, AttentionModel, CorpusCounts
 from .bpe import read_ranks
 from .common import pick, stored
 from .language import fold_of
 from .words import mixed, text_slices, word_hashes, word_spans
 
-#: Windows that one task trains the weights on, and the training ids for each window beyond those of the first task.
-TRAIN_WINDOWS, WINDOW_IDS = 16_384, 2_048
+#: Windows of the opening that the weights start from, and how many openings one task of the pass trains on.
+TRAIN_WINDOWS, SHARE = 16_384, 8
+#: Training ids for each window of the pass: at CONTEXT, as it is, that is every window of every text.
+WINDOW_IDS = CONTEXT
+#: Positions of a text that move as one row.
+PIECE = 128 * CONTEXT
 #: Bounds of what is broadcast: successor pairs and words. All others come by a join.
 MAX_PAIRS, HEAD_WORDS = 1 << 20, 1 << 18
 
@@ -61,20 +65,17 @@ class Successors:
     kinds: np.ndarray  # distinct ids that follow each id
     ids: np.ndarray
 
-    def counts(self, pairs: DataFrame) -> CorpusCounts:
-        """The counts with some of the pairs at hand; those of all pairs decide what is left to the unigram."""
-        found = pairs.toPandas()
-        pair, n = found["pair"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-        return CorpusCounts.of(self.size, pair // self.size, pair % self.size, n, self.totals, self.ids, self.kinds)
+    def head(self, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``rows`` most frequent pairs in ascending order, and their counts."""
+        found = self.pairs.orderBy(F.desc("n"), "pair").limit(rows).toArrow()
+        pair, n = found["pair"].to_numpy(), found["n"].to_numpy()
+        order = np.argsort(pair)
+        return pair[order], n[order]
 
-    def head(self, rows: int) -> CorpusCounts:
-        """With the ``rows`` most frequent pairs."""
-        return self.counts(self.pairs.orderBy(F.desc("n"), "pair").limit(rows))
 
-    def of(self, inputs: np.ndarray, targets: np.ndarray) -> CorpusCounts:
-        """With every pair of some windows, rare ones too."""
-        wanted = pd.DataFrame({"pair": np.unique(inputs * self.size + targets)})
-        return self.counts(self.pairs.join(F.broadcast(self.pairs.sparkSession.createDataFrame(wanted, "pair long")), "pair"))
+def _counts(size: int, pair: np.ndarray, n: np.ndarray, totals: np.ndarray, kinds: np.ndarray, ids: np.ndarray) -> CorpusCounts:
+    """The counts with some of the pairs at hand; those of all pairs decide what is left to the unigram."""
+    return CorpusCounts.of(size, pair // size, pair % size, n, totals, ids, kinds)
 
 
 def _successors(tokens: DataFrame, size: int, end: int) -> Successors:
@@ -120,100 +121,130 @@ def _successors(tokens: DataFrame, size: int, end: int) -> Successors:
     return Successors(size, pairs, totals, kinds, ids)
 
 
-def _drawn_windows(tokens: DataFrame, end: int) -> DataFrame:
-    """(rank, ids): 1 + ids // WINDOW_IDS windows of each training text, at places drawn from its hash."""
+def _pieces(tokens: DataFrame, end: int) -> DataFrame:
+    """(key, windows, ids): all training texts in runs of up to PIECE positions, each with the id before it."""
+    every = max(1, WINDOW_IDS // CONTEXT)
+    width = PIECE if every == 1 else CONTEXT
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes = _flat(batch)
-            times = 1 + sizes // WINDOW_IDS
-            turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            seeds = mixed(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            seeds = mixed(np.repeat(seeds, times) + turn.astype(np.uint64))
-            ends, at = np.concatenate([[0], np.cumsum(sizes)]), 0
-            last = np.cumsum(times)
-            while at < len(sizes):
-                to = max(at + 1, int(np.searchsorted(ends, ends[at] + 100_000, "right")) - 1)
-                inputs, targets, _, owner = windows(ids[ends[at] : ends[to]], sizes[at:to], end)
-                some = slice(last[at] - times[at], last[to - 1])
-                text = np.repeat(np.arange(to - at), times[at:to])
-                firsts = np.searchsorted(owner, text)
-                n = np.searchsorted(owner, text, "right") - firsts
-                place = firsts + (seeds[some] % n.astype(np.uint64)).astype(np.int64)
-                keys = [np.concatenate([a, b]).astype("<u4").tobytes() for a, b in zip(inputs[place], targets[place], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(mixed(seeds[some]).view(np.int64)), pa.array(keys, pa.binary())], ["rank", "ids"])
-                at = to
-
-    # Copies of a text under other ids draw other windows.
+            keys, sizes, ids = [], [], []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                line = np.concatenate([[end], np.frombuffer(text, "<u2"), [end]]).astype("<u2")
+                for number, at in enumerate(range(0, len(line) - 1, max(width, every * CONTEXT))):
+                    part = line[at : at + width + 1]
+                    keys.append((key + number) % 2**64)
+                    sizes.append(-(-(len(part) - 1) // CONTEXT))
+                    ids.append(part.tobytes())
+            hashed = mixed(np.array(keys, np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashed), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], ["key", "windows", "ids"])
+
+    # Copies of a text under other ids go elsewhere.
     source = tokens.where("train").select(F.xxhash64("doc_id", "row").alias("key"), "ids")
-    return stored(source.mapInArrow(draw, "rank long, ids binary"), "lm-windows")
+    return stored(source.mapInArrow(cut, "key long, windows long, ids binary"), "lm-pieces", compression="zstd", **{"parquet.enable.dictionary": "false"})
+
+
+def _window_arrays(pieces: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets and which positions are real, of the windows of pieces."""
+    lines = [np.frombuffer(bytes(x), "<u2") for x in pieces]
+    sizes = np.array([len(x) - 1 for x in lines], np.int64)
+    room = -(-sizes // CONTEXT) * CONTEXT
+    first = np.cumsum(room) - room
+    at = np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+    out = []
+    for values in ([x[:-1] for x in lines], [x[1:] for x in lines]):
+        flat = np.full(int(room.sum()), end, np.int64)
+        if len(lines):
+            flat[at] = np.concatenate(values)
+        out.append(flat.reshape(-1, CONTEXT))
+    real = np.zeros(int(room.sum()), bool)
+    real[at] = True
+    return out[0], out[1], real.reshape(-1, CONTEXT)
+
+
+def _fitted(some: DataFrame, found: Successors, shared, end: int, weights, **training) -> DataFrame:
+    """(shard, weights, n): an own model for each shard of pieces (shard, key, ids), over all their windows.
+
+    A task has the broadcast pairs and, by a join, the counts of its shard's other pairs. ``weights`` are those
+    to go on from; None starts anew.
+    """
+    size = found.size
 
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = shared.value[0]
+        for batch in batches:
+            lines = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column("ids").to_pylist()]
+            pairs = np.concatenate([x[:-1] * size + x[1:] for x in lines]) if lines else np.zeros(0, np.int64)
+            shards = np.repeat(batch.column("shard").to_numpy(zero_copy_only=False).astype(np.int64), [len(x) - 1 for x in lines])
+            order = np.argsort(pairs)
+            pairs, shards = pairs[order], shards[order]
+            at = np.minimum(np.searchsorted(head, pairs), max(len(head) - 1, 0))
+            new = head[at] != pairs if len(head) else np.ones(len(pairs), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(shards[new]), pa.array(pairs[new])], ["shard", "pair"])
+
+    def fit(key, one: pd.DataFrame, rare: pd.DataFrame) -> pd.DataFrame:
+        if not len(one):
+            return pd.DataFrame({"shard": [], "weights": [], "n": []})
+        pair, n, totals, kinds, ids = shared.value
+        pair, n = np.concatenate([pair, rare["pair"].to_numpy(np.int64)]), np.concatenate([n, rare["n"].to_numpy(np.int64)])
+        own = AttentionModel(size, _counts(size, pair, n, totals, kinds, ids))
+        if weights is not None:
+            own.w = {k: v.copy() for k, v in weights.value.items()}
+            own.freeze()
+        x, y, real = _window_arrays(one.sort_values(["key", "ids"])["ids"].tolist(), end)
+        own.train(x, y, real=real, **training)
+        return pd.DataFrame({"shard": [int(key[0])], "weights": [_packed(own.w)], "n": [int(real.sum())]})
 
-def _window_arrays(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    flat = np.frombuffer(b"".join(bytes(x) for x in ids), "<u4").astype(np.int64).reshape(len(ids), 2, CONTEXT)
-    return flat[:, 0], flat[:, 1]
+    rare = some.select("shard", "ids").mapInArrow(others, "shard long, pair long").distinct().join(found.pairs, "pair").select("shard", "pair", "n")
+    return stored(some.groupBy("shard").cogroup(rare.groupBy("shard")).applyInPandas(fit, "shard long, weights binary, n long"), "lm-weights")
 
 
-def _trained(tokens: DataFrame, found: Successors, end: int, first: int) -> AttentionModel:
-    """The model fitted on max(``first``, training ids // WINDOW_IDS) windows.
+def _packed(w: dict[str, np.ndarray]) -> bytes:
+    return b"".join(w[k].astype("<f4").tobytes() for k in sorted(w))
 
-    The ``first`` windows least by hash are fitted here. Where more are due, tasks of about
-    ``first`` windows each go on from those weights over their own windows, and the weights are
-    averaged, so no machine holds more than one task's windows.
-    """
-    drawn, size = _drawn_windows(tokens, end), found.size
-    offered, due = drawn.count(), max(first, int(found.totals.sum()) // WINDOW_IDS)
-    inputs, targets = _window_arrays([r.ids for r in drawn.orderBy("rank", "ids").limit(first).collect()])
-    model = AttentionModel(size, found.of(inputs, targets))
-    if not len(inputs):
-        return model
-    model.train(inputs, targets)
-    share, shards = min(1.0, due / max(offered, 1)), -(-due // first)
-    if due <= first:
-        return model
-    spark = tokens.sparkSession
-    shared, names = spark.sparkContext.broadcast(model.w), sorted(model.w)
-    # Ranks are hashes, so this is the share of them that lies below; shards are of like size.
-    some = drawn.where(F.col("rank") <= int(-(2**63) + share * (2**64 - 2**12))).withColumn("shard", F.pmod(F.xxhash64("rank", "ids"), F.lit(shards)))
-    totals, kinds, ids = (spark.sparkContext.broadcast(x) for x in (found.totals, found.kinds, found.ids))
-    pairs_of = _window_pairs(some, size).distinct().join(found.pairs, "pair").select("shard", "pair", "n")
-
-    def fit(key, one: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(one):
-            return pd.DataFrame({"weights": [], "n": []})
-        pair, n = known["pair"].to_numpy(np.int64), known["n"].to_numpy(np.int64)
-        own = AttentionModel.__new__(AttentionModel)
-        own.counts, own.size = CorpusCounts.of(size, pair // size, pair % size, n, totals.value, ids.value, kinds.value), size
-        own.w = {k: v.copy() for k, v in shared.value.items()}
-        own.freeze()
-        x, y = _window_arrays(one.sort_values(["rank", "ids"])["ids"].tolist())
-        own.train(x, y, epochs=1, rate=0.003, seed=int(key[0]))
-        return pd.DataFrame({"weights": [b"".join(own.w[k].astype("<f4").tobytes() for k in names)], "n": [len(x)]})
-
-    rows = stored(some.groupBy("shard").cogroup(pairs_of.groupBy("shard")).applyInPandas(fit, "weights binary, n long"), "lm-weights")
-    total, weight = np.zeros(sum(model.w[k].size for k in names)), 0
-    for row in rows.orderBy("n", "weights").toLocalIterator():  # one shard at a time
-        total += np.frombuffer(bytes(row.weights), "<f4") * float(row.n)
-        weight += row.n
-    at = 0
-    for k in names:
-        if weight:
-            model.w[k] = (total[at : at + model.w[k].size] / weight).reshape(model.w[k].shape).astype(np.float32)
-        at += model.w[k].size
-    model.freeze()
-    return model
 
+def _unpacked(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    sizes = [like[k].size for k in sorted(like)]
+    parts = np.split(flat.astype(np.float32), np.cumsum(sizes)[:-1])
+    return {k: part.reshape(like[k].shape) for k, part in zip(sorted(like), parts, strict=True)}
 
-def _window_pairs(drawn: DataFrame, size: int) -> DataFrame:
-    """(shard, pair) of every position of the windows."""
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = _window_arrays(batch.column("ids").to_pylist())
-            shard = np.repeat(batch.column("shard").to_numpy(zero_copy_only=False), CONTEXT)
-            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), pa.array((x * size + y).reshape(-1))], ["shard", "pair"])
+def _mean(rows: Iterable[tuple[bytes, int]]) -> tuple[np.ndarray, int]:
+    """The mean of packed weights, each counted ``n`` times, and the sum of ``n``; one row at a time."""
+    total, weight = np.zeros(1), 0
+    for weights, n in rows:
+        total, weight = total + np.frombuffer(bytes(weights), "<f4") * float(n), weight + int(n)
+    return total / max(weight, 1), weight
 
-    return drawn.mapInArrow(pairs, "shard long, pair long")
+
+def _trained(tokens: DataFrame, found: Successors, shared, end: int, first: int) -> AttentionModel:
+    """The model fitted on every window of every training text.
+
+    An opening of about ``first`` windows, whose pieces are least by hash, gives weights to start from. Where there
+    are more, tasks of about SHARE * ``first`` windows each, which together hold all of them, go on from those
+    weights, and the weights are averaged in two steps, so no machine holds more than one task's windows
+    or more weights than the square root of the tasks.
+    """
+    pieces, size, spark = _pieces(tokens, end), found.size, tokens.sparkSession
+    model = AttentionModel(size, _counts(size, *shared.value))
+    n_pieces, due = pieces.agg(F.count(F.lit(1)), F.coalesce(F.sum("windows"), F.lit(0))).first()
+    some = min(n_pieces, max(1, first * n_pieces // max(due, 1)))
+    opening = pieces.orderBy("key", "ids").limit(some).select(F.lit(0).cast("long").alias("shard"), "key", "ids")
+    for row in _fitted(opening, found, shared, end, None).collect():
+        model.w = _unpacked(np.frombuffer(bytes(row.weights), "<f4"), model.w)
+    if n_pieces > some:
+        shards = -(-due // (SHARE * first))
+        rows = _fitted(pieces.select(F.pmod("key", F.lit(shards)).alias("shard"), "key", "ids"), found, shared, end, spark.sparkContext.broadcast(model.w), epochs=1, batch=512, rate=0.003)
+
+        def mean(key, one: pd.DataFrame) -> pd.DataFrame:
+            one = one.sort_values("shard")
+            flat, n = _mean(zip(one["weights"], one["n"], strict=True))
+            return pd.DataFrame({"part": [int(key[0])], "weights": [flat.astype("<f4").tobytes()], "n": [n]})
+
+        means = stored(rows.groupBy((F.col("shard") % (1 + int(shards**0.5))).alias("part")).applyInPandas(mean, "part long, weights binary, n long"), "lm-means")
+        model.w = _unpacked(_mean((r.weights, r.n) for r in means.orderBy("part").toLocalIterator())[0], model.w)
+    model.freeze()
+    return model
 
 
 def lm_scores(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", held_fold: int = 1, train_windows: int = TRAIN_WINDOWS, head_pairs: int = MAX_PAIRS) -> DataFrame:
@@ -225,11 +256,10 @@ def lm_scores(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc
     self-attention model). A-Z count as a-z. Null text is empty: its one token is the
     end. Rows that repeat an id and a text are scored alike; a null id is in no fold.
 
-    Word counts and successor counts of subword ids cover every training text; the weights of
-    the attention layer are fitted on ``train_windows`` windows or, where that is more, one for
-    every WINDOW_IDS training ids (see ``_trained``). Broadcast: the ``head_pairs`` most frequent
-    pairs and HEAD_WORDS words; counts of all other pairs and words come by a join, so neither
-    bound changes a score.
+    Word counts, successor counts of subword ids and the weights of the attention layer are learned
+    from every training text; the weights start from an opening of ``train_windows`` windows (see
+    ``_trained``). Broadcast: the ``head_pairs`` most frequent pairs and HEAD_WORDS words; counts of
+    all other pairs and words come by a join, so neither bound changes a score.
     """
     spark = docs.sparkSession
     texts = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -241,14 +271,12 @@ def lm_scores(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc
     end, size = max(read_ranks(vocabulary).values()) + 1, max(read_ranks(vocabulary).values()) + 2
     tokens = _token_table(texts, vocabulary, pattern)
     found = _successors(tokens, size, end)
-    model = _trained(tokens, found, end, train_windows)
-    totals_of = spark.sparkContext.broadcast(found.totals)
-    shared = spark.sparkContext.broadcast((model.w, found.head(head_pairs)))
+    shared = spark.sparkContext.broadcast((*found.head(head_pairs), found.totals, found.kinds, found.ids))
+    weights = spark.sparkContext.broadcast(_trained(tokens, found, shared, end, train_windows).w)
 
     def attend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, counts = shared.value
         own = AttentionModel.__new__(AttentionModel)
-        own.w, own.counts, own.size = weights, counts, size
+        own.w, own.counts, own.size = weights.value, _counts(size, *shared.value), size
         own.freeze()
         for batch in batches:
             ids, sizes = _flat(batch)
@@ -258,7 +286,7 @@ def lm_scores(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc
                 sums, text, pairs, plain, weight = own.score_parts(ids[ends[at] : ends[to]], sizes[at:to], end)
                 order = np.argsort(text, kind="stable")
                 places = pa.array(np.searchsorted(text[order], np.arange(to - at + 1)), pa.int32())
-                known = np.maximum(totals_of.value[pairs // size], 1)
+                known = np.maximum(shared.value[2][pairs // size], 1)
                 parts = pa.StructArray.from_arrays([pa.array(x[order]) for x in (pairs, known, plain.astype(np.float64), weight.astype(np.float64))], ["pair", "total", "plain", "weight"])
                 part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(sums), pa.ListArray.from_arrays(places, parts)], ["doc_id", "row", "known", "rare"])
@@ -291,8 +319,8 @@ def _base_scores(texts: DataFrame) -> DataFrame:
     n_docs = train.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, distinct = total + n_docs, distinct + (n_docs > 0)
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toPandas().sort_values("word")
-    head = spark.sparkContext.broadcast((top["word"].to_numpy(np.int64), np.log10(top["n"].to_numpy(np.float64) + 0.5)))
+    top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow().sort_by("word")
+    head = spark.sparkContext.broadcast((top["word"].to_numpy(), np.log10(top["n"].to_numpy() + 0.5)))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, logs = head.value

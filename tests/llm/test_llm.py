@@ -533,6 +533,21 @@ def test_training_windows_grow_with_the_ids(docs, monkeypatch):
     assert grown == run() and sum(grown.values()) > sum(first.values())
 
 
+def test_weights_are_fitted_on_every_training_position(spark):
+    """The windows of the pass hold each successor of each training text as often as the counts do, in pieces too."""
+    rng, size, end = np.random.default_rng(2), 302, 301
+    texts = [rng.integers(0, 300, n).astype("<u2").tobytes() for n in (0, 1, 31, 32, 33, lm_scoring.PIECE - 1, lm_scoring.PIECE, 2 * lm_scoring.PIECE + 7)]
+    tokens = spark.createDataFrame([(i, i % 3, i != 2, t) for i, t in enumerate(texts)], "doc_id long, row long, train boolean, ids binary")
+    found = lm_scoring._successors(tokens, size, end)
+    pieces = lm_scoring._pieces(tokens, end)
+    x, y, real = lm_scoring._window_arrays([r.ids for r in pieces.collect()], end)
+    pairs, n = np.unique((x * size + y)[real], return_counts=True)
+    assert dict(zip(pairs.tolist(), n.tolist())) == {r.pair: r.n for r in found.pairs.collect()}
+    shared = spark.sparkContext.broadcast((*found.head(50), found.totals, found.kinds, found.ids))
+    fits = lm_scoring._fitted(pieces.selectExpr("pmod(key, 2) AS shard", "key", "ids"), found, shared, end, None, epochs=1).collect()
+    assert sum(r.n for r in fits) == real.sum() == sum(len(t) // 2 + 1 for i, t in enumerate(texts) if i != 2)
+
+
 @given(st.lists(st.integers(0, 130), min_size=1, max_size=5))
 @settings(max_examples=50, deadline=None)
 def test_windows_score_each_id_once(sizes):
