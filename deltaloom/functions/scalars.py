@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import struct
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -35,16 +36,33 @@ def to_text(c: Column, kind: T.DataType) -> Column:
 
 
 def _plain_digits(c: Column) -> Column:
-    """``-1.25E-7`` as ``-0.000000125``: the shortest digits with the point where the exponent puts it."""
-    form = r"^(-?)(\d+)(?:\.(\d+))?(?:E(-?\d+))?$"
-    part = lambda i: F.regexp_extract(c, form, i)
-    digits = F.rtrim(F.concat(part(2), part(3)), F.lit("0"))
-    point = F.length(part(2)) + F.coalesce(part(4).try_cast("int"), F.lit(0))
-    zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
-    whole = F.concat(F.substring(digits, F.lit(1), F.greatest(point, F.lit(0))), zeros(point - F.length(digits)))
-    whole = F.ltrim(whole, F.lit("0"))
-    rest = F.concat(zeros(-point), F.substring(digits, F.greatest(point, F.lit(0)) + 1, F.length(digits)))
-    return F.concat(part(1), F.when(whole == "", "0").otherwise(whole), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)))
+    """``-1.25E-7`` as ``-0.000000125``: the shortest digits with the point where the exponent puts it.
+
+    Most numbers have no exponent and only lose a fraction of zeros. Every step names its parts once, in a lambda.
+    """
+    return F.when(c.contains("E"), _let(c, _shifted)).otherwise(F.regexp_replace(c, r"\.0+$", ""))
+
+
+def _let(c: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(c), then), 1)
+
+
+def _shifted(c: Column) -> Column:
+    mantissa = F.substring_index(F.ltrim(c, F.lit("-")), "E", 1)
+    parts = F.struct(
+        F.rtrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0")).alias("digits"),
+        (F.length(F.substring_index(mantissa, ".", 1)) + F.substring_index(c, "E", -1).cast("int")).alias("point"),
+        F.when(c.startswith("-"), "-").otherwise("").alias("sign"),
+    )
+    return _let(parts, _pointed)
+
+
+def _pointed(part: Column) -> Column:
+    digits, point, n = part["digits"], part["point"], F.length(part["digits"])
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
+    cut = F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, n))
+    return F.concat(part["sign"], F.when(digits == "", "0").when(point <= 0, small).when(point < n, cut).otherwise(F.rpad(digits, point, F.lit("0"))))
 
 
 def utc_text(c: Column, kind: T.DataType) -> Column:

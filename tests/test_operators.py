@@ -590,3 +590,16 @@ def test_ads_reports(spark):
         "variables": {"type": "Creative", "values": [{"key": "activity", "value": '"urn"'}, {"key": "deep", "value": '{"a":[1]}'}, {"key": "n", "value": "0"}]},
     }
     assert json.loads(got[1]) == {"id": 6, "variables": {"other": 1}} and got[2:] == [None, None]
+
+
+def test_digits_of_floats_are_planned_once(spark):
+    """Digits of random exponents and signs; the text and its parts are not computed again for every use."""
+    from decimal import Decimal
+
+    df = spark.range(400).selectExpr("cast(concat(if(id % 2 = 0, '-', ''), pmod(hash(id), 100000), 'e', id - 200) as double) AS x")
+    found = df.select(F.col("x").cast("string").alias("s"), fn.to_text(F.col("x"), T.DoubleType()).alias("t"))
+    for s, t in found.collect():
+        want = format(Decimal(s), "f")
+        assert t == (want.rstrip("0").rstrip(".") if "." in want else want), s
+    plan = df.select(fn.to_text(F.col("x"), T.DoubleType()).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp") <= 1
