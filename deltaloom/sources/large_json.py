@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of a range that one task scans, and bytes beyond its edges that are read at a time.
 RANGE, BEYOND = 64 << 20, 1 << 16
+#: Ranges that have a task each; where there are more, tasks share them: one for RANGE bytes, and enough for all cores.
+TASKS = 512
 
 _QUOTE, _BACKSLASH = ord('"'), ord("\\")
 _STEP = np.zeros(256, np.int8)
@@ -51,14 +53,14 @@ class _Source:
 
     def escaped(self, at: int) -> bool:
         """Whether the byte at a place is escaped: an odd run of backslashes ends before it."""
-        run, end = 0, at
+        run, end, size = 0, at, 64
         while end > 0:
-            data = self.read(max(end - BEYOND, 0), end)
+            data = self.read(max(end - size, 0), end)
             others = np.flatnonzero(data != _BACKSLASH)
             run += len(data) if not len(others) else len(data) - 1 - int(others[-1])
             if len(others):
                 break
-            end -= len(data)
+            end, size = end - len(data), BEYOND
         return run % 2 == 1
 
     def window(self, start: int, end: int) -> tuple[np.ndarray, int]:
@@ -186,21 +188,22 @@ def read_large_json_items(spark: SparkSession, path: str, item_path: str, size:
     """Items of the array at a dotted path of one JSON document as (at, item) JSON texts, and the document without them.
 
     ``path`` is a file of a store that pyarrow reads, in UTF-8. Its ranges of ``size`` bytes are scanned by a task
-    each: first for the parity of their quotes and their change of depth, of which prefix sums give each range's state at
+    each, or where they are more than TASKS by tasks of several: first for the parity of their quotes and their change of depth, of which prefix sums give each range's state at
     its start, then for the array and its items. An item that crosses a range's end is read by the range it begins in.
     ``at`` is the item's place, which orders them. A path that leads to no array is an error. The rest of the document, with the array
     empty, is one text on the driver.
     """
     whole = _Source(path)
     n = max(1, -(-whole.size // size))
-    ranges = spark.range(n, numPartitions=n).selectExpr("id AS number", f"id * {size} AS start", f"least((id + 1) * {size}, {whole.size}) AS end")
+    tasks = n if n <= TASKS else min(n, max(2 * spark.sparkContext.defaultParallelism, -(-whole.size // RANGE)))
+    ranges = spark.range(n, numPartitions=tasks).selectExpr("id AS number", f"id * {size} AS start", f"least((id + 1) * {size}, {whole.size}) AS end")
     found = _over(spark, path, ranges, "number long, start long, end long, odd long, free long, text long", _summary).orderBy("number").collect()
     states, in_string, depth = [], 0, 0
     for r in found:
         states.append((r.number, r.start, r.end, in_string, depth))
         depth += r.text if in_string else r.free
         in_string ^= r.odd
-    known = spark.createDataFrame(states, "number long, start long, end long, in_string int, depth long").repartition(n, "number")
+    known = spark.createDataFrame(states, "number long, start long, end long, in_string int, depth long").repartition(tasks, "number")
     place, level = -1, 0
     for name in item_path.split("."):
         level += 1

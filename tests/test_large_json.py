@@ -37,3 +37,12 @@ def test_paths_that_lead_to_no_array(spark, tmp_path):
     for bad in ("c", "a", "a.x", "z"):
         with pytest.raises(ValueError):
             items(bad)
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """A thousand ranges are scanned by fewer tasks, and every item comes out once."""
+    path, items = tmp_path / "small.json", [{"a": i, "b": "\\\" [,"} for i in range(900)]
+    path.write_text(json.dumps({"x": items}))
+    found, _ = large_json.read_large_json_items(spark, str(path), "x", 20)
+    assert path.stat().st_size > 20_000 and found.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert [json.loads(r.item) for r in found.orderBy("at").collect()] == items
