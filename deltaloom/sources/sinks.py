@@ -28,10 +28,23 @@ def file_key(path: str, pattern: str, ts: Column, version: int, counter: Column)
     return F.concat(F.lit(path.rstrip("/") + "/"), *parts, F.lit(f"/v{version:010d}/"), F.lpad(counter.cast("string"), 20, "0"))
 
 
+#: A task writes about so many rolling files, or so many bytes of larger ones.
+TASK_FILES, TASK_BYTES = 64, 256 << 20
+
+
 def write_rolling_files(df: DataFrame, path: str, fmt: str, size_limit: int, **options: str) -> None:
-    """Files of about ``size_limit`` bytes (K1): records a file from the mean estimated row size."""
-    mean = df.agg(F.avg(est_row_size(df)).alias("m")).first().m or 1.0
-    df.write.options(**options).option("maxRecordsPerFile", max(1, int(size_limit / mean))).mode("append").format(fmt).save(path)
+    """Files of about ``size_limit`` bytes (K1): records a file from the mean estimated row size.
+
+    Where that makes more files than the frame's partitions should write, rows are dealt over more tasks by
+    ranges of their order.
+    """
+    n, mean = df.agg(F.count(F.lit(1)), F.avg(est_row_size(df))).first()
+    each = max(1, int(size_limit / (mean or 1.0)))
+    tasks = -(-n // (each * max(1, min(TASK_FILES, TASK_BYTES // size_limit))))
+    if tasks > df.rdd.getNumPartitions():
+        at = max(df.columns, key=len) + "_"
+        df = df.withColumn(at, F.monotonically_increasing_id()).repartitionByRange(tasks, at).sortWithinPartitions(at).drop(at)
+    df.write.options(**options).option("maxRecordsPerFile", each).mode("append").format(fmt).save(path)
 
 
 def write_parquet(df: DataFrame, path: str, row_group: int = 128 << 20, compression: str = "snappy", dictionary: bool = True) -> None:

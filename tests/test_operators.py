@@ -390,6 +390,16 @@ def test_rolling_files_and_keys(spark, tmp_path):
     assert 'WHEN MATCHED AND s."gone" THEN DELETE' in sinks.merge_statement("t", "s", ["k", "v"], ["k"], "gone")
 
 
+def test_many_rolling_files_are_written_by_several_tasks_in_order(spark, tmp_path):
+    sinks.write_rolling_files(spark.range(2000).coalesce(1), str(tmp_path), "parquet", 80)
+    files = sorted(tmp_path.glob("*.parquet"))
+    assert len({f.name[:10] for f in files}) > 1 and len(files) >= 200
+    found = [spark.read.parquet(str(f)) for f in files[:2] + files[-1:]]
+    first, second, last = ([r.id for r in f.collect()] for f in found)
+    assert first == list(range(10)) and second == list(range(10, 20)) and last[-1] == 1999
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path)).collect()) == list(range(2000))
+
+
 def test_masking_is_deterministic(spark):
     df = spark.createDataFrame([("Ab-12 é", 123, datetime(2024, 1, 1), Row(uuid="u1", t="xyz"))], "s string, n int, at timestamp, _meta struct<uuid:string,t:string>")
     a, b = (quality.obfuscate(df, "salt", ["/_meta/uuid"]).first() for _ in range(2))
