@@ -22,19 +22,24 @@ class _Buffer(StatefulProcessor):
         self.pending = handle.getValueState("pending", StructType([StructField("start", LongType()), StructField("n", LongType())]))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        # Each call on the state is a round trip to the JVM, so it is asked once a batch and touched only where it holds rows.
         waiting: list[Row] = []
+        held = self.pending.exists()
         for row in sorted(rows, key=lambda r: r[self.position]):
             if row[self.kind] not in ("commit", "rollback"):
                 waiting.append(row)
                 continue
             if row[self.kind] == "commit":
-                yield from (Row(**dict(zip(self.schema.names, held))) for held in self.rows.get())
+                if held:
+                    yield from (Row(**dict(zip(self.schema.names, kept))) for kept in self.rows.get())
                 yield from waiting
             waiting = []
-            self.rows.clear()
-            self.pending.clear()
+            if held:
+                self.rows.clear()
+                self.pending.clear()
+                held = False
         if waiting:
-            start, n = self.pending.get() if self.pending.exists() else (waiting[0][self.position], 0)
+            start, n = self.pending.get() if held else (waiting[0][self.position], 0)
             self.pending.update((min(start, waiting[0][self.position]), n + len(waiting)))
             self.rows.appendList([tuple(row) for row in waiting])
 

@@ -4,6 +4,7 @@ import time
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from deltaloom.streaming import capture, transactions
@@ -150,3 +151,33 @@ def test_any_cut_of_a_log_gives_the_same_transactions(spark, tmp_path, seed):
         assert sorted(tuple(r) for r in transactions.pending_transactions(spark, check, "tx").collect()) == waiting
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+
+
+class _CountedState:
+    """A list or value state in memory that counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = None, 0
+
+    def __getattr__(self, name):
+        def call(*value):
+            self.calls += 1
+            if name == "exists":
+                return self.held is not None
+            if name == "get":
+                return self.held if isinstance(self.held, tuple) else iter(self.held or [])
+            self.held = {"clear": lambda: None, "update": lambda: value[0], "appendList": lambda: (self.held or []) + value[0]}[name]()
+
+        return call
+
+
+def test_state_is_touched_once_a_batch_however_many_transactions_end():
+    buffer = transactions._Buffer(KINDS, "kind", "pos")
+    buffer.rows, buffer.pending = _CountedState(), _CountedState()
+    row = lambda pos, kind: Row(tx=1, pos=pos, kind=kind, v=None, n=None)
+    assert list(buffer.handleInputRows((1,), iter([row(0, "row")]), None)) == []
+    assert buffer.pending.held == (0, 1)
+    batch = [row(at, kind) for at, kind in enumerate(["row", "commit", "row", "rollback"] * 50, 1)]
+    found = list(buffer.handleInputRows((1,), iter(batch), None))
+    assert [r.pos for r in found] == [0, *range(1, 201, 4)] and buffer.pending.held is None and buffer.rows.held is None
+    assert buffer.rows.calls + buffer.pending.calls <= 8
