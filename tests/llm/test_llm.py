@@ -349,6 +349,13 @@ def test_large_buckets_lose_no_link(spark):
     assert labels == {i: 0 for i in range(60)}
 
 
+def test_pairs_are_cut_by_size_and_sets_by_pairs_before_sets_move(spark):
+    grams = common.stored(spark.createDataFrame([(i, [i], 1 + i) for i in range(20)], "id long, grams array<long>, n int"), "grams")
+    pairs = common.stored(spark.createDataFrame([(1, 2), (1, 9), (10, 11)], "a long, b long"), "pairs")
+    assert [tuple(r) for r in linking._of_similar_size(pairs, grams, 0.8).collect()] == [(10, 11)]
+    assert sorted(r.id for r in linking._paired(pairs, grams).collect()) == [1, 2, 9, 10, 11]
+
+
 def test_families_in_one_bucket_compare_in_proportion(spark, monkeypatch):
     """Four families of near copies share one bucket and no other: what is compared grows with the members, not with their square."""
     compared, plain = [], linking._near
