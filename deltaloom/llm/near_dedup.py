@@ -123,8 +123,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     same = pa.array([a == b for a, b in zip(digests, part.column("digest").to_pylist(), strict=True)], pa.bool_())
                     yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "grams"]).filter(same)
 
-        wanted = stored(join_checked(distinct.select("id", F.col("first").alias("_first"), "digest"), ids, "id"), "wanted-texts")
-        found = join_checked(texts, wanted, F.expr("doc_id <=> _first")).select("id", "digest", "text")
+        wanted = stored(join_checked(distinct.select("id", F.col("first").alias("_first"), "digest"), ids, "id", keys=(["id"], ["id"])), "wanted-texts")
+        found = join_checked(texts, wanted, F.expr("doc_id <=> _first"), keys=(["doc_id"], ["_first"])).select("id", "digest", "text")
         return found.mapInArrow(shingle, "id long, grams array<long>").dropDuplicates(["id"])
 
     labels = link_buckets(distinct.select("id", "keys"), grams_of, threshold)

@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 import tiktoken
 
+from pyspark.sql import functions as F
+
 from deltaloom.llm import bpe, common, exact_dedup, line_dedup, mixing, near_dedup, substring_dedup
 from tests.llm.test_llm import PATTERN, RANKS, SF, WORD, components, every_shingle, frame, odd, shingles  # noqa: F401  odd is a fixture
 
@@ -147,3 +149,15 @@ def test_pipeline_of_an_empty_table(spark, odd, tmp_path):
     nulls = frame(spark, [(None, None), (None, ""), (3, None), (4, "x" * random.Random(1).randint(1, 9))])
     nulls.write.parquet(str(tmp_path / "n" / "documents.parquet"))
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path / "n")).collect()} <= {4}
+
+
+def test_rows_without_a_partner_do_not_move(spark):
+    """Of 20,000 rows hardly more than the 700 with a partner are left for the join, nulls among them, and the join is the same."""
+    big = spark.range(20_000).selectExpr("if(id = 7, null, id) AS id", "cast(id % 3 AS int) AS pos", "repeat('x', 9) AS line")
+    small = common.stored(big.where("id IS NULL OR id % 29 = 4 OR id > 19990").selectExpr("id AS _id", "pos AS _pos"), "t")
+    left = common.thinned(big, small, ["id", "pos"], ["_id", "_pos"])
+    assert left.columns == big.columns and 690 < small.count() <= left.count() < 2_500
+    on = F.expr("id <=> _id AND pos = _pos")
+    got, want = (common.join_checked(big, small, on, rows=n, keys=(["id", "pos"], ["_id", "_pos"])) for n in (0, 1 << 20))
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, want.collect())) and got.count() == small.count()
+    assert common.thinned(big, small.where("_id < 0"), ["id", "pos"], ["_id", "_pos"]).isEmpty()
