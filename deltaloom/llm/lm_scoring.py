@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .attention import CONTEXT, DISCOUNT, AttentionModel, CorpusCounts
 from .bpe import read_ranks
-from .common import pick, stored
+from .common import pick, small_batches, stored
 from .language import fold_of
 from .words import mixed, text_slices, word_hashes, word_spans
 
@@ -55,6 +55,20 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(ids), "<u2").astype(np.int64), np.array([len(x) // 2 for x in ids], np.int64)
 
 
+def _frequent(counts: DataFrame, rows: int) -> DataFrame:
+    """The rows of a stored frame whose ``n`` is above a bound, the least of a fixed scale that leaves up to ``rows``.
+
+    A filter by grades of n, each an eighth of a doubling, so no task holds or sorts what is kept.
+    """
+    grade = F.floor(F.log2("n") * 8)
+    least, left = None, rows
+    for g, size in sorted(map(tuple, counts.groupBy(grade.alias("grade")).count().collect()), reverse=True):  # a few hundred rows at most
+        if size > left:
+            break
+        least, left = g, left - size
+    return counts.where(F.lit(False) if least is None else grade >= least)
+
+
 @dataclass
 class Successors:
     """All successor counts as a stored frame (pair, n), and what is kept by id."""
@@ -66,8 +80,8 @@ class Successors:
     ids: np.ndarray
 
     def head(self, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``rows`` most frequent pairs in ascending order, and their counts."""
-        found = self.pairs.orderBy(F.desc("n"), "pair").limit(rows).toArrow()
+        """The most frequent pairs, up to ``rows``, in ascending order, and their counts."""
+        found = _frequent(self.pairs, rows).toArrow()
         pair, n = found["pair"].to_numpy(), found["n"].to_numpy()
         order = np.argsort(pair)
         return pair[order], n[order]
@@ -262,6 +276,7 @@ def lm_scores(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc
     all other pairs and words come by a join, so neither bound changes a score.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     held = F.coalesce(fold_of(F.col("doc_id")) == held_fold, F.lit(False))
     texts = texts.select("doc_id", F.xxhash64("text").alias("row"), (~held).alias("train"), "text")
@@ -319,7 +334,7 @@ def _base_scores(texts: DataFrame) -> DataFrame:
     n_docs = train.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, distinct = total + n_docs, distinct + (n_docs > 0)
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow().sort_by("word")
+    top = _frequent(counts, HEAD_WORDS).toArrow().sort_by("word")
     head = spark.sparkContext.broadcast((top["word"].to_numpy(), np.log10(top["n"].to_numpy() + 0.5)))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -529,6 +529,18 @@ def test_scores_do_not_depend_on_the_broadcast_pairs(docs):
     assert scores[0].keys() == scores[1].keys() and all(abs(scores[0][i] - scores[1][i]) < 1e-4 * max(1, abs(scores[0][i])) for i in scores[0])
 
 
+def test_the_broadcast_head_is_cut_by_frequency_alone(spark):
+    """No pair outside the head is as frequent as one in it, so nothing has to be sorted to choose it; it keeps within its bound."""
+    counts = common.stored(spark.range(5_000).selectExpr("id AS pair", "1 + cast(5000 / (1 + (id * 7) % 5000) AS long) AS n"), "t")
+    n = {r.pair: r.n for r in counts.collect()}
+    found = lm_scoring.Successors(5_000, counts, None, None, None)
+    for rows in (0, 1, 300, 4_999, 5_000):
+        pair, times = found.head(rows)
+        assert len(pair) <= rows and pair.tolist() == sorted(pair) and times.tolist() == [n[p] for p in pair.tolist()]
+        assert not len(pair) or min(times) > max([x for p, x in n.items() if p not in set(pair.tolist())], default=0)
+    assert len(found.head(5_000)[0]) == 5_000 and len(found.head(300)[0]) > 150
+
+
 def test_training_windows_grow_with_the_ids(docs, monkeypatch):
     """Windows beyond the first task's take part: with few ids a window the weights differ, and repeat exactly."""
     few = docs.where("doc_id % 5 = 0")

@@ -11,7 +11,7 @@ import tiktoken
 
 from pyspark.sql import functions as F
 
-from deltaloom.llm import bpe, common, exact_dedup, line_dedup, mixing, near_dedup, substring_dedup
+from deltaloom.llm import bpe, common, exact_dedup, line_dedup, lm_scoring, mixing, near_dedup, substring_dedup
 from tests.llm.test_llm import PATTERN, RANKS, SF, WORD, components, every_shingle, frame, odd, shingles  # noqa: F401  odd is a fixture
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -161,3 +161,15 @@ def test_rows_without_a_partner_do_not_move(spark):
     got, want = (common.join_checked(big, small, on, rows=n, keys=(["id", "pos"], ["_id", "_pos"])) for n in (0, 1 << 20))
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, want.collect())) and got.count() == small.count()
     assert common.thinned(big, small.where("_id < 0"), ["id", "pos"], ["_id", "_pos"]).isEmpty()
+
+
+def test_scoring_takes_small_batches(spark):
+    """A task of the model holds 1,000 texts and their ids at once, not Spark's 10,000."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        scores = lm_scoring.lm_scores(frame(spark, [(i, f"some words of text {i}") for i in range(20)]), RANKS, PATTERN, train_windows=8)
+        assert int(spark.conf.get(name)) <= common.BATCH_ROWS and scores.count() == 20
+    finally:
+        spark.conf.set(name, before)
